@@ -113,4 +113,4 @@ def row_id() -> Column:
 
 def training_columns(df: DataFrame) -> DataFrame:
     """The fixed column list, absent columns as null."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in CLEAN_COLS])
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in CLEAN_COLS])

@@ -133,13 +133,14 @@ def tabular_features(
     if moment == "t0":
         df = at_creation(df)
     kept = [F.col(c).alias(f"_keep_{c}") for c in keep]
+    body_missing = F.col("body").isNull() if "body" in df.columns else F.lit(False)
     base = {c: F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)) for c in BASE_FEATURES}
     narrow = df.select(
         *kept,
         "repo_full_name",
         *[expr.alias(name) for name, expr in base.items()],
         *[expr.alias(name) for name, expr in ttf_features(F.col("ttf_hours"), ttf_fill).items()],
-        F.col("body").isNull().cast("double").alias("body_missing"),
+        body_missing.cast("double").alias("body_missing"),
         *[expr.alias(name) for name, expr in keyword_flags().items()],
         *[expr.alias(name) for name, expr in author_flags(serving).items()],
     )

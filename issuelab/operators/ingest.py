@@ -73,7 +73,10 @@ def _mark_cut(issues: DataFrame, ranked: DataFrame, order: Sequence[str], limit:
 def first_pages(
     issues: DataFrame, max_pages: int, order: Sequence[str] = COLLECTION_ORDER
 ) -> DataFrame:
-    """First ``max_pages`` pages of each repository in collection order."""
+    """First ``max_pages`` pages of each repository in collection order.
+
+    ``order`` must tell the rows of a repository apart.
+    """
     marked = _mark_cut(issues, issues, order, max_pages * PER_PAGE)
     return marked.where(_before_cut(order)).select(*issues.columns)
 
@@ -174,7 +177,7 @@ def collect_step(
     Repeated rows from the overlap are removed later by the latest-state step.
     """
     changed = changed_since(issues, cursors, default_since)
-    kept = first_pages(changed, max_pages)
+    kept = first_pages(changed, max_pages, (*COLLECTION_ORDER, seq))
     return upsert_state(cursors, next_cursors(kept, overlap_seconds, seq))
 
 

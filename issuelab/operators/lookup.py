@@ -42,22 +42,14 @@ def lookup_join(
     slot = F.pmod(F.xxhash64(*(spread_by or facts.columns)), F.lit(SPREAD)).cast("string")
     # Null keys match nothing either, so they are spread the same way.
     settled = F.col("_hot").isNotNull() | F.col(key).isNull()
-    flagged = flagged.withColumns(
-        {
-            "_join": F.when(~settled, F.col(key).cast("string")),
-            "_slot": F.when(settled, slot),
-        }
+    flagged = flagged.withColumn(
+        "_join",
+        F.when(settled, F.concat(F.lit("s"), slot)).otherwise(F.concat(F.lit("k"), F.col(key).cast("string"))),
     )
     rest = table.select(
-        F.col(key).cast("string").alias("_k"),
-        F.lit("").alias("_s"),
-        F.struct(*values).alias("_cold_values"),
-    )
-    joined = flagged.join(
-        rest,
-        (F.coalesce("_join", F.lit("")) == F.col("_k")) & (F.coalesce("_slot", F.lit("")) == F.col("_s")),
-        "left",
+        F.concat(F.lit("k"), F.col(key).cast("string")).alias("_k"), F.struct(*values).alias("_cold_values")
     )
+    joined = flagged.join(rest, F.col("_join") == F.col("_k"), "left")
     pick = [
         F.coalesce(F.col(f"_hot_values.{c}"), F.col(f"_cold_values.{c}")).alias(c) for c in values
     ]

@@ -14,19 +14,19 @@ from issuelab.functions.labels import keyword_flags, without_nulls
 from issuelab.operators import (
     clean,
     decide,
+    embeddings,
     enrich,
     features,
     ingest,
     kpis,
     metrics,
     normalize,
-    ordering,
     priors,
     splits,
 )
-from issuelab.plans import views
+from issuelab.plans import training, views
 from issuelab.plans.dataset import training_table
-from issuelab.schemas import FORBIDDEN_FEATURES, LEGACY_FEATURES, STAGE1_FEATURES, STAGE2_FEATURES
+from issuelab.schemas import STAGE1_FEATURES, STAGE2_FEATURES
 from issuelab.session import new_staging_path, stage
 from issuelab.sources import dumps, readers, writers
 from issuelab.streaming import jobs, store
@@ -513,12 +513,10 @@ def j2_repo_prior_lookup(spark, d):
 def j3_serving_priors(spark, d):
     """Median priors of the regression stage looked up for every open issue."""
     fitted = priors.fit_median_priors(quick_train_rows(spark, d), "days_to_close")
-    return rounded(
-        features.join_priors(
-            store_rows(spark, d).where("state = 'open'").select("id", "repo_full_name"), fitted
-        ).select("id", "repo_count_train", "repo_median_days_train"),
-        "repo_count_train", "repo_median_days_train",
-    )
+    df = features.join_priors(
+        store_rows(spark, d).where("state = 'open'").select("id", "repo_full_name"), fitted
+    ).select("id", "repo_count_train", "repo_median_days_train")
+    return rounded(rounded(df, "repo_count_train"), "repo_median_days_train", places=8)
 
 
 @query
@@ -599,7 +597,8 @@ def a10_audit_kpis(spark, d):
     df = kpis.audit_columns(views.issue_facts(spark, d, activity=False).withColumnsRenamed(
         {"created_ts": "created_at", "closed_ts": "closed_at"}
     ))
-    return rounded(kpis.audit_kpis(df), "mean_days", "median_days", "sla_30d_pct")
+    df = rounded(kpis.audit_kpis(df), "mean_days", "sla_30d_pct")
+    return rounded(df, "median_days", places=8)
 
 
 @query
@@ -632,7 +631,7 @@ def a15_priors_reg(spark, d):
     table = stage(priors.median_table(train, "days_to_close"), "medians")
     return rounded(
         table.crossJoin(F.broadcast(priors.median_globals(table, train, "days_to_close"))),  # one row
-        "median_days", "global_count", "global_median",
+        "median_days", "global_count", "global_median", places=8,
     )
 
 
@@ -921,7 +920,8 @@ def m1_tabular_stage2(spark, d):
     fitted = priors.fit_median_priors(train, "days_to_close")
     fill = priors.ttf_fill(train).first()["ttf_fill"]
     df = features.tabular_features(clean_rows(spark, d), fitted, fill, moment="t0")
-    return rounded(df.select("row_id", *STAGE2_FEATURES), *STAGE2_FEATURES)
+    df = rounded(df.select("row_id", *STAGE2_FEATURES), *STAGE2_FEATURES[:-1])
+    return rounded(df, STAGE2_FEATURES[-1], places=8)
 
 
 @query
@@ -933,7 +933,7 @@ def m5_fold_priors(spark, d):
 @query
 def m6_fold_medians(spark, d):
     folded = splits.with_time_folds(quick_train_rows(spark, d), FOLDS)
-    return rounded(priors.fold_median_tables(folded, "days_to_close", FOLDS), "median_days")
+    return rounded(priors.fold_median_tables(folded, "days_to_close", FOLDS), "median_days", places=8)
 
 
 @query
@@ -1032,6 +1032,70 @@ def m20_run_record(spark, d):
     return rounded(part("train").unionByName(part("test")), "value")
 
 
+SMALL = training.Settings(rounds=6, folds=2, step=0.1)
+
+
+def _texts(spark, d):
+    """Cleaned issues, written once, with their text vectors."""
+    table = stage(clean_rows(spark, d, body=True), "clean")
+    encoder = embeddings.text_encoder(32).fit(table.select("text"))
+    return table.drop("text", "body"), stage(embeddings.embed(table, encoder), "vectors")
+
+
+@query
+def m2_text_features(spark, d):
+    """Unit vectors of all documents; a text without weighted words has length 0."""
+    docs = views.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("row_id"), "text")
+    out = embeddings.embed(docs, embeddings.text_encoder(256).fit(docs))
+    return out.select("row_id", F.size("embedding").alias("dim"), F.round(vectors.l2_norm("embedding"), 4).alias("norm"))
+
+
+@query
+def m3_stage1(spark, d):
+    table, vecs = _texts(spark, d)
+    _, measured, params = training.train_stage1(table, vecs, SMALL)
+    return training.run_record("r1", "stage1", params, measured)
+
+
+@query
+def m4_stage2(spark, d):
+    table, vecs = _texts(spark, d)
+    _, measured, params = training.train_stage2(table, vecs, SMALL)
+    return training.run_record("r1", "stage2", params, measured)
+
+
+@query
+def m5_oof(spark, d):
+    """Out-of-fold scores on tabular features."""
+    table = stage(clean_rows(spark, d).withColumn("y", features.within("days_to_close", HORIZON)), "clean")
+    oof, _ = training.oof_predictions(table, SMALL)
+    return oof.select("row_id", "y", "fold", "p")
+
+
+@query
+def m8_isotonic(spark, d):
+    """Calibrated scores: never falling as the raw score rises."""
+    df = views.scores(spark, d)
+    return training.calibrated(df, training.fit_calibrator(df)).select("id", r6("p").alias("p"))
+
+
+@query
+def m15_score_open(spark, d):
+    """Both stages trained, saved, loaded again and applied to every open issue."""
+    table = stage(clean_rows(spark, d, body=True).drop("text"), "clean")
+    one, _, _ = training.train_stage1(table, None, SMALL)
+    two, _, _ = training.train_stage2(table, None, SMALL)
+    path = new_staging_path(spark, "models")
+    training.save_bundle(one, f"{path}/one")
+    training.save_bundle(two, f"{path}/two")
+    requests = raw(spark, d, body=True).where("state = 'open' and not is_pull_request and ingest_seq % 4 = 0").withColumns(
+        {"row_id": clean.row_id(), "labels": without_nulls()}
+    )
+    scored = training.score_stage1(requests, training.load_bundle(spark, f"{path}/one"), as_of=as_of())
+    both = training.score_stage2(scored, training.load_bundle(spark, f"{path}/two"), as_of=as_of())
+    return decide.triage(both, cut=one.threshold).select("row_id", "p", "r", "is_fast", "est_days", decide.risk_band("p").alias("band"))
+
+
 # --- streams -------------------------------------------------------------------------------------
 
 

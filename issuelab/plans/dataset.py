@@ -26,5 +26,5 @@ def build_dataset(
     if built.isEmpty():
         raise ValueError("no rows left after cleaning")
     write_jsonl(built, f"{path}_jsonl")
-    write_meta(built, f"{out}/dataset_meta", data_source=source, cap_days_to_close=cap_days, path=path)
+    write_meta(built, f"{out}/dataset_meta", data_source=source, cap_days_to_close=cap_days, parquet_path=path)
     return built

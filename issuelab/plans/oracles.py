@@ -473,7 +473,7 @@ _add(
         FROM (SELECT o_orderkey AS id, o_orderkey % ((SELECT count(*) FROM embeddings) + 1) AS vec_id FROM orders) JOIN embeddings USING (vec_id)""",
 )
 _prior1 = "round(ln(1 + coalesce(CAST(cnt AS DOUBLE), global_count)), 6) AS repo_count_train, round(coalesce(posrate, global_posrate), 6) AS repo_posrate_train"
-_prior2 = "round(ln(1 + coalesce(CAST(cnt AS DOUBLE), global_count)), 6) AS repo_count_train, round(coalesce(median_days, global_median), 6) AS repo_median_days_train"
+_prior2 = "round(ln(1 + coalesce(CAST(cnt AS DOUBLE), global_count)), 6) AS repo_count_train, round(coalesce(median_days, global_median), 8) AS repo_median_days_train"
 _add("j2_repo_prior_lookup", "split rates rate_g", f"SELECT row_id, {_prior1} FROM split LEFT JOIN rates USING (repo_full_name), rate_g")
 _add("j3_serving_priors", "facts meds med_g", f"SELECT id, {_prior2} FROM facts LEFT JOIN meds USING (repo_full_name), med_g WHERE state = 'open'")
 _add(
@@ -517,7 +517,7 @@ _add(
 )
 _add(
     "a10_audit_kpis", "audit",
-    "SELECT count(*) AS n, round(avg(days_to_close), 6) AS mean_days, round(median(days_to_close), 6) AS median_days, round(avg(resolved) * 100, 6) AS sla_30d_pct FROM audit",
+    "SELECT count(*) AS n, round(avg(days_to_close), 6) AS mean_days, round(median(days_to_close), 8) AS median_days, round(avg(resolved) * 100, 6) AS sla_30d_pct FROM audit",
 )
 _add("a11_class_balance", "audit", "SELECT resolved AS resolved_30d, count(*) AS n FROM audit GROUP BY 1")
 _add(
@@ -537,7 +537,7 @@ _add(
 )
 _add(
     "a15_priors_reg", "meds med_g",
-    "SELECT repo_full_name, cnt, round(median_days, 6) AS median_days, round(global_count, 6) AS global_count, round(global_median, 6) AS global_median FROM meds, med_g",
+    "SELECT repo_full_name, cnt, round(median_days, 8) AS median_days, round(global_count, 6) AS global_count, round(global_median, 8) AS global_median FROM meds, med_g",
 )
 _add("a16_ttf_fill", "train", "SELECT round(coalesce(median(ttf_hours), 0.0E0), 6) AS ttf_fill FROM train")
 _add(
@@ -684,7 +684,7 @@ _add(
 )
 _add(
     "m6_fold_medians", "quick_folded",
-    """SELECT CAST(f AS INTEGER) AS for_fold, repo_full_name, count(*) AS cnt, round(median(days_to_close), 6) AS median_days
+    """SELECT CAST(f AS INTEGER) AS for_fold, repo_full_name, count(*) AS cnt, round(median(days_to_close), 8) AS median_days
        FROM quick_folded, (SELECT unnest(range(5)) AS f) WHERE coalesce(fold, -1) < f GROUP BY 1, 2""",
 )
 _pr = "SELECT score, tp / CAST(tp + fp AS DOUBLE) AS precision, tp / CAST(n_pos AS DOUBLE) AS recall FROM curve"
@@ -781,7 +781,7 @@ _add(
     f"""SELECT coalesce(cur.repo_full_name, nw.repo_full_name) AS repo_full_name, coalesce(nw.since, cur.since) AS since
         FROM cur FULL JOIN (
           SELECT repo_full_name, {_iso('max(updated_ts) - INTERVAL 900 SECOND')} AS since FROM (
-            SELECT s.repo_full_name, updated_ts, row_number() OVER (PARTITION BY s.repo_full_name ORDER BY updated_ts, id) AS rn
+            SELECT s.repo_full_name, updated_ts, row_number() OVER (PARTITION BY s.repo_full_name ORDER BY updated_ts, id, ingest_seq) AS rn
             FROM snaps s LEFT JOIN cur c ON s.repo_full_name = c.repo_full_name
             WHERE updated_ts >= strptime(coalesce(c.since, '{DEFAULT_SINCE}'), '%Y-%m-%dT%H:%M:%SZ'))
           WHERE rn <= 100 GROUP BY 1) nw ON cur.repo_full_name = nw.repo_full_name""",
