@@ -84,15 +84,13 @@ def latest_state(df: DataFrame, order: str = "ingest_seq") -> DataFrame:
         F.col("undated.created_ts") >= F.col("dated.updated_ts")
     )
     winner = F.when(prefer_undated, F.col("undated")).otherwise(F.col("dated"))
-    return best.select(winner.alias("w")).select("w.*")
+    return best.select(F.inline(F.array(winner)))
 
 
 def sane_times(df: DataFrame) -> DataFrame:
     """A close or first comment before creation is dropped; the row stays."""
-    created = F.col("created_ts")
-    return df.withColumns(
-        {c: F.when(F.col(c) >= created, F.col(c)) for c in ("closed_ts", "first_comment_ts")}
-    )
+    ends = [c for c in ("closed_ts", "first_comment_ts") if c in df.columns]
+    return df.withColumns({c: F.when(F.col(c) >= F.col("created_ts"), F.col(c)) for c in ends})
 
 
 def clean_and_dedup(df: DataFrame, order: str = "ingest_seq") -> DataFrame:

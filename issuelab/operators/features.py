@@ -32,27 +32,39 @@ def nonnegative_hours(start: str, end: str) -> Column:
     return F.when(hours >= 0, hours)
 
 
-def add_features_and_targets(df: DataFrame) -> DataFrame:
-    """Text, label, length, time and target columns of the training table."""
-    df = df.withColumns(
-        {"title": F.coalesce("title", F.lit("")), "body": F.coalesce("body", F.lit(""))}
-    )
-    df = df.withColumns(
+def with_text(df: DataFrame) -> DataFrame:
+    """Title and body without nulls, and what is derived from them alone."""
+    title, body = F.coalesce("title", F.lit("")), F.coalesce("body", F.lit(""))
+    return df.withColumns(
         {
+            "title": title,
+            "body": body,
             "text": full_text(),
-            "labels_str": F.array_join("labels", " "),
-            "labels_count": F.size("labels"),
-            "title_len": F.char_length("title"),
-            "body_len": F.char_length("body"),
-            "has_body": (F.char_length("body") > 0).cast("int"),
-            "created_dow": F.weekday("created_ts"),
-            "created_hour": F.hour("created_ts"),
-            "ttf_hours": nonnegative_hours("created_ts", "first_comment_ts"),
-            "days_to_close": exact_days("created_ts", "closed_ts"),
-            "is_closed": F.col("closed_ts").isNotNull().cast("int"),
+            "title_len": F.char_length(title),
+            "body_len": F.char_length(body),
+            "has_body": (F.char_length(body) > 0).cast("int"),
         }
     )
-    return df.withColumn("resolved_30d", within("days_to_close", HORIZON_DAYS))
+
+
+def derived_columns() -> dict[str, tuple[list[str], Column]]:
+    """Other derived columns: inputs they need, and their expression."""
+    days = exact_days("created_ts", "closed_ts")
+    return {
+        "labels_str": (["labels"], F.array_join("labels", " ")),
+        "labels_count": (["labels"], F.size("labels")),
+        "created_dow": (["created_ts"], F.weekday("created_ts")),
+        "created_hour": (["created_ts"], F.hour("created_ts")),
+        "ttf_hours": (["first_comment_ts"], nonnegative_hours("created_ts", "first_comment_ts")),
+        "days_to_close": (["closed_ts"], days),
+        "is_closed": (["closed_ts"], F.col("closed_ts").isNotNull().cast("int")),
+        "resolved_30d": (["closed_ts"], F.coalesce((days <= HORIZON_DAYS).cast("int"), F.lit(0))),
+    }
+
+
+def add_features_and_targets(df: DataFrame) -> DataFrame:
+    """Text, label, length, time and target columns of the training table."""
+    return with_text(df).withColumns({name: expr for name, (_, expr) in derived_columns().items()})
 
 
 def ttf_features(hours: Column, fill: float) -> dict[str, Column]:

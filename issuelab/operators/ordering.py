@@ -119,14 +119,18 @@ def before_key(order: Sequence[str], key: Sequence) -> Column:
     return reduce(lambda a, b: a | b, clauses)
 
 
-def exact_median(df: DataFrame, value: str, group: Sequence[str] = ()) -> DataFrame:
+def exact_median(
+    df: DataFrame, value: str, group: Sequence[str] = (), weight: str | None = None
+) -> DataFrame:
     """Exact median per group (or of the table), nulls ignored: columns ``group``, ``n``, ``median``.
 
-    Repeated values collapse to (value, count) before the shuffle; a hot group's values are then
-    spread by range rather than gathered in one task.
+    A row counts ``weight`` times (once by default). Repeated values collapse to (value, count)
+    before the shuffle; a hot group's values are then spread by range rather than gathered in one
+    task.
     """
     group = list(group)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("cnt"))
+    times = F.sum(weight) if weight else F.count("*")
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(times.alias("cnt"))
     ranked = running_totals(counts, [value], ["cnt"], group)
     lower = F.expr("(cnt_all - 1) div 2")
     upper = F.expr("cnt_all div 2")

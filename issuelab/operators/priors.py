@@ -75,9 +75,7 @@ def class_weight(train: DataFrame, label: str) -> DataFrame:
 def later_folds(k: int) -> Column:
     """Folds whose training part holds a row: those after the row's own block (null = first block)."""
     own = F.coalesce("fold", F.lit(-1))
-    return F.filter(
-        F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f > own
-    )
+    return F.filter(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: f > own)
 
 
 def fold_rate_tables(folded: DataFrame, label: str, k: int) -> DataFrame:
@@ -93,7 +91,8 @@ def fold_rate_tables(folded: DataFrame, label: str, k: int) -> DataFrame:
 
 def fold_median_tables(folded: DataFrame, target: str, k: int) -> DataFrame:
     """Median priors of every fold; values collapse to counts before they are copied per fold."""
-    rows = folded.select(REPO, target, F.explode(later_folds(k)).alias("for_fold"))
-    return exact_median(rows, target, ["for_fold", REPO]).select(
+    values = folded.groupBy(REPO, "fold", target).agg(F.count("*").alias("n"))
+    spread = values.select(REPO, target, "n", F.explode(later_folds(k)).alias("for_fold"))
+    return exact_median(spread, target, ["for_fold", REPO], weight="n").select(
         "for_fold", REPO, F.col("n").alias("cnt"), F.col("median").alias("median_days")
     )

@@ -26,7 +26,7 @@ from issuelab.operators import (
 )
 from issuelab.plans import training, views
 from issuelab.plans.dataset import training_table
-from issuelab.schemas import STAGE1_FEATURES, STAGE2_FEATURES
+from issuelab.schemas import BASE_FEATURES, LEGACY_FEATURES, STAGE1_FEATURES, STAGE2_FEATURES
 from issuelab.session import new_staging_path, stage
 from issuelab.sources import dumps, readers, writers
 from issuelab.streaming import jobs, store
@@ -67,9 +67,9 @@ def raw(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
     return views.raw_records(spark, d, text=body)
 
 
-def clean_rows(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
+def clean_rows(spark: SparkSession, d: str, body: bool = False, columns=None) -> DataFrame:
     """Training table; without ``body`` the text columns are empty and the text join is skipped."""
-    return training_table(raw(spark, d, body))
+    return training_table(raw(spark, d, body), columns=columns)
 
 
 def store_rows(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
@@ -83,11 +83,11 @@ def store_rows(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
 def messages(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
     """Raw records as broker messages; one in 53 is cut off and no longer JSON."""
     df = raw(spark, d, body)
-    payload = writers.message_payload(df)
-    seq = F.get_json_object("value", "$.ingest_seq").cast("long")
-    return payload.select(
-        "key",
-        F.when(seq % 53 == 0, F.expr("left(value, length(value) - 1)")).otherwise(F.col("value")).alias("value"),
+    seq = F.col("ingest_seq")
+    value = writers.message_value(df)
+    return df.select(
+        writers.message_key().alias("key"),
+        F.when(seq % 53 == 0, F.left(value, F.char_length(value) - 1)).otherwise(value).alias("value"),
         F.timestamp_seconds(seq).alias("timestamp"),
         (seq % 3).cast("int").alias("partition"),
         seq.alias("offset"),
@@ -96,9 +96,8 @@ def messages(spark: SparkSession, d: str, body: bool = False) -> DataFrame:
 
 def labelled(spark: SparkSession, d: str) -> DataFrame:
     """Narrow training rows with the horizon label and split, for the fitting queries."""
-    df = clean_rows(spark, d).select(
-        "row_id", "repo_full_name", "created_ts", "ttf_hours", "days_to_close"
-    )
+    columns = ["row_id", "repo_full_name", "created_ts", "ttf_hours", "days_to_close"]
+    df = clean_rows(spark, d, columns=columns)
     return df.withColumn("y", features.within("days_to_close", HORIZON))
 
 
@@ -146,14 +145,14 @@ def _mixed_dump(spark, d) -> str:
         "id", "number", "repo_full_name", "state", F.date_format("created_ts", views.ISO).alias("created_at")
     )
     body = F.to_json(F.struct(*rec.columns))
-    kind = F.when(F.col("id") % 1000 == 7, "object").when(F.col("id") % 4 == 1, "array").otherwise("lines")
+    kind = F.when(F.col("id") % 5000 == 7, "object").when(F.col("id") % 4 == 1, "array").otherwise("lines")
     rows = rec.select("id", kind.alias("kind"), body.alias("value"))
     lines = rows.where("kind = 'lines'").select(
         F.when(F.col("id") % 20 == 0, F.expr("left(value, length(value) - 3)")).otherwise(F.col("value"))
     )
     lines.write.text(f"{root}/kind=lines/")
-    # One array document per file: fixed-size runs of consecutive ids.
-    arrays = rows.where("kind = 'array'").groupBy(F.expr("id div 400").alias("run")).agg(
+    # One array document per file; a run of 4000 consecutive ids bounds what one file gathers.
+    arrays = rows.where("kind = 'array'").groupBy(F.expr("id div 4000").alias("run")).agg(
         F.concat(F.lit("[\n"), F.array_join(F.sort_array(F.collect_list("value")), ",\n"), F.lit("\n]")).alias("value")
     )
     arrays.select("value", "run").write.partitionBy("run").text(f"{root}/kind=array/")
@@ -186,8 +185,9 @@ def s9_embedding_bundle(spark, d):
     emb = views.table(spark, d, "embeddings").select(
         F.concat(F.lit("v#"), F.col("vec_id").cast("string")).alias("row_id"), "embedding"
     )
+    doubled = emb.withColumn("embedding", F.transform("embedding", lambda x: x * 2))
     writers.write_embeddings(emb, root, "lab/older encoder")
-    writers.write_embeddings(emb.where("row_id like '%7'"), root, "lab/new-encoder v2")
+    writers.write_embeddings(doubled, root, "lab/new-encoder v2")
     return readers.read_embeddings(spark, root).select(
         "row_id", F.size("embedding").alias("dim"), r6(vectors.l2_norm("embedding")).alias("norm")
     )
@@ -195,7 +195,7 @@ def s9_embedding_bundle(spark, d):
 
 @query
 def k3_iso_export(spark, d):
-    return writers.iso_export(clean_rows(spark, d)).select("row_id", *writers.TS_COLS)
+    return writers.iso_export(clean_rows(spark, d, columns=["row_id", *writers.TS_COLS])).select("row_id", *writers.TS_COLS)
 
 
 @query
@@ -362,7 +362,7 @@ def p18_sanity(spark, d):
 
 @query
 def p20_cap(spark, d):
-    return training_table(raw(spark, d), cap_days=30.0).select(
+    return training_table(raw(spark, d), cap_days=30.0, columns=["row_id", "days_to_close"]).select(
         "row_id", F.round("days_to_close", 8).alias("days_to_close")
     )
 
@@ -384,7 +384,7 @@ def p21_clean_table(spark, d):
 
 @query
 def p22_horizon_label(spark, d):
-    return clean_rows(spark, d).select(
+    return clean_rows(spark, d, columns=["row_id", "days_to_close"]).select(
         "row_id",
         features.within("days_to_close", 30).alias("close_within_30"),
         features.within("days_to_close", 7).alias("close_within_7"),
@@ -393,14 +393,14 @@ def p22_horizon_label(spark, d):
 
 @query
 def p23_regression_rows(spark, d):
-    return clean_rows(spark, d).where(F.col("days_to_close") <= HORIZON).select(
+    return clean_rows(spark, d, columns=["row_id", "days_to_close"]).where(F.col("days_to_close") <= HORIZON).select(
         "row_id", F.round("days_to_close", 8).alias("days_to_close")
     )
 
 
 @query
 def p25_t0_mode(spark, d):
-    df = features.at_creation(clean_rows(spark, d))
+    df = features.at_creation(clean_rows(spark, d, columns=["row_id", "comments", "ttf_hours"]))
     return df.select(
         "row_id",
         "comments",
@@ -449,8 +449,8 @@ def p30_repo_skip(spark, d):
 
 @query
 def p31_column_names(spark, d):
-    df = views.table(spark, d, "nation").withColumnRenamed("n_name", "  N_Name ")
-    return kpis.lower_names(df)
+    df = views.table(spark, d, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return kpis.lower_names(df.toDF("C_CustKey", "  C_Name ", "c_mktsegment "))
 
 
 @query
@@ -477,7 +477,7 @@ def p34_serving_impute(spark, d):
 
 @query
 def p35_legacy_features(spark, d):
-    return rounded(features.legacy_features(clean_rows(spark, d)), "ttf_hours")
+    return rounded(features.legacy_features(clean_rows(spark, d, columns=["row_id", *LEGACY_FEATURES])), "ttf_hours")
 
 
 @query
@@ -527,6 +527,7 @@ def j4_cursor_lookup(spark, d):
 
 @query
 def j5_first_comment(spark, d):
+    """The first collection of every issue."""
     df = views.issue_snapshots(spark, d).where("snap_no = 0").select(
         "id", "repo_full_name", "updated_ts", "comments", "is_pull_request"
     )
@@ -540,7 +541,7 @@ def j6_unsent_ids(spark, d):
     batch = views.issue_snapshots(spark, d, activity=False).select(
         "id", "state", F.col("ingest_seq").alias("seq")
     )
-    sent = views.table(spark, d, "orders").where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("id"))
+    sent = views.table(spark, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("id"))
     return ingest.unsent(batch, sent)
 
 
@@ -900,8 +901,14 @@ def f20_model_tag(spark, d):
 # --- models, metrics, decisions ------------------------------------------------------------------
 
 
+MODEL_COLS = [
+    "row_id", "repo_full_name", "created_ts", *BASE_FEATURES, "ttf_hours", "labels_str",
+    "author_association", "days_to_close",
+]
+
+
 def _rate_fit(spark, d, body=False):
-    df = stage(clean_rows(spark, d, body), "clean")
+    df = stage(clean_rows(spark, d, body, MODEL_COLS), "clean")
     rows = splits.with_time_split(df.withColumn("y", features.within("days_to_close", HORIZON)))
     train = rows.where("split = 'train'")
     fill = priors.ttf_fill(train).first()["ttf_fill"]
@@ -919,7 +926,7 @@ def m1_tabular_stage2(spark, d):
     train = quick_train_rows(spark, d)
     fitted = priors.fit_median_priors(train, "days_to_close")
     fill = priors.ttf_fill(train).first()["ttf_fill"]
-    df = features.tabular_features(clean_rows(spark, d), fitted, fill, moment="t0")
+    df = features.tabular_features(clean_rows(spark, d, columns=MODEL_COLS), fitted, fill, moment="t0")
     df = rounded(df.select("row_id", *STAGE2_FEATURES), *STAGE2_FEATURES[:-1])
     return rounded(df, STAGE2_FEATURES[-1], places=8)
 
@@ -996,7 +1003,8 @@ def m14_baseline(spark, d):
 
 @query
 def m16_serving_features(spark, d):
-    _, fitted, fill = _rate_fit(spark, d)
+    train = train_rows(spark, d)
+    fitted, fill = priors.fit_rate_priors(train, "y"), priors.ttf_fill(train).first()["ttf_fill"]
     requests = views.raw_records(spark, d).where("state = 'open'").withColumns(
         {
             "row_id": F.col("ingest_seq"),
@@ -1037,9 +1045,9 @@ SMALL = training.Settings(rounds=6, folds=2, step=0.1)
 
 def _texts(spark, d):
     """Cleaned issues, written once, with their text vectors."""
-    table = stage(clean_rows(spark, d, body=True), "clean")
+    table = stage(clean_rows(spark, d, body=True, columns=[*MODEL_COLS, "text"]), "clean")
     encoder = embeddings.text_encoder(32).fit(table.select("text"))
-    return table.drop("text", "body"), stage(embeddings.embed(table, encoder), "vectors")
+    return table.drop("text"), stage(embeddings.embed(table, encoder), "vectors")
 
 
 @query
@@ -1067,7 +1075,7 @@ def m4_stage2(spark, d):
 @query
 def m5_oof(spark, d):
     """Out-of-fold scores on tabular features."""
-    table = stage(clean_rows(spark, d).withColumn("y", features.within("days_to_close", HORIZON)), "clean")
+    table = stage(clean_rows(spark, d, columns=MODEL_COLS).withColumn("y", features.within("days_to_close", HORIZON)), "clean")
     oof, _ = training.oof_predictions(table, SMALL)
     return oof.select("row_id", "y", "fold", "p")
 
@@ -1082,15 +1090,13 @@ def m8_isotonic(spark, d):
 @query
 def m15_score_open(spark, d):
     """Both stages trained, saved, loaded again and applied to every open issue."""
-    table = stage(clean_rows(spark, d, body=True).drop("text"), "clean")
+    table = stage(clean_rows(spark, d, body=True, columns=MODEL_COLS), "clean")
     one, _, _ = training.train_stage1(table, None, SMALL)
     two, _, _ = training.train_stage2(table, None, SMALL)
     path = new_staging_path(spark, "models")
     training.save_bundle(one, f"{path}/one")
     training.save_bundle(two, f"{path}/two")
-    requests = raw(spark, d, body=True).where("state = 'open' and not is_pull_request and ingest_seq % 4 = 0").withColumns(
-        {"row_id": clean.row_id(), "labels": without_nulls()}
-    )
+    requests = clean_rows(spark, d, body=True).where("is_closed = 0")
     scored = training.score_stage1(requests, training.load_bundle(spark, f"{path}/one"), as_of=as_of())
     both = training.score_stage2(scored, training.load_bundle(spark, f"{path}/two"), as_of=as_of())
     return decide.triage(both, cut=one.threshold).select("row_id", "p", "r", "is_fast", "est_days", decide.risk_band("p").alias("band"))

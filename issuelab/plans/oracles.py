@@ -279,7 +279,7 @@ _add(
               CAST(sum(CASE WHEN bad THEN 0 ELSE id END) AS BIGINT) AS id_sum,
               CAST(sum(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT) AS with_id
        FROM (SELECT id, kind, kind = 'lines' AND id % 20 = 0 AS bad
-             FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 1000 = 7 THEN 'object' WHEN o_orderkey % 4 = 1 THEN 'array' ELSE 'lines' END AS kind FROM orders))
+             FROM (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 5000 = 7 THEN 'object' WHEN o_orderkey % 4 = 1 THEN 'array' ELSE 'lines' END AS kind FROM orders))
        GROUP BY kind""",
 )
 _add("s7_store_scan", "store", f"SELECT id, {_shown('created_at')}, {_shown('closed_at')}, comma_labels AS labels_str FROM store")
@@ -290,8 +290,8 @@ _add(
 _add(
     "s9_embedding_bundle", "",
     """SELECT 'v#' || CAST(vec_id AS VARCHAR) AS row_id, CAST(len(embedding) AS INTEGER) AS dim,
-              round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 6) AS norm
-       FROM embeddings WHERE CAST(vec_id AS VARCHAR) LIKE '%7'""",
+              round(sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) * 2, 6) AS norm
+       FROM embeddings""",
 )
 _add(
     "k3_iso_export", "clean",
@@ -308,7 +308,7 @@ _add(
 _add(
     "k6_merge_report", "",
     """SELECT 0 AS skipped, CAST(sum(CASE WHEN bad THEN 0 ELSE 1 END) AS BIGINT) AS records, CAST(sum(CASE WHEN bad THEN 1 ELSE 0 END) AS BIGINT) AS bad_lines
-       FROM (SELECT o_orderkey % 1000 <> 7 AND o_orderkey % 4 <> 1 AND o_orderkey % 20 = 0 AS bad FROM orders)""",
+       FROM (SELECT o_orderkey % 5000 <> 7 AND o_orderkey % 4 <> 1 AND o_orderkey % 20 = 0 AS bad FROM orders)""",
 )
 _add(
     "k8_message_payload", "facts",
@@ -447,7 +447,7 @@ _add(
     """SELECT id, full_name, has_issues FROM (SELECT * FROM repos ORDER BY seq LIMIT 1000)
        WHERE full_name <> '' AND coalesce(has_issues, TRUE)""",
 )
-_add("p31_column_names", "", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+_add("p31_column_names", "", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
 _add(
     "p32_audit_prep", "audit",
     "SELECT id, round(days_to_close, 8) AS days_to_close, resolved AS resolved_30d, strftime(created_at, '%Y-%m') AS created_month FROM audit",
@@ -492,7 +492,7 @@ _add(
 _add(
     "j6_unsent_ids", "snaps",
     """SELECT id, state, ingest_seq AS seq FROM snaps WHERE snap_no = 0
-       AND id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0)""",
+       AND id NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'O')""",
 )
 
 _add("a1_total", "snaps", "SELECT count(*) AS n FROM snaps")

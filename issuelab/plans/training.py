@@ -130,9 +130,13 @@ def _probability(model, rows: DataFrame) -> DataFrame:
     return scored.withColumn("p", vector_to_array("probability")[1])
 
 
-def fit_calibrator(scored: DataFrame) -> IsotonicRegressionModel:
-    """Isotonic fit on (p, y); rows collapse to one weighted point per distinct score first."""
-    points = scored.groupBy("p").agg(
+def fit_calibrator(scored: DataFrame, places: int = 6) -> IsotonicRegressionModel:
+    """Isotonic fit on (p, y).
+
+    Rows collapse to one weighted point per score first. The library merges its blocks on the driver,
+    so scores are told apart to ``places`` digits, which bounds the points at a million.
+    """
+    points = scored.groupBy(F.round("p", places).alias("p")).agg(
         F.avg(F.col("y").cast("double")).alias("label"), F.count("*").cast("double").alias("weight")
     )
     return IsotonicRegression(

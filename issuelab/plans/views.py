@@ -8,15 +8,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from issuelab.session import use_utc
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is looked up once per path."""
     use_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def _spread(df: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Rows spread by key where the fact table's files are too few to keep every core busy."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if facts.rdd.getNumPartitions() < cores else df
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
@@ -27,7 +41,7 @@ def repo_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer key to repository name."""
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
-    return customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).select(
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         "c_custkey",
         F.col("c_name").alias("user_login"),
         F.concat("n_name", F.lit("/"), "c_mktsegment").alias("repo_full_name"),
@@ -35,8 +49,9 @@ def repo_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     return (
-        table(spark, sf_dir, "lineitem")
+        _spread(lines, lines, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(
             F.count("*").alias("n_lines"),
@@ -50,10 +65,13 @@ def issue_facts(
     spark: SparkSession, sf_dir: str, text: bool = False, activity: bool = True
 ) -> DataFrame:
     """One row per issue. ``text`` adds title and body, ``activity`` adds the line-item columns."""
-    orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
     created = _plus_seconds(F.col("o_orderdate").cast("timestamp"), (key * 7919) % 86400)
-    df = orders.join(repo_names(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).select(
+    orders = table(spark, sf_dir, "orders")
+    named = orders.join(repo_names(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "repo_full_name", "user_login", "o_orderstatus", "o_orderpriority", "o_orderdate"
+    )
+    df = _spread(named, orders, "o_orderkey").select(
         key.alias("id"),
         key.alias("number"),
         "repo_full_name",
@@ -205,7 +223,7 @@ def api_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    return customer.join(F.broadcast(nation), customer.c_nationkey == nation.n_nationkey).select(
+    return customer.join(nation, customer.c_nationkey == nation.n_nationkey).select(
         key.alias("id"),
         F.concat("n_name", F.lit("/"), "c_mktsegment").alias("full_name"),
         F.col("c_mktsegment").alias("name"),
@@ -238,11 +256,11 @@ def _iso_of(c: Column) -> Column:
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Comment events: several per issue."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    opened = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     secs = (F.col("o_orderkey") * 7919) % 86400 + (
         F.col("l_partkey") * 31 + F.col("l_linenumber") * 977
     ) % 432000
-    return line.join(orders, line.l_orderkey == orders.o_orderkey).select(
+    return line.join(opened, line.l_orderkey == opened.o_orderkey).select(
         F.col("l_orderkey").alias("issue_id"),
         F.col("l_linenumber").alias("comment_no"),
         _plus_seconds(F.col("o_orderdate").cast("timestamp"), secs).alias("comment_ts"),
@@ -252,10 +270,10 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deterministic score with many ties, a log-days prediction and the 30-day outcome."""
     key = F.col("o_orderkey")
-    orders = table(spark, sf_dir, "orders")
     close_secs = (key * 104729) % 7776000
     closed = F.col("o_orderstatus") == "F"
-    return orders.select(
+    orders = table(spark, sf_dir, "orders")
+    return _spread(orders, orders, "o_orderkey").select(
         key.alias("id"),
         (((key * 7919) % 1000) / F.lit(1000.0)).alias("p"),
         F.log(F.lit(1.0) + (key * 104729) % 40).alias("r"),
@@ -268,5 +286,5 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Issues with the id of their embedding; one residue class has no vector."""
     emb = table(spark, sf_dir, "embeddings").agg((F.count("*") + 1).alias("m"))
-    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
-    return orders.crossJoin(F.broadcast(emb)).select("id", (F.col("id") % F.col("m")).alias("vec_id"))
+    issues = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    return issues.crossJoin(F.broadcast(emb)).select("id", (F.col("id") % F.col("m")).alias("vec_id"))

@@ -10,7 +10,7 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
-# One flat issue record, as collected or as carried by a stream message.
+# One flat issue record, as collected or as carried by a stream message.
 ISSUE_RAW = _struct(
     ("collected_at", _STR),
     ("repo_full_name", _STR),
@@ -39,7 +39,7 @@ ISSUE_RAW = _struct(
     ("first_comment_at", _STR),
 )
 
-# The nested issue object of the hosting API.
+# The nested issue object of the hosting API.
 ISSUE_API = _struct(
     ("id", _LONG),
     ("node_id", _STR),
@@ -64,7 +64,7 @@ ISSUE_API = _struct(
     ("pull_request", T.MapType(_STR, _STR)),
 )
 
-# The nested repository object of the hosting API.
+# The nested repository object of the hosting API.
 REPO_API = _struct(
     ("id", _LONG),
     ("node_id", _STR),
@@ -91,7 +91,7 @@ REPO_API = _struct(
     ("visibility", _STR),
 )
 
-# A scoring request; missing text is empty, missing counts are 0, missing flag is false.
+# A scoring request; missing text is empty, missing counts are 0, missing flag is false.
 SCORE_REQUEST = _struct(
     ("repo_full_name", _STR),
     ("number", _LONG),

@@ -55,12 +55,18 @@ def append_by_repo(df: DataFrame, path: str, run_ts: str) -> None:
     )
 
 
+def message_key() -> Column:
+    return F.col("id").cast("string")
+
+
+def message_value(df: DataFrame) -> Column:
+    """All columns as one JSON object; a missing value is written as null."""
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+
+
 def message_payload(df: DataFrame) -> DataFrame:
     """Key and JSON value of each issue as published."""
-    return df.select(
-        F.col("id").cast("string").alias("key"),
-        F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"),
-    )
+    return df.select(message_key().alias("key"), message_value(df).alias("value"))
 
 
 def publish(df: DataFrame, servers: str, topic: str) -> None:

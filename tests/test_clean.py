@@ -152,3 +152,18 @@ def test_leak_guard():
 def test_serving_imputation(spark):
     df = spark.createDataFrame([(0, 2), (None, 0), (5, 1)], "comments int, num_assignees int")
     assert [tuple(r) for r in features.with_activity(df).collect()] == [(1, 2), (None, 1), (5, 1)]
+
+
+def test_narrow_build_equals_the_full_table(spark):
+    df = raw(spark, [
+        {"number": str(i % 7), "title": f"t{i}", "body": "x" * i, "labels": ["a", None], "comments": str(i),
+         "updated_at": f"2024-01-0{i % 9 + 1}T00:00:00Z", "closed_at": f"2024-02-0{i % 5 + 1}T00:00:00Z",
+         "first_comment_at": f"2024-01-01T0{i % 9}:00:00Z"}
+        for i in range(40)
+    ])
+    columns = [c for c in CLEAN_COLS if c not in ("title", "body")]
+    full = sorted(map(str, training_table(df, 33.0).select(*columns).collect()))
+    assert sorted(map(str, training_table(df, 33.0, columns=columns).collect())) == full
+    few = ["row_id", "body_len", "days_to_close"]
+    want = sorted(map(str, training_table(df).select(*few).collect()))
+    assert sorted(map(str, training_table(df, columns=few).collect())) == want
