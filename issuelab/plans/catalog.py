@@ -6,6 +6,7 @@ compare value by value with the SQL in ``oracles``.
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,6 +119,28 @@ def quick_train_rows(spark: SparkSession, d: str) -> DataFrame:
 # --- sources and sinks ---------------------------------------------------------------------------
 
 
+def _dump(spark, d) -> str:
+    """Raw records written as JSON lines per repository and run."""
+    path = new_staging_path(spark, "raw")
+    writers.append_by_repo(raw(spark, d).drop("ingest_seq"), path, "20240101_000000")
+    return path
+
+
+@query
+def s1_jsonl_scan(spark, d):
+    """Recursive scan of a dump; every row gets its place in the dump."""
+    df = readers.read_jsonl(spark, _dump(spark, d), pattern="*.json")
+    return df.groupBy("repo_full_name", "state").agg(
+        F.count("*").alias("n"), F.sum("id").alias("id_sum"), F.count_distinct("ingest_seq").alias("places"),
+        F.sum("comments").alias("comments"),
+    )
+
+
+@query
+def s5_sample(spark, d):
+    return kpis.total(readers.read_sample(spark, _dump(spark, d), pattern="*.json"))
+
+
 @query
 def s3_parquet_scan(spark, d):
     return readers.read_store(spark, f"{d}/orders.parquet").select(
@@ -193,6 +216,15 @@ def s9_embedding_bundle(spark, d):
     )
 
 
+@query
+def k2_training_parquet(spark, d):
+    """Training table written, then scanned for the columns a trainer needs."""
+    path = new_staging_path(spark, "table")
+    writers.write_training(clean_rows(spark, d), path)
+    df = readers.read_training(spark, path, ["row_id", "created_ts", "days_to_close"])
+    return df.select("row_id", shown("created_ts"), F.round("days_to_close", 8).alias("days_to_close"))
+
+
 @query
 def k3_iso_export(spark, d):
     return writers.iso_export(clean_rows(spark, d, columns=["row_id", *writers.TS_COLS])).select("row_id", *writers.TS_COLS)
@@ -781,6 +813,17 @@ def u2_repo_sources(spark, d):
     )
 
 
+@query
+def u3_feature_concat(spark, d):
+    """Tabular columns and the embedding side by side in one vector."""
+    emb = views.table(spark, d, "embeddings")
+    keyed = F.col("vec_id").cast("string").alias("row_id")
+    tab = emb.select(keyed, F.col("label").cast("double").alias("label"), F.size("embedding").cast("double").alias("dim"))
+    both = training.vectorized(tab, ["label", "dim"], emb.select(keyed, "embedding"))
+    full = vector_to_array("features")
+    return both.select("row_id", F.size(full).alias("n"), F.round(vectors.l2_norm(full), 4).alias("norm"))
+
+
 # --- scalar functions ----------------------------------------------------------------------------
 
 
@@ -1136,6 +1179,19 @@ def t4_stream_upsert(spark, d):
     return store.read_current(spark, path).select("id", "repo_full_name", "state", shown("updated_at"))
 
 
+@query
+def t5_backfill_then_live(spark, d):
+    """Open issues' history loaded first, everything else followed as a stream."""
+    path, ck, landed = (new_staging_path(spark, n) for n in ("store", "ck", "landed"))
+    sent = messages(spark, d)
+    is_open = F.get_json_object("value", "$.state") == "open"
+    history = sent.where(is_open)
+    sent.where(~is_open | is_open.isNull()).repartition(2, "key").write.json(landed)
+    live = jobs.enriched(readers.read_stream(spark, landed), as_of=as_of())
+    jobs.backfill_then_live(jobs.enriched(history, as_of=as_of()), live, path, ck).awaitTermination()
+    return store.read_current(spark, path).select("id", "repo_full_name", "state", shown("updated_at"))
+
+
 @query
 def t6_stream_dedup(spark, d):
     """Ids emitted once over the whole run."""

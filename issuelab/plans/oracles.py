@@ -786,3 +786,18 @@ _add(
             WHERE updated_ts >= strptime(coalesce(c.since, '{DEFAULT_SINCE}'), '%Y-%m-%dT%H:%M:%SZ'))
           WHERE rn <= 100 GROUP BY 1) nw ON cur.repo_full_name = nw.repo_full_name""",
 )
+SQL["t5_backfill_then_live"] = SQL["t4_stream_upsert"]
+_add(
+    "s1_jsonl_scan", "snaps",
+    """SELECT repo_full_name, state, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, count(*) AS places, CAST(sum(comments) AS BIGINT) AS comments
+       FROM snaps GROUP BY 1, 2""",
+)
+_add("s5_sample", "snaps", "SELECT least(count(*), 100000) AS n FROM snaps")
+_add("k2_training_parquet", "clean", f"SELECT row_id, {_shown('created_ts')}, round(days_to_close, 8) AS days_to_close FROM clean")
+_add(
+    "u3_feature_concat", "",
+    """SELECT CAST(vec_id AS VARCHAR) AS row_id, CAST(2 + len(embedding) AS INTEGER) AS n,
+              round(sqrt(label * label + len(embedding) * len(embedding)
+                + list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 4) AS norm
+       FROM embeddings""",
+)

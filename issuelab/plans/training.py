@@ -38,7 +38,7 @@ from issuelab.operators.priors import (
     ttf_fill,
 )
 from issuelab.schemas import feature_order
-from issuelab.session import stage
+from issuelab.session import ensure_checkpoints, stage
 
 MIN_REGRESSION_ROWS = 500
 
@@ -121,6 +121,7 @@ def _learning_rows(
 
 def _fit(learner, rows: DataFrame, train: str, held_out: str):
     """Fit on one part with early stopping on another."""
+    ensure_checkpoints(rows.sparkSession)
     both = rows.where(F.col("part").isin(train, held_out))
     return learner.fit(both.withColumn("held_out", F.col("part") == held_out))
 

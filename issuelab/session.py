@@ -52,6 +52,12 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root
 
 
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Let iterative learners cut their lineage in the shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(staging_root(spark))
+
+
 def new_staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 

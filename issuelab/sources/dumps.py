@@ -27,6 +27,11 @@ class Merged:
     report: DataFrame  # file, status, records, bad_lines
 
 
+def _files(lines: DataFrame) -> DataFrame:
+    """Names of all matched files, from the scan's own listing: a scan yields no row of an empty file."""
+    return lines.sparkSession.createDataFrame([(f,) for f in lines.inputFiles()], "file string")
+
+
 def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
     text = (
         spark.read.option("pathGlobFilter", pattern)
@@ -89,8 +94,7 @@ def merge_dumps(
     """
     use_utc(spark)
     lines = _lines(spark, root, pattern, recursive)
-    names = lines.select("file").distinct()
-    survey = stage(names.join(_survey(lines), "file", "left"), "dumps")
+    survey = stage(_files(lines).join(_survey(lines), "file", "left"), "dumps")
     unreadable = F.coalesce(~F.col("readable"), F.lit(False))
     # A file whose first line is no JSON by itself, or that starts an array, may be one document.
     one_document = ~unreadable & ((F.col("sign") == "[") | ((F.col("sign") == "{") & ~F.col("first_ok")))

@@ -25,14 +25,18 @@ def arrival_order() -> Column:
 
 
 def read_jsonl(
-    spark: SparkSession, root: str, schema: T.StructType = ISSUE_RAW, with_order: bool = True
+    spark: SparkSession,
+    root: str,
+    schema: T.StructType = ISSUE_RAW,
+    with_order: bool = True,
+    pattern: str = "*.jsonl",
 ) -> DataFrame:
-    """All ``*.jsonl`` files below ``root``; blank lines are skipped, a malformed line fails the job."""
+    """All JSON-lines files below ``root``; blank lines are skipped, a malformed line fails the job."""
     use_utc(spark)
     df = (
         spark.read.schema(schema)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.jsonl")
+        .option("pathGlobFilter", pattern)
         .option("mode", "FAILFAST")
         .json(root)
     )
@@ -94,9 +98,11 @@ def load_issues(spark: SparkSession, source: str, location: str | Sequence[str],
     return df
 
 
-def read_sample(spark: SparkSession, path: str, rows: int = 100_000, schema: T.StructType = ISSUE_RAW) -> DataFrame:
+def read_sample(
+    spark: SparkSession, path: str, rows: int = 100_000, schema: T.StructType = ISSUE_RAW, **kw
+) -> DataFrame:
     """First rows of a JSON-lines dump in file order."""
-    df = read_jsonl(spark, path, schema)
+    df = read_jsonl(spark, path, schema, **kw)
     return df.orderBy("ingest_seq").limit(rows).drop("ingest_seq")
 
 

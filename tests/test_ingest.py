@@ -108,7 +108,8 @@ def test_mixed_layout_merge(spark, tmp_path):
     account = {os.path.basename(r["file"]): (r["status"], r["records"], r["bad_lines"]) for r in merged.report.collect()}
     assert account["array.json"] == ("document", 2, 0) and account["object.json"] == ("document", 1, 0)
     assert account["lines.jsonl"] == ("lines", 3, 1) and account["badfirst.ndjson"] == ("lines", 1, 1)
-    assert account["latin.jsonl"][0] == "skipped"
+    assert account["latin.jsonl"][0] == "skipped" and account["empty.json"] == ("lines", 0, 0)
+    assert account["one%20line.json"] == ("lines", 1, 0) and len(account) == 7
     total = dumps.report_totals(merged.report).first()
     assert (total["records"], total["bad_lines"], total["skipped"]) == (8, 2, 1)
     with pytest.raises(ValueError):
