@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,13 @@ class Merged:
 
 def _files(lines: DataFrame) -> DataFrame:
     """Names of all matched files, from the scan's own listing: a scan yields no row of an empty file."""
-    return lines.sparkSession.createDataFrame([(f,) for f in lines.inputFiles()], "file string")
+    names = lines.sparkSession.createDataFrame([(f,) for f in lines.inputFiles()], "file string")
+    return names.select(_one_spelling("file").alias("file"))
+
+
+def _one_spelling(path: str) -> Column:
+    """Local paths come as ``file:/x`` or ``file:///x``."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
 def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
@@ -40,7 +46,7 @@ def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool) -> Dat
     )
     value = F.trim(F.translate("value", "\t\r", "  "))
     return text.select(
-        F.col("_metadata.file_path").alias("file"),
+        _one_spelling("_metadata.file_path").alias("file"),
         F.struct(
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("row"),
@@ -75,7 +81,7 @@ def _whole_files(spark: SparkSession, paths: list[str], schema: T.StructType) ->
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD)
         .json(paths)
-        .withColumn("file", F.col("_metadata.file_path"))
+        .withColumn("file", _one_spelling("_metadata.file_path"))
     )
 
 
