@@ -59,6 +59,26 @@ def test_running_totals_match_a_window(skewed):
         seen[g] = seen.get(g, 0) + 2
 
 
+def test_a_hot_group_is_split_over_tasks(skewed, monkeypatch):
+    _, df = skewed
+    sizes = []
+
+    def spy(table, label):
+        out = stage(table, label)
+        if "_part" in out.columns:
+            sizes.extend(r["count"] for r in out.groupBy("_part").count().collect())
+        return out
+
+    stage = ordering.stage
+    monkeypatch.setattr(ordering, "stage", spy)
+    df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ordering.row_positions(df.select("grp", "id"), ["id"], ["grp"]).count()
+    finally:
+        df.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 4000 and max(sizes) < 4000 * 0.25
+
+
 def test_global_positions(skewed):
     data, df = skewed
     got = ordering.row_positions(df.select("id"), ["id"]).collect()
