@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -72,7 +72,3 @@ def align(df: DataFrame, vectors: DataFrame, key: str = "row_id", strict: bool =
     if strict:
         require_aligned(df, vectors, key)
     return df.join(vectors, key)
-
-
-def vector_columns(tabular: Sequence[str]) -> list[str]:
-    return [*tabular, "embedding_vec"]

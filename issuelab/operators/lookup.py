@@ -6,14 +6,25 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from issuelab.session import stage
 
-BROADCAST_ROWS = 200_000  # look-up rows are a key and a few numbers: well below 100 MB
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_KEYS = 100
 SPREAD = 1 << 14
 
 
+def fits_broadcast(table: DataFrame, max_rows: int) -> bool:
+    """Measured rows and bytes of a written table are within the bounds."""
+    texts = [f.name for f in table.schema if isinstance(f.dataType, StringType)]
+    fixed = 16 * (len(table.columns) - len(texts))
+    width = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(fixed))
+    size = table.agg(F.count("*").alias("n"), F.sum(width).alias("bytes")).first()
+    return size["n"] <= max_rows and (size["bytes"] or 0) <= BROADCAST_BYTES
+
+
 def lookup_join(
     facts: DataFrame,
     table: DataFrame,
@@ -24,13 +35,13 @@ def lookup_join(
 ) -> DataFrame:
     """Left join ``facts`` to ``table`` (one row per ``key``).
 
-    The table is written once and counted. If it is small it is broadcast. Otherwise its
+    The table is written once and measured. If it is small it is broadcast. Otherwise its
     ``HOT_KEYS`` heaviest keys (by ``weight``) are broadcast and matched first, those rows get
     spread-out keys that match nothing, and the rest go through one balanced shuffle join.
     """
     table = stage(table, "lookup")
     values = [c for c in table.columns if c != key]
-    if table.limit(broadcast_rows + 1).count() <= broadcast_rows:
+    if fits_broadcast(table, broadcast_rows):
         return facts.join(F.broadcast(table), key, "left").select(*facts.columns, *values)
     if weight is None:  # adaptive execution splits skewed partitions
         return facts.join(table, key, "left").select(*facts.columns, *values)

@@ -941,6 +941,12 @@ def f20_model_tag(spark, d):
     return df.select("p_partkey", text.model_tag(F.concat(F.lit("lab/"), "p_name", F.lit(" é#1"))).alias("tag"))
 
 
+@query
+def f20_run_stamp(spark, d):
+    df = views.issue_facts(spark, d, activity=False)
+    return df.select("id", timing.run_stamp("created_ts").alias("stamp"))
+
+
 # --- models, metrics, decisions ------------------------------------------------------------------
 
 

@@ -801,3 +801,4 @@ _add(
                 + list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))), 4) AS norm
        FROM embeddings""",
 )
+_add("f20_run_stamp", "facts", "SELECT id, strftime(created_ts, '%Y%m%d_%H%M%S') AS stamp FROM facts")

@@ -44,9 +44,12 @@ def read_jsonl(
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    """A document-store export without its internal key."""
+    """A document-store export without its internal key, with each row's place in it."""
     use_utc(spark)
-    return spark.read.parquet(path).drop("_id")
+    df = spark.read.parquet(path)
+    if "ingest_seq" not in df.columns:
+        df = df.select("*", arrival_order().alias("ingest_seq"))
+    return df.drop("_id")
 
 
 def read_collection(spark: SparkSession, uri: str, database: str, collection: str) -> DataFrame:
@@ -59,6 +62,7 @@ def read_collection(spark: SparkSession, uri: str, database: str, collection: st
         .option("collection", collection)
         .load()
         .drop("_id")
+        .withColumn("ingest_seq", F.monotonically_increasing_id())
     )
 
 

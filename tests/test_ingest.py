@@ -143,6 +143,29 @@ def test_dataset_build(spark, tmp_path):
     assert meta["n_rows"] == 1 and len(meta["columns"]) == 29
 
 
+def test_dataset_from_a_store(spark, tmp_path):
+    rows = [("o/r", 1, "2024-01-01T00:00:00Z", "x"), ("o/r", 2, "2024-01-02T00:00:00Z", "y")]
+    df = spark.createDataFrame(rows, "repo_full_name string, number long, created_at string, _id string")
+    df.write.parquet(f"{tmp_path}/store")
+    built = build_dataset(spark, "store", f"{tmp_path}/store", f"{tmp_path}/out")
+    assert sorted(r["row_id"] for r in built.collect()) == ["o/r#1", "o/r#2"] and "_id" not in built.columns
+
+
+def test_state_versions_and_run_log(spark, tmp_path):
+    from issuelab.plans import training
+
+    one = spark.createDataFrame([("o/r", "s1")], "repo_full_name string, since string")
+    path = writers.write_state(one, str(tmp_path), 1)
+    two = ingest.upsert_state(spark.read.parquet(path), one.withColumn("since", F.lit("s2")))
+    assert spark.read.parquet(writers.write_state(two, str(tmp_path), 2)).first()["since"] == "s2"
+    params = training.parameters(spark, {"depth": 4})
+    measured = spark.createDataFrame([("test_mae", 1.5)], "name string, value double")
+    for run in ("a", "b"):
+        training.append_run(training.run_record(run, "stage2", params, measured), f"{tmp_path}/runs")
+    got = {(r["run_id"], r["kind"], r["name"], r["value"]) for r in spark.read.parquet(f"{tmp_path}/runs").collect()}
+    assert got == {(r, k, n, v) for r in "ab" for k, n, v in (("param", "depth", "4"), ("metric", "test_mae", "1.5"))}
+
+
 def test_dashboard_scan_labels(spark):
     df = spark.createDataFrame([(["a", "b"], ""), (None, "2024-01-01")], "labels array<string>, created_at string")
     got = readers.dashboard_issues(df).collect()
