@@ -5,9 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import quality
+from issuelab.llm import pii, quality, secret_scan
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
+from issuelab.llm.spans import count_kind, listed
+
+
+def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    return found.select(
+        "doc_id",
+        *[count_kind(F.col("base"), kind).alias(f"n_{kind}") for kind in kinds],
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digests(pii.with_spans(docs), pii.KINDS)
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _span_digests(secret_scan.with_spans(docs), secret_scan.KINDS)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +36,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
+    "op4_secret_scan": op4_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
