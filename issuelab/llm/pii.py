@@ -241,10 +241,7 @@ def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "t
     keyed = lookup_join(
         keyed, added.withColumnRenamed("text_key", key), key, weight="copies", spread_by=tuple(docs.columns)
     )
-    by_kind = [
-        F.array_sort(F.filter("added", lambda s, k=kind: s["kind"] == k)) for kind in ("general", "removed")
-    ]
-    extra = F.coalesce(F.concat(*by_kind), F.array().cast(SPAN_TYPE))
+    extra = F.coalesce(F.array_sort("added"), F.array().cast(SPAN_TYPE))  # by kind, then start
     return keyed.withColumn("spans", F.concat("base", extra)).drop(key, "added", "copies")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import pii, quality, secret_scan
+from issuelab.llm import pii, quality, secret_scan, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -30,12 +30,20 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_scan.with_spans(docs), secret_scan.KINDS)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.drop("text")
 
 
 QUERIES = {
+    "op9_toxicity": op9_toxicity,
     "op2_pii": op2_pii,
     "op4_secret_scan": op4_secret_scan,
     "op10_quality_rules": op10_quality_rules,
