@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import pii, quality, secret_scan, toxicity
+from issuelab.llm import packing, pii, quality, secret_scan, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -30,6 +31,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_scan.with_spans(docs), secret_scan.KINDS)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoder = packing.word_tokens(public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), encoder).drop("ids")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
@@ -43,6 +49,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op2_pii": op2_pii,
     "op4_secret_scan": op4_secret_scan,
