@@ -44,8 +44,8 @@ PIECES = (
 class Penalties:
     """Costs of a cut, in padded tokens; ``grid`` is the spacing of cuts inside long sentences."""
 
-    sentence: float = 1.0
-    anywhere: float = 8.0
+    sentence: float = 0.5
+    anywhere: float = 2.0
     grid: int = 16
 
 

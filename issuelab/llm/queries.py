@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import packing, pii, quality, secret_scan, toxicity
+from issuelab.llm import bpe, packing, pii, quality, secret_scan, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -21,6 +21,15 @@ def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     )
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    back = bpe.decoded(bpe.encoded(docs, path, public_tokenizers.PATTERN), path)
+    return back.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return _span_digests(pii.with_spans(docs), pii.KINDS)
@@ -49,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op2_pii": op2_pii,
