@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import bpe, packing, pii, quality, secret_scan, toxicity
+from issuelab.llm import bpe, chat, packing, pii, quality, secret_scan, sharding, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -35,11 +35,36 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(pii.with_spans(docs), pii.KINDS)
 
 
+def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    fixed = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], tables.schema)
+    back = chat.read_back(chat.build_tree(tables.unionByName(fixed)))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.length("learned").cast("bigint").alias("loss_chars"),
+        F.sha2("learned", 256).alias("loss_sha256"),
+        F.length("formatted").cast("bigint").alias("formatted_chars"),
+    )
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return _span_digests(secret_scan.with_spans(docs), secret_scan.KINDS)
 
 
+#: Bytes of text in a shard of ``op7_sharding``.
+SHARD_BYTES = 1 << 20
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.assign(docs, "doc_id", "text", SHARD_BYTES).drop("text")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = packing.word_tokens(public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(read_table(spark, sf_dir, "documents"), encoder).drop("ids")
@@ -59,13 +84,16 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
-    "op8_packing": op8_packing,
-    "op9_toxicity": op9_toxicity,
     "op2_pii": op2_pii,
+    "op3_chat_tree": op3_chat_tree,
     "op4_secret_scan": op4_secret_scan,
+    "op7_sharding": op7_sharding,
+    "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
+    "op7_sharding": sharding.sharding_sql(SHARD_BYTES),
     "op10_quality_rules": quality_sql(),
 }
