@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import bpe, chat, packing, pii, quality, secret_scan, sharding, toxicity
+from issuelab.llm import bpe, chat, nearest, packing, pii, quality, secret_scan, sharding, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -56,6 +56,11 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(secret_scan.with_spans(docs), secret_scan.KINDS)
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+
+
 #: Bytes of text in a shard of ``op7_sharding``.
 SHARD_BYTES = 1 << 20
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_chat_tree": op3_chat_tree,
     "op4_secret_scan": op4_secret_scan,
+    "op5_nearest": op5_nearest,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
