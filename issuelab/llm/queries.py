@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import bpe, chat, nearest, packing, pii, quality, secret_scan, sharding, toxicity
+from issuelab.llm import bpe, chat, nearest, ngram_join, packing, pii, quality, secret_scan, sharding, toxicity
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
@@ -61,6 +61,10 @@ def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.with_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 #: Bytes of text in a shard of ``op7_sharding``.
 SHARD_BYTES = 1 << 20
 
@@ -93,6 +97,7 @@ QUERIES = {
     "op3_chat_tree": op3_chat_tree,
     "op4_secret_scan": op4_secret_scan,
     "op5_nearest": op5_nearest,
+    "op6_ngram_join": op6_ngram_join,
     "op7_sharding": op7_sharding,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
