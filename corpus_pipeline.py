@@ -1,20 +1,54 @@
-"""From raw documents to packed training sequences, as a list of stages over the text operators."""
+"""From raw documents to packed training sequences, as a list of stages over the text operators.
+
+Each stage reads all that the one before it kept. All but the last return the columns of ``documents``;
+``n_chars`` follows a changed text.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from issuelab.llm import quality
+from issuelab.llm import ngram_join, packing, pii, quality, toxicity
+from issuelab.llm.common import read_table
 from issuelab.session import stage
 
+#: Near copies: shingles of five words, similarity of 0.8 or more.
+NEAR = ngram_join.Join(width=5, percent=80)
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.keep_good(docs)
 
 
+def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic; the classifier learns from the labelled ones among them."""
+    return toxicity.drop_toxic(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that the n-gram Jaccard join links."""
+    return ngram_join.keep_one(docs, NEAR)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data and disclosing terms taken out."""
+    return pii.sanitise(docs).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences, with their token ids."""
+    return packing.pack(docs, packing.word_tokens(public_tokenizers.path("word_bpe_49k.json")))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("toxicity", toxicity_filter),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("packing", packed),
 ]
 
 #: Learned scores, corpus statistics and tokenization cannot be stated in SQL.
@@ -23,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each result is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read_table(spark, sf_dir, "documents")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), name)
     return docs
