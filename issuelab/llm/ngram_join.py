@@ -248,11 +248,13 @@ def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") ->
         rows = signed.select("doc_id", "n", "node")
         found = lookup_join(rows, table, "node", weight="copies", spread_by=("doc_id",))
         return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    key = spare_name(docs, "_key")
-    keyed = docs.withColumn(key, _signed(join, False)(text_of(text)))
+    own = docs.drop(*[c for c in docs.columns if c.lower() in ("n_shingles", "component_id")])
+    key, copies = spare_name(own, "node"), spare_name(own, "copies")
+    keyed = own.withColumn(key, _signed(join, False)(text_of(text)))
     keyed = keyed.withColumn("n_shingles", F.col(key)["n"]).withColumn(key, F.col(key)["node"])
-    found = lookup_join(keyed, table.withColumnRenamed("node", key), key, weight="copies", spread_by=("doc_id",))
-    return found.withColumn("component_id", F.coalesce("component_id", "doc_id")).drop(key, "copies")
+    table = table.withColumnsRenamed({"node": key, "copies": copies})
+    found = lookup_join(keyed, table, key, weight=copies, spread_by=("doc_id",))
+    return found.withColumn("component_id", F.coalesce("component_id", "doc_id")).drop(key, copies)
 
 
 def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:

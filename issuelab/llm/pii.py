@@ -235,14 +235,12 @@ def disclosing_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: st
 
 def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: base spans by kind, then start; then the method's by kind, then start."""
-    added = disclosing_spans(docs, rules, text)
-    key = spare_name(docs, "text_key")
+    key, more, copies = (spare_name(docs, c) for c in ("text_key", "added", "copies"))
+    added = disclosing_spans(docs, rules, text).toDF(key, more, copies)
     keyed = docs.withColumn(key, _text_key(text)).withColumn("base", find_base(text_of(text)))
-    keyed = lookup_join(
-        keyed, added.withColumnRenamed("text_key", key), key, weight="copies", spread_by=tuple(docs.columns)
-    )
-    extra = F.coalesce(F.array_sort("added"), F.array().cast(SPAN_TYPE))  # by kind, then start
-    return keyed.withColumn("spans", F.concat("base", extra)).drop(key, "added", "copies")
+    keyed = lookup_join(keyed, added, key, weight=copies, spread_by=tuple(docs.columns))
+    extra = F.coalesce(F.array_sort(more), F.array().cast(SPAN_TYPE))  # by kind, then start
+    return keyed.withColumn("spans", F.concat("base", extra)).drop(key, more, copies)
 
 
 def _rewrite(text: str, spans: list[dict]) -> str:

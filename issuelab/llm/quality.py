@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from issuelab.llm.common import bind, text_of, words_of
+from issuelab.llm.common import bind, spare_name, text_of, words_of
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -84,29 +84,29 @@ def _covered(windows: Column) -> Column:
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the counts that rules may use."""
-    held = {"_words": words_of(text_of(text)), "_text": text_of(text)}
-    wide = docs.withColumns(held)
-    words, value = F.col("_words"), F.col("_text")
+    words_, text_, windows_, lines_ = (spare_name(docs, c) for c in ("_words", "_text", "_windows", "_lines"))
+    wide = docs.withColumns({words_: words_of(text_of(text)), text_: text_of(text)})
+    words, value, windows, lines = (F.col(c) for c in (words_, text_, windows_, lines_))
     wide = wide.withColumns(
         {
-            "_windows": _window_hashes(words),
-            "_lines": F.filter(F.split(value, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0),
+            windows_: _window_hashes(words),
+            lines_: F.filter(F.split(value, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0),
         }
     )
     stops = sorted({w for group in STOP_WORDS.values() for w in group})
     long = lambda c: c.cast("bigint")
     counts = {
-        "n_words": long(F.size("_words")),
+        "n_words": long(F.size(words)),
         "word_chars": long(F.length(F.translate(value, SPACES, ""))),
         "n_symbols": long(F.length(value) - F.length(F.translate(value, SYMBOLS, ""))),
-        "n_lines": long(F.size("_lines")),
-        "n_dup_lines": long(F.size("_lines") - F.size(F.array_distinct("_lines"))),
+        "n_lines": long(F.size(lines)),
+        "n_dup_lines": long(F.size(lines) - F.size(F.array_distinct(lines))),
         "n_stop_words": long(F.size(F.filter(words, lambda w: F.lower(w).isin(stops)))),
         "n_repeat_words": F.when(
-            F.size(F.array_distinct("_windows")) == F.size("_windows"), F.lit(0).cast("bigint")
-        ).otherwise(_covered(F.col("_windows"))),
+            F.size(F.array_distinct(windows)) == F.size(windows), F.lit(0).cast("bigint")
+        ).otherwise(_covered(windows)),
     }
-    return wide.withColumns(counts).drop("_words", "_text", "_windows", "_lines")
+    return wide.withColumns(counts).drop(words_, text_, windows_, lines_)
 
 
 def verdict(rules: tuple[Rule, ...] = RULES) -> Column:
