@@ -7,6 +7,8 @@ the dynamic program minimises padding plus penalties:
 
     cost[j] = penalty[j] + min over i, end[j] - end[i] <= size, of cost[i] + size - (end[j] - end[i])
 
+and the last cut is the cheapest one within ``size`` of the end.
+
 The minimum over the sliding window of places is kept in a monotone queue, so each place costs O(1). What
 is left at the end of a slice goes to sequences whose lengths are powers of two, which need no padding.
 The stream is worked off in blocks of bounded length, carrying on the last cut, so memory does not grow
@@ -168,7 +170,10 @@ def cut_places(sizes: np.ndarray, stops: np.ndarray, total: int, p: Penalties) -
 
 
 def best_cuts(places: list[int], costs: list[float], size: int) -> list[int]:
-    """Indices of the chosen cuts, from the first place (a cut already made) to the last."""
+    """Indices of the chosen cuts after the first place, which is a cut already made.
+
+    The tokens after the last cut, at most ``size``, are left over; they cost nothing.
+    """
     n = len(places)
     cost, back = [0.0] * n, [0] * n
     queue: deque[int] = deque()
@@ -186,7 +191,8 @@ def best_cuts(places: list[int], costs: list[float], size: int) -> list[int]:
         while queue and key[queue[-1]] >= value:
             queue.pop()
         queue.append(j)
-    chosen, j = [], n - 1
+    open_from = next(i for i, place in enumerate(places) if place >= places[-1] - size)
+    chosen, j = [], min(range(open_from, n), key=lambda i: (cost[i], -i))
     while j:
         chosen.append(j)
         j = back[j]
@@ -233,7 +239,6 @@ class _Stream:
         if not self.end:
             return
         chosen = best_cuts(self.places, self.costs, self.size)
-        chosen.pop()  # the final window is not full
         at = 0
         for j in chosen:
             yield from self._sequence(self.places[j] - at)
