@@ -46,7 +46,8 @@ def model_tag(c: Column | str) -> Column:
 def repo_from_path(path: Column | str) -> Column:
     """Repository named by a dump's path, or null.
 
-    ``.../issues/<org>/<repo>.jsonl`` first, then ``issues_<owner>__<repo>_<8 digits>_<6 digits>.jsonl``.
+    ``.../issues/<org>/<repo>.jsonl`` first, then ``issues_<owner>__<repo>_<8 digits>_<6 digits>.jsonl``,
+    then the folders that this library writes, ``repo_key=<owner>__<repo>/run_ts=.../``.
     """
     parts = F.split(path, "/")
     at = F.array_position(parts, "issues").cast("int")  # 1-based, 0 when absent
@@ -55,12 +56,18 @@ def repo_from_path(path: Column | str) -> Column:
         (at > 0) & F.endswith(file, F.lit(".jsonl")) & ~F.startswith(file, F.lit("issues_")),
         F.concat(org, F.lit("/"), F.regexp_replace(file, r"\.jsonl$", "")),
     )
+    # Fixed value: the pattern of dump file names.
     named = r"(?:^|/)issues_([A-Za-z0-9_.-]+)__([A-Za-z0-9_.-]+)_\d{8}_\d{6}\.jsonl$"
     flat = F.when(
         F.regexp_like(path, F.lit(named)),
         F.concat(F.regexp_extract(path, named, 1), F.lit("/"), F.regexp_extract(path, named, 2)),
     )
-    return F.coalesce(nested, flat)
+    folder = r"/repo_key=([A-Za-z0-9_.-]+)__([A-Za-z0-9_.-]+)/run_ts="
+    ours = F.when(
+        F.regexp_like(path, F.lit(folder)),
+        F.concat(F.regexp_extract(path, folder, 1), F.lit("/"), F.regexp_extract(path, folder, 2)),
+    )
+    return F.coalesce(nested, flat, ours)
 
 
 def org_of(repo: Column | str) -> Column:

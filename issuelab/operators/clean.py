@@ -22,7 +22,7 @@ def ensure_required(df: DataFrame) -> DataFrame:
         if c not in df.columns
     }
     df = df.withColumns(blank) if blank else df
-    flag = F.coalesce(F.col("is_pull_request").cast("boolean"), F.lit(False))
+    flag = F.coalesce(F.col("is_pull_request").try_cast("boolean"), F.lit(False))
     return df.withColumn("is_pull_request", flag)
 
 

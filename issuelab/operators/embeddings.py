@@ -60,15 +60,11 @@ def embed_with(
     return texts.mapInPandas(run, VECTOR_SCHEMA)
 
 
-def require_aligned(df: DataFrame, vectors: DataFrame, key: str = "row_id") -> None:
-    """Fail if some row has no vector."""
-    lost = df.select(key).join(vectors.select(key), key, "left_anti").first()
-    if lost is not None:
-        raise ValueError(f"no embedding for {key}={lost[0]}; embed the same table again")
-
-
 def align(df: DataFrame, vectors: DataFrame, key: str = "row_id", strict: bool = True) -> DataFrame:
-    """Rows with their vector."""
-    if strict:
-        require_aligned(df, vectors, key)
-    return df.join(vectors, key)
+    """Rows with their vector, in one join; a row without one stops the job, or drops out if not ``strict``."""
+    joined = df.join(vectors, key, "left")
+    missing = F.col("embedding").isNull()
+    if not strict:
+        return joined.where(~missing)
+    lost = F.concat(F.lit(f"no embedding for {key}="), F.col(key).cast("string"), F.lit("; embed the same table again"))
+    return joined.withColumn("embedding", F.when(missing, F.raise_error(lost)).otherwise(F.col("embedding")))

@@ -172,8 +172,8 @@ def serving_rows(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     body = F.coalesce("body", F.lit(""))
     return df.withColumns(
         {
-            "comments": F.coalesce(F.col("comments").cast("long"), F.lit(0)),
-            "num_assignees": F.coalesce(F.col("num_assignees").cast("long"), F.lit(0)),
+            "comments": F.coalesce(F.col("comments").try_cast("long"), F.lit(0)),
+            "num_assignees": F.coalesce(F.col("num_assignees").try_cast("long"), F.lit(0)),
             "text": full_text(),
             "labels_str": F.array_join(labels, " "),
             "labels_count": F.size(labels),

@@ -117,13 +117,13 @@ def unsent(batch: DataFrame, sent: DataFrame, order: str = "seq") -> DataFrame:
 
 
 def newest_update(issues: DataFrame, seq: str = "ingest_seq") -> DataFrame:
-    """Latest update per repository in its original spelling; the first row wins ties."""
-    ts = parse_utc("updated_at")
-    return (
-        issues.where(ts.isNotNull())
-        .groupBy(REPO)
-        .agg(F.max_by("updated_at", F.struct(ts, -F.col(seq))).alias("max_updated"))
-    )
+    """Latest update per repository in its original spelling; the first row wins ties.
+
+    ``seq`` may be any sortable place of a row.
+    """
+    timed = issues.select(REPO, "updated_at", seq, parse_utc("updated_at").alias("_ts")).where("_ts is not null")
+    per_time = timed.groupBy(REPO, "_ts").agg(F.min_by("updated_at", seq).alias("_text"))
+    return per_time.groupBy(REPO).agg(F.max_by("_text", "_ts").alias("max_updated"))
 
 
 def next_cursors(issues: DataFrame, overlap_seconds: int, seq: str = "ingest_seq") -> DataFrame:
@@ -155,6 +155,17 @@ def run_rows(issues: DataFrame, max_pages: int, run_at: Column) -> DataFrame:
     )
 
 
+def failed_rows(failed: DataFrame, run_at: Column) -> DataFrame:
+    """Run state of collections that failed; ``failed`` has the repository and the ``kind`` of error."""
+    return failed.select(
+        REPO,
+        run_at.alias("last_run_at"),
+        F.lit(0).cast("long").alias("last_collected_count"),
+        F.lit(False).alias("last_truncated"),
+        F.concat(F.lit("error: "), "kind").alias("last_status"),
+    )
+
+
 def run_summary(runs: DataFrame) -> DataFrame:
     return runs.agg(
         F.count("*").alias("repos"),
@@ -171,14 +182,34 @@ def collect_step(
     max_pages: int,
     overlap_seconds: int,
     seq: str = "ingest_seq",
+    run_at: Column | None = None,
+    failed: DataFrame | None = None,
 ) -> DataFrame:
-    """One incremental run: read from the cursor, cap the pages, return the advanced cursors.
+    """One incremental run: read from the cursor, cap the pages, return the state with advanced cursors.
 
-    Repeated rows from the overlap are removed later by the latest-state step.
+    The state has the run's outcome of every repository of ``cursors`` or with changes. Repositories in
+    ``failed`` (with the ``kind`` of error) keep their cursor. Repeated rows from the overlap are removed
+    later by the latest-state step.
     """
+    now = run_at if run_at is not None else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    if failed is not None:
+        issues = issues.join(failed.select(REPO), REPO, "left_anti")
     changed = changed_since(issues, cursors, default_since)
     kept = first_pages(changed, max_pages, (*COLLECTION_ORDER, seq))
-    return upsert_state(cursors, next_cursors(kept, overlap_seconds, seq))
+    runs = run_rows(changed, max_pages, now)
+    idle = cursors.select(REPO).join(changed.select(REPO).distinct(), REPO, "left_anti")
+    if failed is not None:
+        idle = idle.join(failed.select(REPO), REPO, "left_anti")
+        runs = runs.unionByName(failed_rows(failed, now))
+    idle = idle.select(
+        REPO,
+        now.alias("last_run_at"),
+        F.lit(0).cast("long").alias("last_collected_count"),
+        F.lit(False).alias("last_truncated"),
+        F.lit("ok").alias("last_status"),
+    )
+    state = upsert_state(cursors, next_cursors(kept, overlap_seconds, seq))
+    return upsert_state(state, runs.unionByName(idle))
 
 
 def counts_per_path(lines_per_file: DataFrame, path: str = "path") -> DataFrame:

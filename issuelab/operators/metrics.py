@@ -43,6 +43,22 @@ def pr_points(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     )
 
 
+def pr_curve(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """The points and the closing one: precision 1 at recall 0, without a score."""
+    end = df.sparkSession.range(1).select(
+        F.lit(None).cast("double").alias("score"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")
+    )
+    return pr_points(df, y, p).unionByName(end)
+
+
+def roc_curve(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """The points and the first one, above every score: both rates 0."""
+    start = df.sparkSession.range(1).select(
+        F.lit(float("inf")).alias("score"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    )
+    return roc_points(df, y, p).unionByName(start)
+
+
 def roc_points(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
     """False and true positive rate at each score, for data with both classes."""
     t = score_table(df, y, p)

@@ -4,10 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuelab.schemas import ISSUE_API, ISSUE_RAW, REPO_API
 
 
+def _label_names(df: DataFrame, keep_null: bool) -> Column:
+    """Names of labels given as objects, as JSON texts of objects, or as plain strings, also mixed.
+
+    The form that keeps null names takes names from objects only.
+    """
+    kind = df.schema["labels"].dataType
+    if not (isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType)):
+        return _named("labels", "name", keep_null)
+    is_object = lambda x: F.ltrim(x).startswith("{")
+    name = lambda x: F.when(is_object(x), F.get_json_object(x, "$.name")).otherwise(x)
+    given = F.filter("labels", lambda x: x.isNotNull())
+    if keep_null:
+        given = F.filter(given, is_object)
+    else:
+        given = F.filter(given, lambda x: ~is_object(x) | (F.coalesce(name(x), F.lit("")) != ""))
+    return F.coalesce(F.transform(given, name), F.array().cast("array<string>"))
+
+
 def _named(array: str, field: str, keep_null: bool) -> Column:
     """Names inside an array of objects; null objects go, null or empty names go unless kept."""
     objects = F.filter(array, lambda o: o.isNotNull())
@@ -28,7 +47,7 @@ def normalize_issues(df: DataFrame, collected_at: Column | None = None) -> DataF
     computed = {
         "collected_at": collected_at if collected_at is not None else F.current_timestamp().cast("string"),
         "user_login": F.col("user.login"),
-        "labels": _named("labels", "name", keep_null=False),
+        "labels": _label_names(df, keep_null=False),
         "assignees": _named("assignees", "login", keep_null=False),
         "num_assignees": F.coalesce(
             F.size(F.filter("assignees", lambda a: a.isNotNull())), F.lit(0)
@@ -49,7 +68,7 @@ def normalize_live_issues(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "user_login": F.col("user.login"),
-            "labels": _named("labels", "name", keep_null=True),
+            "labels": _label_names(df, keep_null=True),
             "assignees": _named("assignees", "login", keep_null=True),
         }
     )

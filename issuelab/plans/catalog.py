@@ -7,7 +7,7 @@ compare value by value with the SQL in ``oracles``.
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from issuelab.functions import targets, text, timing, vectors
@@ -138,7 +138,12 @@ def s1_jsonl_scan(spark, d):
 
 @query
 def s5_sample(spark, d):
-    return kpis.total(readers.read_sample(spark, _dump(spark, d), pattern="*.json"))
+    """The first thousand rows of a dump whose file order is known: one file per run of ids."""
+    path = new_staging_path(spark, "sampled")
+    rows = views.issue_snapshots(spark, d, activity=False).select("id", "snap_no", "repo_full_name", "state")
+    part = F.format_string("%05d", F.expr("id div 400"))
+    rows.withColumn("run", part).repartition("run").sortWithinPartitions("run", "id", "snap_no").write.partitionBy("run").json(path)
+    return readers.read_sample(spark, path, rows=1000, pattern="*.json").select("id", "repo_full_name", "state")
 
 
 @query
@@ -425,9 +430,9 @@ def p22_horizon_label(spark, d):
 
 @query
 def p23_regression_rows(spark, d):
-    return clean_rows(spark, d, columns=["row_id", "days_to_close"]).where(F.col("days_to_close") <= HORIZON).select(
-        "row_id", F.round("days_to_close", 8).alias("days_to_close")
-    )
+    rows = clean_rows(spark, d, columns=["row_id", "days_to_close", "created_ts"])
+    kept = training.regression_rows(rows, training.Settings(), at_least=1)
+    return kept.select("row_id", F.round("days_to_close", 8).alias("days_to_close"), "part")
 
 
 @query
@@ -526,7 +531,7 @@ def p36_scored_view(spark, d):
 def j1_embedding_align(spark, d):
     """Issues with their vector; the unmatched residue class drops out of the inner join."""
     emb = views.table(spark, d, "embeddings").select("vec_id", "embedding")
-    return views.vectors(spark, d).join(emb, "vec_id").select(
+    return embeddings.align(views.vectors(spark, d), emb, key="vec_id", strict=False).select(
         "id", "vec_id", r6(vectors.l2_norm("embedding")).alias("norm")
     )
 
@@ -689,17 +694,17 @@ def a19_path_counts(spark, d):
     path = new_staging_path(spark, "dump")
     df = views.issue_facts(spark, d, activity=False).select("id", "repo_full_name")
     writers.append_by_repo(df, path, "20240101_000000")
-    counted = spark.read.text(path).groupBy(
-        F.concat(F.lit("issues_"), "repo_key", F.lit("_"), "run_ts", F.lit(".jsonl")).alias("path")
-    ).agg(F.count("*").alias("n"))
-    return ingest.counts_per_path(counted)
+    return ingest.counts_per_path(readers.line_counts(spark, path, "*.json"))
 
 
 @query
 def a20_run_summary(spark, d):
-    return ingest.run_summary(
-        ingest.run_rows(views.issue_snapshots(spark, d, activity=False), 2, F.lit(AS_OF))
-    )
+    """One run in which the repositories of one name failed."""
+    snaps = views.issue_snapshots(spark, d, activity=False)
+    broken = F.endswith("repo_full_name", F.lit("/BUILDING"))
+    failed = snaps.where(broken).select("repo_full_name").distinct().withColumn("kind", F.lit("Timeout"))
+    runs = ingest.run_rows(snaps.where(~broken), 2, F.lit(AS_OF))
+    return ingest.run_summary(runs.unionByName(ingest.failed_rows(failed, F.lit(AS_OF))))
 
 
 @query
@@ -764,10 +769,17 @@ def w9_newest_first(spark, d):
     return df.orderBy(F.desc("created_ts"), "id").limit(20).select("id", "state", shown("created_ts"))
 
 
+@query
+def w9_backfill_order(spark, d):
+    """The backfill: two pages of each repository, oldest issue first."""
+    df = views.issue_facts(spark, d, activity=False)
+    return ingest.first_pages(df, 2, order=("created_ts", "id")).select("id", "repo_full_name")
+
+
 @query
 def w10_truncate(spark, d):
     df = views.issue_snapshots(spark, d, activity=False)
-    df = df.where("updated_ts is not null").withColumn("id", F.col("ingest_seq"))
+    df = df.withColumn("id", F.col("ingest_seq"))
     return ingest.first_pages(df, 1).select("ingest_seq", "repo_full_name")
 
 
@@ -1019,7 +1031,7 @@ def m11_roc_auc(spark, d):
 
 @query
 def m11_roc_points(spark, d):
-    return rounded(metrics.roc_points(views.scores(spark, d)), "score", "fpr", "tpr")
+    return rounded(metrics.roc_curve(views.scores(spark, d)).replace(float("inf"), 2.0, ["score"]), "score", "fpr", "tpr")
 
 
 @query
@@ -1029,7 +1041,7 @@ def m12_avg_precision(spark, d):
 
 @query
 def m12_pr_points(spark, d):
-    return rounded(metrics.pr_points(views.scores(spark, d)), "score", "precision", "recall")
+    return rounded(metrics.pr_curve(views.scores(spark, d)), "score", "precision", "recall")
 
 
 def _dayscores(spark, d):
@@ -1086,47 +1098,72 @@ def m20_run_record(spark, d):
     part = lambda s: metrics.as_long_form(
         metrics.probability_losses(rows.where(F.col("split") == s)), f"{s}_"
     )
-    return rounded(part("train").unionByName(part("test")), "value")
-
-
-SMALL = training.Settings(rounds=6, folds=2, step=0.1)
+    measured = part("train").unionByName(part("test"))
+    params = training.parameters(spark, {"horizon": 30.0, "folds": FOLDS})
+    record = training.run_record("r1", "stage1", params, measured)
+    rounded_text = F.round(F.col("value").try_cast("double"), 6).cast("string")
+    return record.withColumn("value", F.when(F.col("kind") == "metric", rounded_text).otherwise(F.col("value")))
 
 
 def _texts(spark, d):
     """Cleaned issues, written once, with their text vectors."""
     table = stage(clean_rows(spark, d, body=True, columns=[*MODEL_COLS, "text"]), "clean")
-    encoder = embeddings.text_encoder(32).fit(table.select("text"))
+    encoder = embeddings.text_encoder().fit(table.select("text"))
     return table.drop("text"), stage(embeddings.embed(table, encoder), "vectors")
 
 
 @query
 def m2_text_features(spark, d):
-    """Unit vectors of all documents; a text without weighted words has length 0."""
+    """Vectors of all documents: their size, and that they have length 1 (or 0 without weighted words)."""
     docs = views.table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("row_id"), "text")
     out = embeddings.embed(docs, embeddings.text_encoder(256).fit(docs))
-    return out.select("row_id", F.size("embedding").alias("dim"), F.round(vectors.l2_norm("embedding"), 4).alias("norm"))
+    norm = F.round(vectors.l2_norm("embedding"), 4)
+    return out.select("row_id", F.size("embedding").alias("dim"), norm.isin(0.0, 1.0).alias("unit"))
+
+
+def _checked_record(record: DataFrame, fixed: list[str], shares: list[str]) -> DataFrame:
+    """Of a run's record the values that don't hang on the learner, and that its scores are shares."""
+    value = F.col("value").try_cast("double")
+    kept = record.where(F.col("name").isin(fixed)).select("name", F.round(value, 6).alias("value"))
+    good = record.where(F.col("name").isin(shares)).select(
+        F.lit("shares").alias("name"), F.sum(value.between(0, 1).cast("double")).over(Window.partitionBy()).alias("value")
+    )
+    return kept.unionByName(good.distinct())
 
 
 @query
 def m3_stage1(spark, d):
+    """The classifier trained with the defaults."""
     table, vecs = _texts(spark, d)
-    _, measured, params = training.train_stage1(table, vecs, SMALL)
-    return training.run_record("r1", "stage1", params, measured)
+    _, measured, params = training.train_stage1(table, vecs)
+    shares = [f"{part}_{m}" for part in ("train", "dev", "test") for m in ("roc_auc", "precision", "recall", "f1")]
+    return _checked_record(
+        training.run_record("r1", "stage1", params, measured),
+        ["scale_pos_weight", "ttf_fill", "cv_oof_coverage", "n_features", "embedding_dim", "folds"],
+        [*shares, "threshold_from_oof"],
+    )
 
 
 @query
 def m4_stage2(spark, d):
+    """The regressor trained with the defaults."""
     table, vecs = _texts(spark, d)
-    _, measured, params = training.train_stage2(table, vecs, SMALL)
-    return training.run_record("r1", "stage2", params, measured)
+    _, measured, params = training.train_stage2(table, vecs)
+    return _checked_record(
+        training.run_record("r1", "stage2", params, measured),
+        ["baseline_test_mae", "baseline_test_rmse", "baseline_test_median_ae", "ttf_fill", "n_features", "embedding_dim"],
+        [f"{part}_acc_within_7d" for part in ("train", "dev", "test")],
+    )
 
 
 @query
 def m5_oof(spark, d):
-    """Out-of-fold scores on tabular features."""
-    table = stage(clean_rows(spark, d, columns=MODEL_COLS).withColumn("y", features.within("days_to_close", HORIZON)), "clean")
-    oof, _ = training.oof_predictions(table, SMALL)
-    return oof.select("row_id", "y", "fold", "p")
+    """Out-of-fold scores of the training part; the scores themselves hang on the learner."""
+    table, vecs = _texts(spark, d)
+    rows = splits.with_time_split(table.withColumn("y", features.within("days_to_close", HORIZON)))
+    train = stage(rows.where("split = 'train'").drop("split"), "train")
+    oof, _ = training.oof_predictions(train, training.Settings(), vecs)
+    return oof.select("row_id", "y", "fold", F.col("p").between(0, 1).alias("in_range"))
 
 
 @query
@@ -1139,16 +1176,23 @@ def m8_isotonic(spark, d):
 @query
 def m15_score_open(spark, d):
     """Both stages trained, saved, loaded again and applied to every open issue."""
-    table = stage(clean_rows(spark, d, body=True, columns=MODEL_COLS), "clean")
-    one, _, _ = training.train_stage1(table, None, SMALL)
-    two, _, _ = training.train_stage2(table, None, SMALL)
+    table, vecs = _texts(spark, d)
+    one, _, _ = training.train_stage1(table, vecs)
+    two, _, _ = training.train_stage2(table, vecs)
     path = new_staging_path(spark, "models")
     training.save_bundle(one, f"{path}/one")
     training.save_bundle(two, f"{path}/two")
     requests = clean_rows(spark, d, body=True).where("is_closed = 0")
-    scored = training.score_stage1(requests, training.load_bundle(spark, f"{path}/one"), as_of=as_of())
-    both = training.score_stage2(scored, training.load_bundle(spark, f"{path}/two"), as_of=as_of())
-    return decide.triage(both, cut=one.threshold).select("row_id", "p", "r", "is_fast", "est_days", decide.risk_band("p").alias("band"))
+    scored = training.score_stage1(requests, training.load_bundle(spark, f"{path}/one"), vecs, as_of=as_of())
+    both = training.score_stage2(scored, training.load_bundle(spark, f"{path}/two"), vecs, as_of=as_of())
+    p, out = F.col("p"), decide.triage(both, cut=one.threshold)
+    # The scores hang on the learner; what follows from them must hold for every open issue.
+    return out.select(
+        "row_id",
+        (p.between(0, 1) & (F.col("is_fast").cast("int") == (p >= one.threshold).cast("int"))).alias("fast_follows_p"),
+        F.col("r").isNotNull().alias("has_days"),
+        (decide.risk_band("p") == F.when(p < 0.26, "red").otherwise("green")).alias("band_follows_p"),
+    )
 
 
 # --- streams -------------------------------------------------------------------------------------
@@ -1210,5 +1254,11 @@ def t6_stream_dedup(spark, d):
 
 @query
 def t7_cursor_step(spark, d):
-    issues = raw(spark, d).withColumn("updated_ts", timing.parse_utc("updated_at"))
-    return ingest.collect_step(issues, views.cursors(spark, d), DEFAULT_SINCE, 1, 900)
+    """One run over a dump that was written before; two repositories fail."""
+    path = new_staging_path(spark, "collected")
+    raw(spark, d).drop("ingest_seq").write.json(path)
+    issues = readers.read_jsonl(spark, path, pattern="*.json").withColumn("updated_ts", timing.parse_utc("updated_at"))
+    cursors = views.cursors(spark, d)
+    failed = views.repo_names(spark, d).select("repo_full_name").distinct().orderBy("repo_full_name").limit(2)
+    failed = failed.withColumn("kind", F.lit("Timeout"))
+    return ingest.collect_step(issues, cursors, DEFAULT_SINCE, 1, 900, run_at=F.lit(AS_OF), failed=failed)

@@ -403,7 +403,13 @@ _add(
     "p22_horizon_label", "clean",
     """SELECT row_id, resolved_30d AS close_within_30, CASE WHEN days_to_close <= 7 THEN 1 ELSE 0 END AS close_within_7 FROM clean""",
 )
-_add("p23_regression_rows", "clean", "SELECT row_id, round(days_to_close, 8) AS days_to_close FROM clean WHERE days_to_close <= 30")
+_add(
+    "p23_regression_rows", "clean",
+    """SELECT row_id, round(days_to_close, 8) AS days_to_close,
+              CASE WHEN pos < CAST(floor(n * 0.8E0) AS BIGINT) THEN 'train'
+                   WHEN pos < CAST(floor(n * 0.8E0) AS BIGINT) + CAST(floor(n * 0.1E0) AS BIGINT) THEN 'dev' ELSE 'test' END AS part
+       FROM (SELECT *, row_number() OVER (ORDER BY created_ts, row_id) - 1 AS pos, count(*) OVER () AS n FROM clean WHERE days_to_close <= 30)""",
+)
 _add(
     "p25_t0_mode", "clean",
     f"SELECT row_id, 0 AS comments, {_ttf('CAST(NULL AS DOUBLE)', '24.0E0')} FROM clean",
@@ -554,8 +560,9 @@ _add(
 )
 _add(
     "a20_run_summary", "snaps",
-    """SELECT count(*) AS repos, CAST(sum(least(c, 200)) AS BIGINT) AS issues, count(*) FILTER (WHERE ceil(c / 100.0E0) >= 2) AS truncated_repos, 0 AS errors
-       FROM (SELECT repo_full_name, count(*) AS c FROM snaps GROUP BY 1)""",
+    """SELECT count(*) AS repos, CAST(sum(CASE WHEN broken THEN 0 ELSE least(c, 200) END) AS BIGINT) AS issues,
+              count(*) FILTER (WHERE NOT broken AND ceil(c / 100.0E0) >= 2) AS truncated_repos, count(*) FILTER (WHERE broken) AS errors
+       FROM (SELECT repo_full_name, repo_full_name LIKE '%/BUILDING' AS broken, count(*) AS c FROM snaps GROUP BY 1)""",
 )
 _add(
     "a21_describe", "clean",
@@ -591,7 +598,7 @@ _add("w9_newest_first", "facts", f"SELECT id, state, {_shown('created_ts')} FROM
 _add(
     "w10_truncate", "snaps",
     """SELECT ingest_seq, repo_full_name FROM (
-         SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY updated_ts, ingest_seq) AS rn FROM snaps WHERE updated_ts IS NOT NULL)
+         SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY updated_ts NULLS FIRST, ingest_seq) AS rn FROM snaps)
        WHERE rn <= 100""",
 )
 _add(
@@ -708,12 +715,20 @@ _add(
     "m11_roc_auc", "curve",
     "SELECT round(sum(pos * (n_neg - fp + neg / 2.0E0)) / (CAST(max(n_pos) AS DOUBLE) * max(n_neg)), 6) AS roc_auc FROM curve",
 )
-_add("m11_roc_points", "curve", "SELECT round(score, 6) AS score, round(fp / CAST(n_neg AS DOUBLE), 6) AS fpr, round(tp / CAST(n_pos AS DOUBLE), 6) AS tpr FROM curve")
+_add(
+    "m11_roc_points", "curve",
+    """SELECT round(score, 6) AS score, round(fp / CAST(n_neg AS DOUBLE), 6) AS fpr, round(tp / CAST(n_pos AS DOUBLE), 6) AS tpr FROM curve
+       UNION ALL SELECT 2.0E0, 0.0E0, 0.0E0""",
+)
 _add(
     "m12_avg_precision", "curve",
     "SELECT round(sum(pos / CAST(n_pos AS DOUBLE) * (tp / CAST(tp + fp AS DOUBLE))), 6) AS pr_auc FROM curve",
 )
-_add("m12_pr_points", "curve", f"SELECT round(score, 6) AS score, round(precision, 6) AS precision, round(recall, 6) AS recall FROM ({_pr})")
+_add(
+    "m12_pr_points", "curve",
+    f"""SELECT round(score, 6) AS score, round(precision, 6) AS precision, round(recall, 6) AS recall FROM ({_pr})
+        UNION ALL SELECT NULL, 1.0E0, 0.0E0""",
+)
 
 
 def _reg(source: str) -> str:
@@ -761,7 +776,10 @@ _add(
         parted AS (SELECT *, CASE WHEN pos < CAST(floor(n * 0.8E0) AS BIGINT) THEN 'train'
                                   WHEN pos < CAST(floor(n * 0.8E0) AS BIGINT) + CAST(floor(n * 0.1E0) AS BIGINT) THEN 'dev' ELSE 'test' END AS split FROM placed),
         m AS (SELECT split, {_losses} FROM parted WHERE split <> 'dev' GROUP BY split)
-        SELECT split || '_logloss' AS name, logloss AS value FROM m UNION ALL SELECT split || '_brier', brier FROM m""",
+        SELECT 'r1' AS run_id, 'stage1' AS stage, * FROM (
+          SELECT 'metric' AS kind, split || '_logloss' AS name, CAST(logloss AS VARCHAR) AS value FROM m
+          UNION ALL SELECT 'metric', split || '_brier', CAST(brier AS VARCHAR) FROM m
+          UNION ALL SELECT 'param', 'horizon', '30.0' UNION ALL SELECT 'param', 'folds', '5')""",
 )
 
 _add(
@@ -777,14 +795,21 @@ _add(
 )
 _add("t6_stream_dedup", "good_msgs", "SELECT DISTINCT id, repo_full_name FROM good_msgs")
 _add(
-    "t7_cursor_step", "snaps cur",
-    f"""SELECT coalesce(cur.repo_full_name, nw.repo_full_name) AS repo_full_name, coalesce(nw.since, cur.since) AS since
-        FROM cur FULL JOIN (
-          SELECT repo_full_name, {_iso('max(updated_ts) - INTERVAL 900 SECOND')} AS since FROM (
-            SELECT s.repo_full_name, updated_ts, row_number() OVER (PARTITION BY s.repo_full_name ORDER BY updated_ts, id, ingest_seq) AS rn
-            FROM snaps s LEFT JOIN cur c ON s.repo_full_name = c.repo_full_name
-            WHERE updated_ts >= strptime(coalesce(c.since, '{DEFAULT_SINCE}'), '%Y-%m-%dT%H:%M:%SZ'))
-          WHERE rn <= 100 GROUP BY 1) nw ON cur.repo_full_name = nw.repo_full_name""",
+    "t7_cursor_step", "snaps cur names",
+    f"""
+        , failed AS (SELECT DISTINCT repo_full_name FROM names ORDER BY 1 LIMIT 2),
+        ch AS (
+          SELECT s.repo_full_name, updated_ts, row_number() OVER (PARTITION BY s.repo_full_name ORDER BY updated_ts, id, ingest_seq) AS rn
+          FROM snaps s LEFT JOIN cur c ON s.repo_full_name = c.repo_full_name
+          WHERE updated_ts >= strptime(coalesce(c.since, '{DEFAULT_SINCE}'), '%Y-%m-%dT%H:%M:%SZ')
+            AND s.repo_full_name NOT IN (SELECT repo_full_name FROM failed)),
+        nw AS (SELECT repo_full_name, {_iso('max(updated_ts) - INTERVAL 900 SECOND')} AS since FROM ch WHERE rn <= 100 GROUP BY 1),
+        runs AS (SELECT repo_full_name, count(*) AS c FROM ch GROUP BY 1),
+        every AS (SELECT repo_full_name FROM cur UNION SELECT repo_full_name FROM runs UNION SELECT repo_full_name FROM failed)
+        SELECT repo_full_name, coalesce(nw.since, cur.since) AS since, '2000-06-15T12:00:00Z' AS last_run_at,
+               least(coalesce(c, 0), 100) AS last_collected_count, coalesce(ceil(c / 100.0E0) >= 1, FALSE) AS last_truncated,
+               CASE WHEN repo_full_name IN (SELECT repo_full_name FROM failed) THEN 'error: Timeout' ELSE 'ok' END AS last_status
+        FROM every LEFT JOIN cur USING (repo_full_name) LEFT JOIN nw USING (repo_full_name) LEFT JOIN runs USING (repo_full_name)""",
 )
 SQL["t5_backfill_then_live"] = SQL["t4_stream_upsert"]
 _add(
@@ -792,7 +817,10 @@ _add(
     """SELECT repo_full_name, state, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, count(*) AS places, CAST(sum(comments) AS BIGINT) AS comments
        FROM snaps GROUP BY 1, 2""",
 )
-_add("s5_sample", "snaps", "SELECT least(count(*), 100000) AS n FROM snaps")
+_add(
+    "s5_sample", "snaps",
+    "SELECT id, repo_full_name, state FROM (SELECT * FROM snaps ORDER BY id // 400, id, snap_no LIMIT 1000)",
+)
 _add("k2_training_parquet", "clean", f"SELECT row_id, {_shown('created_ts')}, round(days_to_close, 8) AS days_to_close FROM clean")
 _add(
     "u3_feature_concat", "",
@@ -802,3 +830,52 @@ _add(
        FROM embeddings""",
 )
 _add("f20_run_stamp", "facts", "SELECT id, strftime(created_ts, '%Y%m%d_%H%M%S') AS stamp FROM facts")
+_add(
+    "w9_backfill_order", "facts",
+    """SELECT id, repo_full_name FROM (
+         SELECT *, row_number() OVER (PARTITION BY repo_full_name ORDER BY created_ts, id) AS rn FROM facts) WHERE rn <= 200""",
+)
+_add(
+    "m2_text_features", "",
+    "SELECT CAST(doc_id AS VARCHAR) AS row_id, 256 AS dim, TRUE AS unit FROM documents",
+)
+_add(
+    "m5_oof", "folded",
+    "SELECT row_id, y, CAST(fold AS INTEGER) AS fold, TRUE AS in_range FROM folded WHERE fold IS NOT NULL",
+)
+_add(
+    "m15_score_open", "clean",
+    "SELECT row_id, TRUE AS fast_follows_p, TRUE AS has_days, TRUE AS band_follows_p FROM clean WHERE is_closed = 0",
+)
+_add(
+    "m8_isotonic", "sc",
+    """
+       , pts AS (SELECT p, sum(y) AS s, count(*) AS c, row_number() OVER (ORDER BY p) AS i FROM sc GROUP BY p),
+       runs AS (SELECT i, p, sum(s) OVER w AS ss, sum(c) OVER w AS cc FROM pts WINDOW w AS (ORDER BY p)),
+       means AS (SELECT a.i AS i, b.i AS k, (b.ss - a.ss + x.s) / CAST(b.cc - a.cc + x.c AS DOUBLE) AS mean
+                 FROM runs a JOIN pts x ON x.i = a.i JOIN runs b ON b.i >= a.i),
+       lows AS (SELECT i AS j, k, min(mean) OVER (PARTITION BY i ORDER BY k DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS low FROM means),
+       fit AS (SELECT k AS i, max(low) AS v FROM lows GROUP BY k)
+       SELECT id, round(v, 6) AS p FROM sc JOIN pts USING (p) JOIN fit USING (i)""",
+)
+_add(
+    "m3_stage1", "train folded",
+    """SELECT 'scale_pos_weight' AS name, round(CAST(greatest(sum(1 - y), 1) AS DOUBLE) / greatest(sum(y), 1), 6) AS value FROM train
+       UNION ALL SELECT 'ttf_fill', round(coalesce(median(ttf_hours), 0.0E0), 6) FROM train
+       UNION ALL SELECT 'cv_oof_coverage', round(count(fold) / CAST(count(*) AS DOUBLE), 6) FROM folded
+       UNION ALL SELECT 'n_features', 90.0E0 UNION ALL SELECT 'embedding_dim', 64.0E0 UNION ALL SELECT 'folds', 5.0E0
+       UNION ALL SELECT 'shares', 13.0E0""",
+)
+_add(
+    "m4_stage2", "clean quick",
+    """
+       , placed AS (SELECT *, row_number() OVER (ORDER BY created_ts, row_id) - 1 AS at, count(*) OVER () AS m FROM clean WHERE days_to_close <= 30),
+       test AS (SELECT abs(days_to_close - (SELECT median(days_to_close) FROM quick)) AS e FROM placed
+                WHERE at >= CAST(floor(m * 0.8E0) AS BIGINT) + CAST(floor(m * 0.1E0) AS BIGINT))
+       SELECT 'baseline_test_mae' AS name, round(avg(e), 6) AS value FROM test
+       UNION ALL SELECT 'baseline_test_rmse', round(sqrt(avg(e * e)), 6) FROM test
+       UNION ALL SELECT 'baseline_test_median_ae', round(median(e), 6) FROM test
+       UNION ALL SELECT 'ttf_fill', round(coalesce(median(ttf_hours), 0.0E0), 6) FROM quick
+       UNION ALL SELECT 'n_features', 90.0E0 UNION ALL SELECT 'embedding_dim', 64.0E0
+       UNION ALL SELECT 'shares', 3.0E0""",
+)

@@ -45,11 +45,17 @@ MIN_REGRESSION_ROWS = 500
 
 @dataclass(frozen=True)
 class Settings:
-    """Training choices; defaults follow the model description."""
+    """Training choices; defaults follow the model description.
+
+    Boosting stops once ``patience`` rounds in a row have not lowered the held-out loss, at ``rounds`` at
+    the latest, and the model keeps the best round. Every round is several jobs, so ``patience`` is the
+    knob to turn for a smaller ``step``.
+    """
 
     horizon: float = 30.0
     folds: int = 5
-    rounds: int = 200
+    rounds: int = 8000
+    patience: int = 20
     depth: int = 4
     step: float = 0.03
     subsample: float = 0.8
@@ -91,13 +97,12 @@ def vectorized(rows: DataFrame, tabular: Iterable[str], vectors: DataFrame | Non
     return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error").transform(rows)
 
 
-def _trees(cls, s: Settings, **extra):
+def _trees(cls, s: Settings, rounds: int, **extra):
     return cls(
         featuresCol="features",
         labelCol="label",
         weightCol="weight",
-        validationIndicatorCol="held_out",
-        maxIter=s.rounds,
+        maxIter=rounds,
         maxDepth=s.depth,
         stepSize=s.step,
         subsamplingRate=s.subsample,
@@ -119,11 +124,41 @@ def _learning_rows(
     return stage(full.select("row_id", "y", "label", "weight", "part", "features"), "learning")
 
 
-def _fit(learner, rows: DataFrame, train: str, held_out: str):
-    """Fit on one part with early stopping on another."""
+def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
+    """Round (from 1) of the lowest loss before ``patience`` rounds without a gain, and whether these occurred."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+def _fit(cls, rows: DataFrame, train: str, held_out: str, s: Settings, **extra):
+    """Fit on one part, keep the best round of the held-out curve.
+
+    Trees are grown in runs of doubling length until the curve has turned. The seed fixes the trees, so
+    the model cut back to the best round has the first trees of the longer one.
+    """
     ensure_checkpoints(rows.sparkSession)
-    both = rows.where(F.col("part").isin(train, held_out))
-    return learner.fit(both.withColumn("held_out", F.col("part") == held_out))
+    own, other = rows.where(F.col("part") == train), rows.where(F.col("part") == held_out)
+    if other.isEmpty():
+        return _trees(cls, s, min(s.rounds, 2 * s.patience), **extra).fit(own)
+    rounds = min(s.rounds, 2 * s.patience)
+    while True:
+        model = _trees(cls, s, rounds, **extra).fit(own)
+        best, turned = best_round(_curve(model, other), s.patience)
+        if turned or rounds == s.rounds:
+            break
+        rounds = min(s.rounds, 2 * rounds)
+    return model if best == rounds else _trees(cls, s, best, **extra).fit(own)
+
+
+def _curve(model, rows: DataFrame) -> list[float]:
+    if isinstance(model, GBTClassificationModel):
+        return model.evaluateEachIteration(rows)
+    return model.evaluateEachIteration(rows, "absolute")
 
 
 def _probability(model, rows: DataFrame) -> DataFrame:
@@ -131,13 +166,13 @@ def _probability(model, rows: DataFrame) -> DataFrame:
     return scored.withColumn("p", vector_to_array("probability")[1])
 
 
-def fit_calibrator(scored: DataFrame, places: int = 6) -> IsotonicRegressionModel:
+def fit_calibrator(scored: DataFrame) -> IsotonicRegressionModel:
     """Isotonic fit on (p, y).
 
-    Rows collapse to one weighted point per score first. The library merges its blocks on the driver,
-    so scores are told apart to ``places`` digits, which bounds the points at a million.
+    Rows collapse to one weighted point per score first. The library pools neighbours within range
+    partitions, so only the pooled blocks meet in the driver.
     """
-    points = scored.groupBy(F.round("p", places).alias("p")).agg(
+    points = scored.groupBy("p").agg(
         F.avg(F.col("y").cast("double")).alias("label"), F.count("*").cast("double").alias("weight")
     )
     return IsotonicRegression(
@@ -191,7 +226,7 @@ def oof_predictions(train: DataFrame, s: Settings, vectors: DataFrame | None = N
             splits.test_part(folded, fold).withColumn("part", F.lit("test"))
         )
         ready = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors)
-        model = _fit(_trees(GBTClassifier, s), ready, "train", "test")
+        model = _fit(GBTClassifier, ready, "train", "test", s)
         sizes.append(model.getNumTrees)
         out = _probability(model, ready.where("part = 'test'"))
         scored.append(stage(out.select("row_id", "y", F.lit(fold).alias("fold"), "p"), "oof"))
@@ -209,12 +244,13 @@ def train_stage1(
     train = rows.where("part = 'train'")
     oof, sizes = oof_predictions(train.drop("part"), s, vectors)
     valid = oof.count()
-    splits.require_oof(valid, valid / max(1, train.count()))
+    coverage = valid / max(1, train.count())
+    splits.require_oof(valid, coverage)
     chosen = metrics.best_threshold(oof).first()
     priors, fill = fit_rate_priors(train, "y"), ttf_fill(train).first()["ttf_fill"]
     positive = class_weight(train, "y").first()["scale_pos_weight"]
     ready = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors)
-    model = _fit(_trees(GBTClassifier, s), ready, "train", "dev")
+    model = _fit(GBTClassifier, ready, "train", "dev", s)
     scored = stage(_probability(model, ready).select("row_id", "y", "part", "p"), "scored")
     calibrator = fit_calibrator(scored.where("part = 'dev'")) if s.calibrate else None
     scored = calibrated(scored, calibrator)
@@ -231,9 +267,11 @@ def train_stage1(
         "threshold_from_oof": chosen["threshold"],
         "oof_best_f1": chosen["f1"],
         "cv_trees_median": _middle(sizes),
+        "cv_oof_coverage": coverage,
         "ttf_fill": fill,
         "trees": model.getNumTrees,
         "scale_pos_weight": positive,
+        **_inputs(bundle),
     }
     return bundle, long[0].unionByName(long[1]).unionByName(long[2]), parameters(spark, facts)
 
@@ -241,11 +279,11 @@ def train_stage1(
 # --- stage 2 -------------------------------------------------------------------------------------
 
 
-def regression_rows(table: DataFrame, s: Settings) -> DataFrame:
+def regression_rows(table: DataFrame, s: Settings, at_least: int = MIN_REGRESSION_ROWS) -> DataFrame:
     """Issues closed within the horizon, split by time; too few of them is an error."""
     rows = stage(table.where(F.col("days_to_close") <= s.horizon), "stage2")
     n = rows.count()
-    if n < MIN_REGRESSION_ROWS:
+    if n < at_least:
         raise ValueError(f"too few issues closed within {s.horizon} days: {n}")
     days = F.col("days_to_close")
     rows = rows.withColumns(
@@ -269,9 +307,7 @@ def cv_best_rounds(train: DataFrame, s: Settings, vectors: DataFrame | None = No
             splits.test_part(folded, fold).withColumn("part", F.lit("test"))
         )
         ready = _learning_rows(rows, priors, fill, s, vectors)
-        model = _fit(_trees(GBTRegressor, s, lossType="absolute"), ready, "train", "test")
-        losses = model.evaluateEachIteration(ready.where("part = 'test'"), "absolute")
-        best.append(min(range(len(losses)), key=losses.__getitem__) + 1)
+        best.append(_fit(GBTRegressor, ready, "train", "test", s, lossType="absolute").getNumTrees)
     return best
 
 
@@ -284,15 +320,24 @@ def train_stage2(
     rounds = cv_best_rounds(train.drop("part"), s, vectors)
     priors, fill = fit_median_priors(train, "y"), ttf_fill(train).first()["ttf_fill"]
     ready = _learning_rows(rows, priors, fill, s, vectors)
-    model = _fit(_trees(GBTRegressor, s, lossType="absolute"), ready, "train", "dev")
+    model = _fit(GBTRegressor, ready, "train", "dev", s, lossType="absolute")
     days = from_log("prediction", s.horizon)
     scored = stage(model.transform(ready).select("row_id", "y", "part", days.alias("pred")), "scored")
     of = lambda part: scored.where(F.col("part") == part)
     long = metrics.as_long_form(metrics.median_baseline(of("train"), of("test")), "baseline_test_")
     for part in ("train", "dev", "test"):
         long = long.unionByName(metrics.as_long_form(metrics.regression_metrics(of(part)), f"{part}_"))
-    facts = {**asdict(s), "cv_trees_median": _middle(rounds), "ttf_fill": fill, "trees": model.getNumTrees}
-    return Bundle(model, priors, fill, s, "stage2-trees-1"), long, parameters(table.sparkSession, facts)
+    bundle = Bundle(model, priors, fill, s, "stage2-trees-1")
+    facts = {
+        **asdict(s), "cv_trees_median": _middle(rounds), "ttf_fill": fill, "trees": model.getNumTrees, **_inputs(bundle)
+    }
+    return bundle, long, parameters(table.sparkSession, facts)
+
+
+def _inputs(bundle: Bundle) -> dict:
+    """What the model reads: tabular names, and how wide the text vector is."""
+    width = bundle.model.numFeatures
+    return {"features": ",".join(bundle.features), "n_features": width, "embedding_dim": width - len(bundle.features)}
 
 
 def _middle(values: list[int]) -> int:
@@ -361,28 +406,37 @@ def load_bundle(spark: SparkSession, path: str) -> Bundle:
 
 
 def _serving_vectors(requests: DataFrame, bundle: Bundle, vectors, as_of) -> DataFrame:
-    rows = serving_rows(requests, as_of)
-    tab = tabular_features(rows, bundle.priors, bundle.fill, bundle.settings.moment, serving=True)
-    if vectors is None:
-        names = bundle.features
+    """Requests as ``_request`` with ``features``; ``_scorable`` is false where the text vector is missing."""
+    rows = serving_rows(requests.withColumn("_request", F.struct(*requests.columns)), as_of)
+    tab = tabular_features(
+        rows, bundle.priors, bundle.fill, bundle.settings.moment, serving=True, keep=("row_id", "_request")
+    )
+    names = list(bundle.features)
+    width = bundle.model.numFeatures - len(names)
+    if width == 0:
+        tab = tab.withColumn("_scorable", F.lit(True))
     else:
-        tab = tab.join(vectors, "row_id", "left").withColumn(
-            "embedding_vec", array_to_vector("embedding")
-        )
-        names = [*bundle.features, "embedding_vec"]
-    # A row that cannot be vectorised (no text vector) is left out here and scores null below.
-    return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="skip").transform(tab)
+        if vectors is not None:
+            tab = tab.join(vectors.select("row_id", "embedding"), "row_id", "left")
+        else:
+            tab = tab.withColumn("embedding", F.lit(None).cast("array<float>"))
+        blank = F.array_repeat(F.lit(0.0).cast("float"), width)
+        tab = tab.withColumn("_scorable", F.coalesce(F.size("embedding") == width, F.lit(False)))
+        filled = F.when(F.col("_scorable"), F.col("embedding")).otherwise(blank)
+        tab = tab.withColumn("embedding_vec", array_to_vector(filled))
+        names.append("embedding_vec")
+    return VectorAssembler(inputCols=names, outputCol="features").transform(tab)
 
 
 def score_stage1(requests: DataFrame, bundle: Bundle, vectors: DataFrame | None = None, as_of=None) -> DataFrame:
     """Requests with the calibrated probability ``p``; a row that cannot be scored gets null."""
-    ready = _serving_vectors(requests, bundle, vectors, as_of)
-    scored = calibrated(_probability(bundle.model, ready).select("row_id", "p"), bundle.calibrator)
-    return requests.join(scored.select("row_id", "p"), "row_id", "left")
+    ready = _serving_vectors(requests, bundle, vectors, as_of).select("_request", "_scorable", "features")
+    scored = calibrated(_probability(bundle.model, ready), bundle.calibrator)
+    return scored.select("_request.*", F.when(F.col("_scorable"), F.col("p")).alias("p"))
 
 
 def score_stage2(requests: DataFrame, bundle: Bundle, vectors: DataFrame | None = None, as_of=None) -> DataFrame:
-    """Requests with the log-days prediction ``r``."""
-    ready = _serving_vectors(requests, bundle, vectors, as_of)
-    scored = bundle.model.transform(ready).select("row_id", F.col("prediction").alias("r"))
-    return requests.join(scored, "row_id", "left")
+    """Requests with the log-days prediction ``r``; a row that cannot be scored gets null."""
+    ready = _serving_vectors(requests, bundle, vectors, as_of).select("_request", "_scorable", "features")
+    scored = bundle.model.transform(ready)
+    return scored.select("_request.*", F.when(F.col("_scorable"), F.col("prediction")).alias("r"))

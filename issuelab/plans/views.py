@@ -27,10 +27,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[path]).parquet(path)
 
 
-def _spread(df: DataFrame, facts: DataFrame, key: str) -> DataFrame:
-    """Rows spread by key where the fact table's files are too few to keep every core busy."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if facts.rdd.getNumPartitions() < cores else df
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Rows spread by key: the fact table's files may be too few to keep every core busy."""
+    return df.repartition(key)
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:
@@ -51,7 +50,7 @@ def repo_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
     return (
-        _spread(lines, lines, "l_orderkey")
+        _spread(lines, "l_orderkey")
         .groupBy("l_orderkey")
         .agg(
             F.count("*").alias("n_lines"),
@@ -71,7 +70,7 @@ def issue_facts(
     named = orders.join(repo_names(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "repo_full_name", "user_login", "o_orderstatus", "o_orderpriority", "o_orderdate"
     )
-    df = _spread(named, orders, "o_orderkey").select(
+    df = _spread(named, "o_orderkey").select(
         key.alias("id"),
         key.alias("number"),
         "repo_full_name",
@@ -273,7 +272,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     close_secs = (key * 104729) % 7776000
     closed = F.col("o_orderstatus") == "F"
     orders = table(spark, sf_dir, "orders")
-    return _spread(orders, orders, "o_orderkey").select(
+    return _spread(orders, "o_orderkey").select(
         key.alias("id"),
         (((key * 7919) % 1000) / F.lit(1000.0)).alias("p"),
         F.log(F.lit(1.0) + (key * 104729) % 40).alias("r"),

@@ -50,7 +50,7 @@ ISSUE_API = _struct(
     ("body", _STR),
     ("user", _struct(("login", _STR))),
     ("author_association", _STR),
-    ("labels", T.ArrayType(_struct(("name", _STR)))),
+    ("labels", T.ArrayType(_STR)),  # plain names, or objects, which are read as their JSON text
     ("comments", _INT),
     ("created_at", _STR),
     ("updated_at", _STR),

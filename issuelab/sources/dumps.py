@@ -1,15 +1,16 @@
 """Merging folders of issue dumps in mixed JSON layouts.
 
-A file holds one JSON array, one JSON object, or one JSON value per line. One pass over the lines
-tells the layouts apart; line files are then parsed line by line (and split over tasks), the others
-with the multi-line reader.
+A file holds one JSON value (an array of records, or one record) or one JSON value per line. Each line is
+parsed once; its outcome is written to the shared folder, and everything else is read from there. Only
+files that may be one value over several lines are put together again, each in one task.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
-from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,71 +19,89 @@ from issuelab.schemas import ISSUE_RAW
 from issuelab.session import stage, use_utc
 from issuelab.sources.readers import DUMP_PATTERN
 
-BAD = "_corrupt_record"
-
 
 @dataclass(frozen=True)
 class Merged:
-    records: DataFrame  # schema columns and ``file``
+    records: DataFrame  # schema columns, ``file``, and ``raw`` (the record as JSON text)
     report: DataFrame  # file, status, records, bad_lines
 
 
-def _files(lines: DataFrame) -> DataFrame:
-    """Names of all matched files, from the scan's own listing: a scan yields no row of an empty file."""
-    names = lines.sparkSession.createDataFrame([(f,) for f in lines.inputFiles()], "file string")
-    return names.select(_one_spelling("file").alias("file"))
-
-
 def _one_spelling(path: str) -> Column:
     """Local paths come as ``file:/x`` or ``file:///x``."""
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
+def _parser() -> Column:
+    """Column function: text to its records as JSON text (the elements of an array), null if it is no JSON.
+
+    A value must fill the text: anything but white space after it makes it invalid. Repeated keys and
+    NaN are accepted, the last value of a key counts.
+    """
+
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def records(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            try:
+                value = json.loads(text)
+            except (ValueError, RecursionError):
+                out.append(None)
+                continue
+            parts = value if isinstance(value, list) else [value]
+            out.append([json.dumps(p, separators=(",", ":")) for p in parts])
+        return pa.array(out, pa.list_(pa.string()))
+
+    return records
+
+
 def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
+    """Every line that isn't blank: file, place, text, what it parses to, and whether it is readable."""
     text = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", recursive)
         .text(root)
     )
-    value = F.trim(F.translate("value", "\t\r", "  "))
-    return text.select(
-        _one_spelling("_metadata.file_path").alias("file"),
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("row"),
-        ).alias("at"),
-        "value",
-        value.alias("bare"),
-    ).withColumns(
-        {
-            "blank": F.col("bare") == "",
-            "readable": F.is_valid_utf8("value"),
-        }
+    place = F.struct(
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
     )
+    lines = text.select(
+        _one_spelling("_metadata.file_path").alias("file"),
+        place.alias("at"),
+        F.is_valid_utf8("value").alias("readable"),
+        F.make_valid_utf8("value").alias("value"),
+    ).where(F.trim(F.translate("value", "\t\r\x0b\x0c", "    ")) != "")
+    # A blank-looking rest of other white space parses to nothing, like any line that is no JSON.
+    return lines.withColumn("parsed", _parser()(F.col("value")))
 
 
-def _survey(lines: DataFrame) -> DataFrame:
-    """Per file: first sign, whether its first line stands alone, and line totals."""
-    full = lines.where(~F.col("blank")).withColumn("ok", F.try_parse_json("bare").isNotNull())
-    return full.groupBy("file").agg(
-        F.min_by(F.substring("bare", 1, 1), "at").alias("sign"),
-        F.min_by("ok", "at").alias("first_ok"),
-        F.count_if("ok").alias("good"),
-        F.count_if(~F.col("ok")).alias("bad"),
-        F.bool_and("readable").alias("readable"),
-    )
+def _files(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
+    """Names of all matched files, from the listing that the driver holds for any scan.
+
+    No scan yields a row of an empty file, so their names can come from nowhere else.
+    """
+    listed = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", recursive).text(root)
+    names = spark.createDataFrame([(f,) for f in listed.inputFiles()], "file string")
+    return names.select(_one_spelling("file").alias("file"))
+
 
+def _survey(lines: DataFrame) -> DataFrame:
+    """Per file: line totals, and whether it may be one value over several lines.
 
-def _whole_files(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    return (
-        spark.read.schema(with_bad)
-        .option("multiLine", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD)
-        .json(paths)
-        .withColumn("file", _one_spelling("_metadata.file_path"))
+    Such a file starts and ends with matching brackets, and its first line is no value by itself.
+    """
+    bare = F.trim(F.translate("value", "\t\r", "  "))
+    ok = F.col("parsed").isNotNull()
+    sums = lines.groupBy("file").agg(
+        F.count("*").alias("n"),
+        F.min_by(F.left(bare, F.lit(1)), "at").alias("opens"),
+        F.max_by(F.right(bare, F.lit(1)), "at").alias("closes"),
+        F.min_by(ok, "at").alias("first_ok"),
+        F.count_if(ok).alias("good"),
+        F.count_if(~ok).alias("bad"),
+        F.bool_and("readable").alias("readable"),
     )
+    brackets = F.concat("opens", "closes").isin("[]", "{}")
+    return sums.withColumn("whole", F.col("readable") & ~F.col("first_ok") & brackets)
 
 
 def merge_dumps(
@@ -96,44 +115,31 @@ def merge_dumps(
     """Bag union of every record in ``root`` and an account per file.
 
     Lenient: malformed lines are left out and counted, undecodable files skipped and listed.
-    Strict: either one raises.
+    Strict: either one raises. A field of the wrong type is null; the record stays.
     """
     use_utc(spark)
-    lines = _lines(spark, root, pattern, recursive)
-    survey = stage(_files(lines).join(_survey(lines), "file", "left"), "dumps")
-    unreadable = F.coalesce(~F.col("readable"), F.lit(False))
-    # A file whose first line is no JSON by itself, or that starts an array, may be one document.
-    one_document = ~unreadable & ((F.col("sign") == "[") | ((F.col("sign") == "{") & ~F.col("first_ok")))
-    # Such files are read by one task each; only their names pass through here.
-    paths = [unquote(r["file"]) for r in survey.where(one_document).select("file").collect()]
-    columns = [f.name for f in schema]
-
-    per_file = survey.select("file", unreadable.alias("skipped"), "good", "bad")
-    whole = None
-    if paths:
-        whole = stage(_whole_files(spark, paths, schema), "documents")
-        broken = whole.where(F.col(BAD).isNotNull()).select("file").distinct()
-        documents = (
-            whole.join(broken, "file", "left_anti")
-            .groupBy("file")
-            .agg(F.count("*").alias("doc_records"))
-        )
-        per_file = per_file.join(documents, "file", "left")
-    else:
-        per_file = per_file.withColumn("doc_records", F.lit(None).cast("long"))
+    lines = stage(_lines(spark, root, pattern, recursive), "lines")
+    survey = stage(_survey(lines), "survey")
+    candidates = lines.join(survey.where("whole").select("file"), "file", "left_semi")
+    rows = F.array_sort(F.collect_list(F.struct("at", "value")))
+    text = F.array_join(F.transform(rows, lambda r: r["value"]), "\n")
+    documents = candidates.groupBy("file").agg(text.alias("value"))
+    documents = stage(documents.select("file", _parser()("value").alias("parsed")).where("parsed is not null"), "documents")
+
+    counted = documents.select("file", F.size("parsed").cast("long").alias("doc_records"))
+    # An array alone on the only line is one value, too: its elements are the records.
+    alone = (F.col("n") == 1) & F.col("first_ok") & (F.col("opens") == "[")
+    single = lines.join(survey.where(F.col("readable") & alone).select("file"), "file", "left_semi").select("file", "parsed")
+    counted = counted.unionByName(single.select("file", F.size("parsed").cast("long").alias("doc_records")))
+    per_file = _files(spark, root, pattern, recursive).join(survey, "file", "left").join(counted, "file", "left")
+    skipped = F.coalesce(~F.col("readable"), F.lit(False))
+    is_document = F.col("doc_records").isNotNull()
     report = stage(
         per_file.select(
             "file",
-            F.when(F.col("skipped"), "skipped")
-            .when(F.col("doc_records").isNotNull(), "document")
-            .otherwise("lines")
-            .alias("status"),
-            F.when(F.col("skipped"), 0)
-            .otherwise(F.coalesce("doc_records", "good", F.lit(0)))
-            .alias("records"),
-            F.when(F.col("skipped") | F.col("doc_records").isNotNull(), 0)
-            .otherwise(F.coalesce("bad", F.lit(0)))
-            .alias("bad_lines"),
+            F.when(skipped, "skipped").when(is_document, "document").otherwise("lines").alias("status"),
+            F.when(skipped, 0).otherwise(F.coalesce("doc_records", "good", F.lit(0))).alias("records"),
+            F.when(skipped | is_document, 0).otherwise(F.coalesce("bad", F.lit(0))).alias("bad_lines"),
         ),
         "report",
     )
@@ -143,18 +149,13 @@ def merge_dumps(
             raise ValueError(f"malformed dump: {trouble['file']} ({trouble['bad_lines']} bad lines)")
 
     as_lines = report.where(F.col("status") == "lines").select("file")
-    parsed = (
-        lines.where(~F.col("blank") & F.try_parse_json("bare").isNotNull())
-        .join(as_lines, "file", "left_semi")
-        .select(F.from_json("bare", schema).alias("r"), "file")
-        .select("r.*", "file")
-    )
-    if whole is not None:
-        good = report.where(F.col("status") == "document").select("file")
-        parsed = parsed.unionByName(
-            whole.join(good, "file", "left_semi").select(*columns, "file")
-        )
-    return Merged(parsed, report)
+    by_line = lines.where("parsed is not null").join(as_lines, "file", "left_semi")
+    # Within a file of lines an array is one record, as it stands.
+    by_line = by_line.select("file", F.when(F.ltrim("value").startswith("["), F.trim("value")).otherwise(F.get("parsed", F.lit(0))).alias("raw"))
+    whole = documents.unionByName(single).select("file", F.explode("parsed").alias("raw"))
+    every = by_line.unionByName(whole)
+    parsed = every.select(F.from_json("raw", schema).alias("r"), "file", "raw")
+    return Merged(parsed.select("r.*", "file", "raw"), report)
 
 
 def report_totals(report: DataFrame) -> DataFrame:
@@ -166,3 +167,9 @@ def report_totals(report: DataFrame) -> DataFrame:
         F.coalesce(F.sum("records"), F.lit(0)).alias("records"),
         F.coalesce(F.sum("bad_lines"), F.lit(0)).alias("bad_lines"),
     )
+
+
+def write_merged(merged: Merged, path: str) -> None:
+    """Records as JSON lines in ``path``/records, the account as JSON lines in ``path``/report."""
+    merged.records.select("raw").write.mode("overwrite").text(f"{path}/records")
+    merged.report.write.mode("overwrite").json(f"{path}/report")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from issuelab.operators.enrich import clean_and_enrich, parse_messages
@@ -20,13 +21,11 @@ def enriched(messages: DataFrame, **options) -> DataFrame:
 
 def _upsert(path: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            log.info("batch %d: nothing to write", batch_id)
-            return
         write_batch(batch, batch_id, path)  # an error stops the query; the batch is retried
-        written = batch.sparkSession.read.parquet(f"{path}/log/batch_id={batch_id}")
-        sample = written.select("repo_full_name", "number", "state", "label_count").first()
-        log.info("batch %d: %d issues, e.g. %s", batch_id, written.count(), sample)
+        written = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/log/batch_id={batch_id}")
+        sample = F.first(F.struct("repo_full_name", "number", "state", "label_count"))
+        seen = written.agg(F.count("*").alias("n"), sample.alias("sample")).first()
+        log.info("batch %d: %d issues, e.g. %s", batch_id, seen["n"], seen["sample"])
 
     return write
 

@@ -64,14 +64,21 @@ def read_current(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, through: int) -> int:
-    """Fold batches up to ``through`` into a new base version; readers switch with the pointer."""
+    """Fold batches up to ``through`` into a new base version; readers switch with the pointer.
+
+    The pointer goes no further than the last batch there is, so batches that arrive later are read.
+    """
     pointer = _pointer(spark, path)
     version = (pointer[0] if pointer else 0) + 1
     after = pointer[1] if pointer else -1
     log = _log(spark, path, after)
     if log is None:
         raise ValueError(f"no batches at {path}")
+    if through < after:
+        raise ValueError(f"batches up to {after} are folded already")
     rows = log.where(F.col("batch_id") <= through)
+    last = rows.agg(F.max("batch_id").cast("long")).first()[0]
+    through = after if last is None else last
     if pointer is not None:
         base = spark.read.parquet(f"{path}/base/v={pointer[0]}")
         rows = rows.unionByName(base.withColumn("batch_id", F.lit(-1).cast("int")))

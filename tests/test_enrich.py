@@ -124,3 +124,15 @@ def test_kpis_on_edge_tables(spark):
         spark.sql("SELECT timestamp'2024-01-02' AS ` Created_At`, timestamp'2024-01-01' AS closed_at UNION ALL SELECT timestamp'2024-01-02', null")
     ).collect()
     assert sorted(str(r["days_to_close"]) for r in audit) == ["0.0", "None"]
+
+
+def test_labels_as_objects_and_strings(spark):
+    recs = [{"id": 1, "labels": ["bug", {"name": "a"}, {"name": None}, {"name": ""}, None]}, {"id": 2, "labels": None}]
+    df = spark.read.schema(ISSUE_API).json(spark.sparkContext.parallelize([json.dumps(r) for r in recs]))
+    df = df.withColumn("repo_full_name", F.lit("o/r"))
+    got = {r["id"]: r["labels"] for r in normalize.normalize_issues(df).collect()}
+    assert got == {1: ["bug", "a"], 2: []}
+    live = {r["id"]: r["labels"] for r in normalize.normalize_live_issues(df).collect()}
+    assert live == {1: ["a", None, ""], 2: []}
+    plain = spark.createDataFrame([(1, ["x", None])], "id long, labels array<string>").withColumn("repo_full_name", F.lit("o/r"))
+    assert normalize.normalize_issues(plain).first()["labels"] == ["x"]

@@ -116,6 +116,64 @@ def test_mixed_layout_merge(spark, tmp_path):
         dumps.merge_dumps(spark, root, strict=True)
 
 
+MERGE_CASES = {
+    # name: (content, status, records, bad lines, ids)
+    "two_values.json": ('[{"id":1}]\n{"id":2}', "lines", 2, 0, [None, 2]),
+    "array_then_line.json": ('[\n{"id":1}\n]\n{"id":2}', "lines", 2, 2, [1, 2]),
+    "two_pretty.json": ('{\n"id":1,\n"x":2\n}\n{\n"id":2,\n"x":3\n}', "lines", 0, 8, []),
+    "mistyped.json": ('[\n{"id":1,\n"comments":"n/a"},\n{"id":2,\n"number":50.0}\n]', "document", 2, 0, [1, 2]),
+    "trailing.jsonl": ('{"id":1}{"id":2}\n{"id":3} trailing\n{"id":4},\n{"id":5}', "lines", 1, 3, [5]),
+    "fragment.jsonl": ('"id": 10\n{"id":6}', "lines", 1, 1, [6]),
+    "odd_values.jsonl": ('{"id":7,"id":8}\n{"id":9,"x":NaN}', "lines", 2, 0, [8, 9]),
+    "one_line_array.json": ('[{"id":1},{"id":2}]', "document", 2, 0, [1, 2]),
+    "brackets.json": ('[\n{"id":1}\n{"id":2}\n]', "lines", 2, 2, [1, 2]),
+}
+
+
+def test_merge_counts_every_record_once(spark, tmp_path):
+    for name, (content, *_) in MERGE_CASES.items():
+        write(str(tmp_path), name, content)
+    merged = dumps.merge_dumps(spark, str(tmp_path))
+    account = {os.path.basename(r["file"]): (r["status"], r["records"], r["bad_lines"]) for r in merged.report.collect()}
+    ids = {}
+    for r in merged.records.collect():
+        ids.setdefault(os.path.basename(r["file"]), []).append(r["id"])
+    for name, (_, status, records, bad, want) in MERGE_CASES.items():
+        assert account[name] == (status, records, bad), name
+        assert sorted(ids.get(name, []), key=str) == sorted(want, key=str), name
+    dumps.write_merged(merged, f"{tmp_path}/out")
+    assert spark.read.text(f"{tmp_path}/out/records").count() == sum(c[2] for c in MERGE_CASES.values())
+    assert spark.read.json(f"{tmp_path}/out/report").count() == len(MERGE_CASES)
+
+
+def test_cursor_step_on_a_read_dump(spark, tmp_path):
+    write(str(tmp_path), "a.jsonl", '{"id":1,"repo_full_name":"o/a","updated_at":"2024-01-02T00:00:00Z"}\n'
+          '{"id":2,"repo_full_name":"o/a","updated_at":"2024-01-03T00:00:00Z"}\n'
+          '{"id":3,"repo_full_name":"o/b","updated_at":"2024-01-03T00:00:00Z"}\n')
+    issues = readers.read_jsonl(spark, str(tmp_path)).withColumn("updated_ts", timing.parse_utc("updated_at"))
+    cursors = spark.createDataFrame([("o/b", "2023-01-01T00:00:00Z"), ("o/c", "2023-01-01T00:00:00Z")], "repo_full_name string, since string")
+    failed = spark.createDataFrame([("o/b", "Timeout")], "repo_full_name string, kind string")
+    state = ingest.collect_step(issues, cursors, "2020-01-01T00:00:00Z", 1, 60, run_at=F.lit("now"), failed=failed)
+    got = {r["repo_full_name"]: (r["since"], r["last_collected_count"], r["last_status"]) for r in state.collect()}
+    assert got == {
+        "o/a": ("2024-01-02T23:59:00Z", 2, "ok"),
+        "o/b": ("2023-01-01T00:00:00Z", 0, "error: Timeout"),
+        "o/c": ("2023-01-01T00:00:00Z", 0, "ok"),
+    }
+    assert ingest.run_summary(state).first()["errors"] == 1
+
+
+def test_late_batch_after_compaction(spark, tmp_path):
+    path = str(tmp_path / "store")
+    doc = lambda i, t: spark.createDataFrame([(i, t)], "id long, updated_at string")
+    store.write_batch(doc(1, "2024-01-01"), 0, path)
+    store.compact(spark, path, through=5)
+    store.write_batch(doc(2, "2024-01-01"), 1, path)
+    assert {r["id"] for r in store.read_current(spark, path).collect()} == {1, 2}
+    store.compact(spark, path, through=1)
+    with pytest.raises(ValueError, match="folded already"):
+        store.compact(spark, path, through=0)
+
 def test_jsonl_scan_order_and_failfast(spark, tmp_path):
     root = str(tmp_path)
     write(root, "a/x.jsonl", '{"id": 1, "number": 1}\n\n{"id": 2, "number": 1}\n')

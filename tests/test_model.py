@@ -132,8 +132,8 @@ def test_regression_metrics_constant_target(spark):
 def test_strict_alignment(spark):
     rows = spark.createDataFrame([("a",), ("b",)], "row_id string")
     vecs = spark.createDataFrame([("a", [1.0, 0.0])], "row_id string, embedding array<float>")
-    with pytest.raises(ValueError, match="row_id=b"):
-        embeddings.align(rows, vecs)
+    with pytest.raises(Exception, match="row_id=b"):
+        embeddings.align(rows, vecs).collect()
     assert embeddings.align(rows, vecs, strict=False).count() == 1
 
 
@@ -167,7 +167,7 @@ def table(spark):
     })
 
 
-SMALL = training.Settings(rounds=6, folds=2, step=0.3, seed=1)
+SMALL = training.Settings(rounds=6, patience=3, folds=2, step=0.3, seed=1)
 
 
 def test_two_stages_learn_save_and_score(table, spark, tmp_path):
@@ -193,6 +193,47 @@ def test_two_stages_learn_save_and_score(table, spark, tmp_path):
     assert got == again
 
 
+def test_best_round_waits_for_patience():
+    assert training.best_round([5, 4, 3, 3.5, 3.2, 2.9, 3, 3, 3], 3) == (6, True)
+    assert training.best_round([5, 4, 3, 3.5, 3.2, 3.1, 2.9], 3) == (3, True)
+    assert training.best_round([5, 4, 3], 3) == (3, False)
+
+
+def test_small_steps_grow_many_trees(table):
+    """More than one tree, and a lower held-out loss than the first tree has."""
+    s = training.Settings(folds=2, step=0.03, patience=5, rounds=40, seed=1)
+    rows = training._stage1_rows(table, s).withColumnRenamed("split", "part")
+    train = rows.where("part = 'train'")
+    fitted = priors.fit_rate_priors(train, "y")
+    ready = training._learning_rows(training._with_class_weight(rows, 1.0), fitted, 0.0, s, None)
+    model = training._fit(training.GBTClassifier, ready, "train", "dev", s)
+    losses = training._curve(model, ready.where("part = 'dev'"))
+    assert model.getNumTrees > 10 and losses[-1] < losses[0] and losses[-1] == min(losses)
+
+
+def test_scores_that_differ_late_are_calibrated_apart(spark):
+    rows = [(0, 0.5), (0, 0.5), (1, 0.50000001), (1, 0.50000001)] * 5
+    df = spark.createDataFrame(rows, "y int, p double")
+    got = {(r["raw"], r["p"]) for r in training.calibrated(df.withColumn("raw", F.col("p")), training.fit_calibrator(df)).collect()}
+    assert got == {(0.5, 0.0), (0.50000001, 1.0)}
+
+
+def test_requests_without_a_vector_score_null(table, spark):
+    s = training.Settings(folds=2, step=0.3, patience=2, rounds=4, seed=1)
+    vectors = table.select("row_id", F.array(F.lit(0.5).cast("float"), F.col("number").cast("float")).alias("embedding"))
+    one, _, params = training.train_stage1(table, vectors, s)
+    assert {r["name"]: r["value"] for r in params.collect()}["embedding_dim"] == "2"
+    rows = [(k, "o/1", "t", "b", ["bug"], None, None, None, "x", "1") for k in ("q1", "q2", "q2")]
+    requests = spark.createDataFrame(
+        rows,
+        "row_id string, repo_full_name string, title string, body string, labels array<string>, created_at string, "
+        "first_comment_at string, author_association string, comments string, num_assignees string",
+    )
+    known = spark.createDataFrame([("q1", [0.5, 1.0])], "row_id string, embedding array<float>")
+    got = [(r["row_id"], r["p"] is None, r["comments"]) for r in training.score_stage1(requests, one, known).collect()]
+    assert sorted(got) == [("q1", False, "x"), ("q2", True, "x"), ("q2", True, "x")]
+
+
 def test_too_few_rows_for_regression(table):
     with pytest.raises(ValueError, match="too few"):
         training.train_stage2(table.limit(300), None, SMALL)
