@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from issuelab.llm.common import text_of
+from issuelab.llm.common import bounded_batches, text_of
 
 NONE = np.int32(1 << 30)
 
@@ -192,7 +192,7 @@ class Encoder:
 
     SEGMENT = 1 << 22
 
-    def __init__(self, path: str, pattern: str, remember: int = 400_000):
+    def __init__(self, path: str, pattern: str, remember: int = 300_000):
         import regex
 
         # White space as the pattern means it: runs of anything else, with one space before, are independent.
@@ -273,6 +273,7 @@ def decode(path: str) -> Callable[[Column], Column]:
 
 def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (packed) and ``n_tokens``."""
+    bounded_batches(docs.sparkSession)
     found = docs.withColumn("ids", encode(path, pattern)(text_of(text)))
     return found.withColumn("n_tokens", F.expr("octet_length(ids) div 4").cast("bigint"))
 

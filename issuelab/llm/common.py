@@ -15,6 +15,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Bytes of texts handed to a Python worker at a time.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand rows to Python by bytes, not by number: texts differ in length by orders of magnitude."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from issuelab.llm.common import spare_name, text_of
+from issuelab.llm.common import bounded_batches, spare_name, text_of
 from issuelab.llm.components import connected
 from issuelab.operators.lookup import lookup_join
 from issuelab.session import stage
@@ -70,7 +70,7 @@ _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 class Shingler:
     """Sorted distinct shingle hashes of texts; hashes of words are remembered."""
 
-    def __init__(self, join: Join, remember: int = 500_000):
+    def __init__(self, join: Join, remember: int = 200_000):
         import xxhash
 
         self.width, self.remember, self.digest = join.width, remember, xxhash.xxh3_64_intdigest
@@ -133,7 +133,7 @@ def _signed(join: Join, whole: bool) -> Column:
                 sizes.append(len(s))
                 if not whole:
                     s = s[:0] if node in met else s[: join.prefix(len(s))]
-                    if len(met) < 1_000_000:
+                    if len(met) < 200_000:
                         met.add(node)
                 sets.append(s)
             yield pa.StructArray.from_arrays(
@@ -240,6 +240,7 @@ def _node_table(signed: DataFrame, docs: DataFrame, join: Join, text: str) -> Da
 
 def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") -> DataFrame:
     """``docs`` with ``n_shingles`` and ``component_id``."""
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = _with_sets(narrow, join, False, "text").select("doc_id", "_s.*")
     signed = stage(signed, "signed")
@@ -259,6 +260,7 @@ def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") ->
 
 def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row of each component, that of the smallest doc_id; rows without words all stay."""
+    bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.*"), "signed")
     table = _node_table(signed, narrow, join, "text")

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelab.llm.common import text_of
+from issuelab.llm.common import bounded_batches, text_of
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -63,7 +63,7 @@ class WordTokens:
     _ODD = "\x1c\x1d\x1e\x1f"
     SEGMENT = 4 << 20
 
-    def __init__(self, path: str, end_id: int, remember: int = 400_000):
+    def __init__(self, path: str, end_id: int, remember: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -266,6 +266,7 @@ def pack(
     text: str = "text",
 ) -> DataFrame:
     """One row per piece, with its token ids (little-endian unsigned 32-bit)."""
+    bounded_batches(docs.sparkSession)
     fields = [pa.int64()] * 7 + [pa.binary()]
     names = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()
     schema = pa.schema(list(zip(names, fields)))

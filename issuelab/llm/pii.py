@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructType
 
-from issuelab.llm.common import spare_name, text_of
+from issuelab.llm.common import bounded_batches, spare_name, text_of
 from issuelab.llm.spans import ARROW_SPANS, SPAN_TYPE, as_rows, term_counts
 from issuelab.operators.lookup import lookup_join
 from issuelab.session import stage
@@ -235,6 +235,7 @@ def disclosing_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: st
 
 def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: base spans by kind, then start; then the method's by kind, then start."""
+    bounded_batches(docs.sparkSession)
     key, more, copies = (spare_name(docs, c) for c in ("text_key", "added", "copies"))
     added = disclosing_spans(docs, rules, text).toDF(key, more, copies)
     keyed = docs.withColumn(key, _text_key(text)).withColumn("base", find_base(text_of(text)))

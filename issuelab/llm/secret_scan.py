@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from issuelab.llm.common import text_of
+from issuelab.llm.common import bounded_batches, text_of
 from issuelab.llm.spans import ARROW_SPANS, SPAN_TYPE, as_rows, code_point_places, term_counts
 
 KINDS = ("assign", "access", "hex")
@@ -128,6 +128,7 @@ def novel_spans(raw: bytes, base: list[tuple[int, int, int]], meter: _Meter, rul
 
 def with_spans(docs: DataFrame, rules: Novelty = Novelty(), text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``, both by start, then kind as listed (``novel`` last)."""
+    bounded_batches(docs.sparkSession)
     primer = dictionary(docs, rules.dictionary_words, text)
 
     @F.arrow_udf(StructType().add("base", SPAN_TYPE).add("spans", SPAN_TYPE))
