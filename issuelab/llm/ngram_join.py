@@ -13,9 +13,12 @@ the short lists and a count per pair. Candidates are then probed by binary searc
 long lists included, which gives the exact overlap.
 
 Groups. Equal sets are one node. As only groups are wanted, pairs that are known to be in one group need
-no search: first each set is compared to the first set of most of its lists (one pair a set); then lists
-within one of the groups found so count as empty, and only pairs across groups are searched. So a large
-family of copies costs a pair for each copy, and no link between different groups is missed.
+no search: first each set is compared to the first set of most of its lists (one pair a set), and blocks of
+sets that share a shingle are searched in one task each; then lists within one of the groups found so count
+as empty, and only pairs across groups are searched, by prefixes of
+``LONGER`` times as many lists as must be merged. So a large family of copies costs a pair for each copy,
+sets that share long passages are searched by what else they hold, and no link between groups is missed.
+Pairs whose parity sketches already differ in more places than a link allows are not formed.
 
 Shingles, and sets, are told apart by 64-bit hashes. Defined results: null texts, and texts without words,
 have an empty set, link with nothing and are their own component. Fewer than ``width`` words are one
@@ -38,10 +41,16 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from issuelab.llm.common import bounded_batches, spare_name, text_of
 from issuelab.llm.components import connected
-from issuelab.operators.lookup import lookup_join
+from issuelab.operators.lookup import fits_broadcast, lookup_join
 from issuelab.session import stage
 
 
+#: Nodes that a broadcast of node ids may hold, measured before it is made.
+MAX_BROADCAST_NODES = 1_000_000
+#: Length of the longer prefixes, as a multiple of the lists that must be merged.
+LONGER = 4
+
+
 @dataclass(frozen=True)
 class Join:
     """Shingle width in words, and the similarity that links, in percent."""
@@ -112,7 +121,19 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *arrays])))
 
 
+#: Words of the parity sketch. Bit k is the parity of the shingles that hash to k, so the bits in which two
+#: sketches differ are at most as many as the shingles that only one of the sets has.
+SKETCH = ("s0", "s1", "s2", "s3")
+
+
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    bits = np.bincount((shingles >> 17) & (64 * len(SKETCH) - 1), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 _SIGNED = StructType().add("node", LongType()).add("n", LongType()).add("part", ArrayType(LongType()))
+for _word in SKETCH:
+    _SIGNED.add(_word, LongType())
 
 
 def _signed(join: Join, whole: bool) -> Column:
@@ -125,20 +146,22 @@ def _signed(join: Join, whole: bool) -> Column:
     def sign(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingle, met = Shingler(join), set()
         for texts in parts:
-            sets, nodes, sizes = [], [], []
+            sets, nodes, sizes, sketches = [], [], [], []
             for text in texts.to_pylist():
                 s = shingle(text)
                 node = _node(s)
                 nodes.append(node)
                 sizes.append(len(s))
+                sketches.append(_sketch(s))
                 if not whole:
                     s = s[:0] if node in met else s[: join.prefix(len(s))]
                     if len(met) < 200_000:
                         met.add(node)
                 sets.append(s)
-            yield pa.StructArray.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(sets)], names=["node", "n", "part"]
-            )
+            words = np.array(sketches, np.int64).reshape(-1, len(SKETCH)).T
+            columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(sets)]
+            columns += [pa.array(np.ascontiguousarray(w)) for w in words]
+            yield pa.StructArray.from_arrays(columns, names=["node", "n", "part", *SKETCH])
 
     return sign
 
@@ -184,14 +207,12 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     shared = stage(shared, "shared")
 
     # Sets with too few shared shingles for any partner, the smallest one allowed included, drop out here.
-    n = F.col("n")
-    smallest = F.ceil(join.percent * n / 100).cast("bigint")
-    spare = lambda size: F.expr(f"({size} - ({join.percent} * {size} + 99) div 100 + 2) div 2")
     alive = shared.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("met"))
-    alive = alive.withColumn("smallest", smallest).where(F.col("met") >= spare("smallest")).select("node", "n", "met")
-    alive = stage(alive, "alive")
-    shared = stage(shared.join(alive.select("node"), "node", "left_semi"), "searched")
-    sets = _with_sets(docs, join, True, text).select("_s.*").join(alive.select("node"), "node", "left_semi")
+    alive = stage(alive.where(F.col("met") >= _spare_of_smallest(join)).select("node", "n"), "alive")
+    small = fits_broadcast(alive, MAX_BROADCAST_NODES)
+    chosen = F.broadcast(alive.select("node")) if small else alive.select("node")
+    shared = stage(shared.join(chosen, "node", "left_semi"), "searched")
+    sets = _with_sets(docs, join, True, text).select("_s.*").join(chosen, "node", "left_semi")
     sets = stage(sets.dropDuplicates(["node"]), "sets")
 
     # First pass: the first set of most lists.
@@ -203,27 +224,128 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     first = stage(_verified(pairs, sets, join), "links")
     groups = stage(connected(first), "groups")
 
-    # Second pass: short lists across groups.
-    grouped = shared.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("hub")
-    grouped = stage(grouped, "grouped")
-    mixed = grouped.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    across = stage(grouped.join(mixed, "h", "left_semi"), "across")
+    # Then blocks of sets that share a shingle are searched, each in one task.
+    grouped = stage(_across(shared.drop("hub", "df"), groups, join), "grouped")
+    blocks = stage(_searched_blocks(grouped, sets, join), "blocks")
+    first = first.unionByName(blocks)
+    groups = stage(connected(first), "groups")
+
+    # Second pass: only sets with enough lists across groups, under longer prefixes, so that even sets made
+    # up of common passages for the most part have rare shingles to be searched by.
+    rest = _across(grouped.drop("root"), groups, join).select("node", "root").distinct()
     short = F.expr(f"n - ({join.percent} * n + 99) div 100 + 1")
-    prefix = short + F.expr(f"({'n'} - ({join.percent} * n + 99) div 100 + 2) div 2") - 1
+    longer = F.least(F.col("n"), LONGER * short)
+    postings = sets.join(rest, "node").select("node", "n", "root", *SKETCH, F.explode(F.slice("part", F.lit(1), longer.cast("int"))).alias("h"))
+    lists = postings.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    across = stage(postings.join(lists.where("lo <> hi").select("h", "df"), "h"), "across")
     by_length = Window.partitionBy("node").orderBy("df", "h")
     counted = across.withColumn("place", F.row_number().over(by_length)).withColumn(
         "mixed", F.count("*").over(Window.partitionBy("node"))
     )
     # Lists that are the set's own, or within its group, are merged first and for free.
-    asked = counted.where(F.col("place") <= short - (prefix - F.col("mixed")))
-    asked = asked.select("h", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"))
-    other = across.select("h", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"))
+    asked = counted.where(F.col("place") <= short - (longer - F.col("mixed")))
+    side = lambda df, x: df.select(
+        "h", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "root", *SKETCH)]
+    )
+    asked, other = side(asked, "a"), side(across, "b")
     later = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
-    pairs = asked.join(other, "h").where((F.col("root_a") != F.col("root_b")) & later & _sizes_fit(join, "n_a", "n_b"))
+    differ = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in SKETCH), F.lit(0))
+    # The least overlap of a linked pair is percent * (n_a + n_b) / (100 + percent), rounded up.
+    least = f"(({join.percent} * (n_a + n_b) + {99 + join.percent}) div {100 + join.percent})"
+    near = differ <= F.expr(f"n_a + n_b - 2 * {least}")
+    fit = later & _sizes_fit(join, "n_a", "n_b") & near
+    pairs = asked.join(other, "h").where((F.col("root_a") != F.col("root_b")) & fit)
     second = _verified(pairs.select("a", "b").distinct(), sets, join)
     return first.unionByName(second)
 
 
+def _across(shared: DataFrame, groups: DataFrame, join: Join) -> DataFrame:
+    """Postings in lists that hold several groups, of nodes that have enough of them for a partner."""
+    grouped = shared.join(groups, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    grouped = stage(grouped, "rooted")
+    mixed = grouped.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
+    kept = grouped.join(mixed, "h", "left_semi")
+    enough = kept.groupBy("node").agg(F.first("n").alias("n"), F.count("*").alias("met"))
+    enough = enough.where(F.col("met") >= _spare_of_smallest(join)).select("node")
+    return kept.join(enough, "node", "left_semi")
+
+
+#: Sets that a block holds about, and how many times sets are dealt into blocks.
+BLOCK, DEALS = 256, 3
+
+
+def _searched_blocks(grouped: DataFrame, sets: DataFrame, join: Join) -> DataFrame:
+    """Links found by searching blocks of sets that share their first shingle under a seeded order.
+
+    A shingle with many sets is dealt into several blocks, so no task gets more than a block at once.
+    """
+    places = [F.min_by("h", F.xxhash64(F.lit(k), "h")) for k in range(DEALS)]
+    dealt = grouped.groupBy("node").agg(F.first("root").alias("root"), F.array(*places).alias("keys"))
+    dealt = dealt.select("node", "root", F.posexplode("keys").alias("deal", "key"))
+    sizes = dealt.groupBy("deal", "key").agg(F.count("*").alias("c")).where("c > 1")
+    dealt = dealt.join(sizes, ["deal", "key"])
+    block = F.pmod(F.xxhash64("node", "deal"), F.ceil(F.col("c") / BLOCK)).cast("int")
+    rows = dealt.select("deal", "key", block.alias("block"), "node", "root").join(sets, "node")
+
+    def search(block: pa.Table) -> pa.Table:
+        ids, roots = np.asarray(block["node"]), np.asarray(block["root"])
+        parts = block["part"].combine_chunks()
+        flat, ends = parts.values.to_numpy(zero_copy_only=False), parts.offsets.to_numpy()
+        found = divide_skip([flat[a:b] for a, b in zip(ends[:-1], ends[1:])], roots, join)
+        a, b = ([ids[pair[k]] for pair in found] for k in (0, 1))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return rows.groupBy("deal", "key", "block").applyInArrow(search, "a bigint, b bigint")
+
+
+def divide_skip(sets: list[np.ndarray], groups: np.ndarray, join: Join) -> list[tuple[int, int]]:
+    """Links that connect the groups of some sets (sorted shingles); pairs already connected are passed over.
+
+    Each set merges its shortest inverted lists, as many as any partner must share one of, and probes the
+    candidates for the rest by binary search.
+    """
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token, df = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    by_token = owner[np.argsort(token, kind="stable")]
+    starts = np.concatenate([[0], df.cumsum()])
+    own = np.split(token, sizes.cumsum()[:-1])
+    first: dict[int, int] = {}
+    parent = [first.setdefault(g, k) for k, g in enumerate(groups.tolist())]
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    links = []
+    for i in np.argsort(sizes, kind="stable").tolist():
+        n = len(sets[i])
+        lengths = df[own[i]]
+        short = own[i][np.argsort(lengths, kind="stable")[: join.short_lists(n)]]
+        lists = [by_token[starts[t] : starts[t + 1]] for t in short.tolist() if df[t] > 1]
+        if not lists:
+            continue
+        near = np.unique(np.concatenate(lists))
+        near = near[(sizes[near] >= n) & (join.percent * sizes[near] <= 100 * n)]
+        for j in near.tolist():
+            if find(i) == find(j):
+                continue
+            at = np.searchsorted(sets[j], sets[i])
+            overlap = np.count_nonzero(sets[j][np.minimum(at, len(sets[j]) - 1)] == sets[i])
+            if 100 * overlap >= join.percent * (n + len(sets[j]) - overlap):
+                links.append((i, j))
+                parent[find(i)] = find(j)
+    return links
+
+
+def _spare_of_smallest(join: Join) -> Column:
+    """l of the smallest partner that a set of ``n`` may have."""
+    least = f"cast(ceil({join.percent} * n / 100) as bigint)"
+    return F.expr(f"({least} - ({join.percent} * {least} + 99) div 100 + 2) div 2")
+
+
 def _node_table(signed: DataFrame, docs: DataFrame, join: Join, text: str) -> DataFrame:
     """node, component_id, copies (rows), first_rows (rows of the node that carry the component's id)."""
     nodes = signed.where("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("rows"))
@@ -242,8 +364,7 @@ def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") ->
     """``docs`` with ``n_shingles`` and ``component_id``."""
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    signed = _with_sets(narrow, join, False, "text").select("doc_id", "_s.*")
-    signed = stage(signed, "signed")
+    signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.node", "_s.n", "_s.part"), "signed")
     table = _node_table(signed, narrow, join, "text").drop("r")
     if set(docs.columns) <= {"doc_id", text}:
         rows = signed.select("doc_id", "n", "node")
@@ -262,7 +383,7 @@ def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """One row of each component, that of the smallest doc_id; rows without words all stay."""
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.*"), "signed")
+    signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.node", "_s.n", "_s.part"), "signed")
     table = _node_table(signed, narrow, join, "text")
     # The node that gives the component its id, and of its rows with that id only one.
     owner = Window.partitionBy("component_id").orderBy("node")
