@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
-from issuelab.llm.common import bounded_batches, text_of
+from issuelab.llm.common import bounded_batches, kept_in_worker, text_of
 
 NONE = np.int32(1 << 30)
 
@@ -249,9 +250,11 @@ def _segments(text: str, size: int):
 def encode(path: str, pattern: str) -> Callable[[Column], Column]:
     """Column function: text to packed ids."""
 
+    key = ("bpe", uuid.uuid4().hex)
+
     @F.arrow_udf(BinaryType())
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(path, pattern)
+        encoder = kept_in_worker(key, lambda: Encoder(path, pattern))
         for texts in parts:
             yield pa.array(encoder.encode(texts.to_pylist()), pa.binary())
 
@@ -261,9 +264,11 @@ def encode(path: str, pattern: str) -> Callable[[Column], Column]:
 def decode(path: str) -> Callable[[Column], Column]:
     """Column function: packed ids to bytes."""
 
+    key = ("bpe tokens", uuid.uuid4().hex)
+
     @F.arrow_udf(BinaryType())
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = Merges(path).tokens
+        tokens = kept_in_worker(key, lambda: Merges(path).tokens)
         for ids in parts:
             lists = [np.frombuffer(raw, "<u4").tolist() for raw in ids.to_pylist()]
             yield pa.array([b"".join([tokens[k] for k in ks]) for ks in lists], pa.binary())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def kept_in_worker(key: tuple, make: Callable[[], object]) -> object:
+    """``make()``, kept by the Python worker for the tasks that follow; for loaded files and bounded memories."""
+    state = sys.modules.setdefault("_issuelab_worker_state", types.ModuleType("_issuelab_worker_state"))
+    known = state.__dict__.setdefault("kept", {})
+    if key not in known:
+        known[key] = make()
+    return known[key]
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -23,6 +23,7 @@ unique but not gapless: partition number times 2^33 plus a count.
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 from collections import deque
 from collections.abc import Callable, Iterator
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelab.llm.common import bounded_batches, text_of
+from issuelab.llm.common import bounded_batches, kept_in_worker, text_of
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -267,6 +268,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece, with its token ids (little-endian unsigned 32-bit)."""
     bounded_batches(docs.sparkSession)
+    key = ("packing", uuid.uuid4().hex)
     fields = [pa.int64()] * 7 + [pa.binary()]
     names = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()
     schema = pa.schema(list(zip(names, fields)))
@@ -276,7 +278,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = tokens()
+        encoder = kept_in_worker(key, tokens)
         stream = _Stream(size, penalties, block, TaskContext.get().partitionId() << 33)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
