@@ -90,7 +90,7 @@ def author_flags(serving: bool = False) -> dict[str, Column]:
 class RepoPriors:
     """History per repository: a keyed table and the fallbacks for an unseen repository."""
 
-    table: DataFrame  # repo_full_name, cnt, <value>
+    table: DataFrame  # repo_full_name, cnt, <value>; read from a written table
     value: str  # posrate | median_days
     global_count: float
     global_value: float
@@ -106,7 +106,7 @@ def join_priors(df: DataFrame, priors: RepoPriors) -> DataFrame:
         "repo_full_name", F.col("cnt").alias("_cnt"), F.col(priors.value).alias("_value")
     )
     spread = [c for c in ("row_id", "number", "id") if c in df.columns]
-    joined = lookup_join(df, table, "repo_full_name", weight="_cnt", spread_by=spread)
+    joined = lookup_join(df, table, "repo_full_name", weight="_cnt", spread_by=spread, staged=True)
     count = F.coalesce(F.col("_cnt").cast("double"), F.lit(float(priors.global_count)))
     return joined.withColumns(
         {

@@ -32,14 +32,15 @@ def lookup_join(
     weight: str | None = None,
     spread_by: Sequence[Column | str] = (),
     broadcast_rows: int = BROADCAST_ROWS,
+    staged: bool = False,
 ) -> DataFrame:
     """Left join ``facts`` to ``table`` (one row per ``key``).
 
-    The table is written once and measured. If it is small it is broadcast. Otherwise its
+    The table is written once (unless it is read from a written one: ``staged``) and measured. If it is small it is broadcast. Otherwise its
     ``HOT_KEYS`` heaviest keys (by ``weight``) are broadcast and matched first, those rows get
     spread-out keys that match nothing, and the rest go through one balanced shuffle join.
     """
-    table = stage(table, "lookup")
+    table = table if staged else stage(table, "lookup")
     values = [c for c in table.columns if c != key]
     if fits_broadcast(table, broadcast_rows):
         return facts.join(F.broadcast(table), key, "left").select(*facts.columns, *values)
