@@ -250,11 +250,11 @@ def _segments(text: str, size: int):
 def encode(path: str, pattern: str) -> Callable[[Column], Column]:
     """Column function: text to packed ids."""
 
-    key = ("bpe", uuid.uuid4().hex)
+    call = uuid.uuid4().hex
 
     @F.arrow_udf(BinaryType())
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = kept_in_worker(key, lambda: Encoder(path, pattern))
+        encoder = kept_in_worker("bpe encoder", call, lambda: Encoder(path, pattern))
         for texts in parts:
             yield pa.array(encoder.encode(texts.to_pylist()), pa.binary())
 
@@ -264,11 +264,11 @@ def encode(path: str, pattern: str) -> Callable[[Column], Column]:
 def decode(path: str) -> Callable[[Column], Column]:
     """Column function: packed ids to bytes."""
 
-    key = ("bpe tokens", uuid.uuid4().hex)
+    call = uuid.uuid4().hex
 
     @F.arrow_udf(BinaryType())
     def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tokens = kept_in_worker(key, lambda: Merges(path).tokens)
+        tokens = kept_in_worker("bpe tokens", call, lambda: Merges(path).tokens)
         for ids in parts:
             lists = [np.frombuffer(raw, "<u4").tolist() for raw in ids.to_pylist()]
             yield pa.array([b"".join([tokens[k] for k in ks]) for ks in lists], pa.binary())

@@ -26,13 +26,16 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def kept_in_worker(key: tuple, make: Callable[[], object]) -> object:
-    """``make()``, kept by the Python worker for the tasks that follow; for loaded files and bounded memories."""
+def kept_in_worker(kind: str, call: str, make: Callable[[], object]) -> object:
+    """``make()``, kept by the Python worker for further tasks of the same call, one of a kind at a time.
+
+    For loaded files and memories of bounded size; results must not depend on what is kept.
+    """
     state = sys.modules.setdefault("_issuelab_worker_state", types.ModuleType("_issuelab_worker_state"))
     known = state.__dict__.setdefault("kept", {})
-    if key not in known:
-        known[key] = make()
-    return known[key]
+    if known.get(kind, (None,))[0] != call:
+        known[kind] = (call, make())
+    return known[kind][1]
 
 
 def text_of(column: str = "text") -> Column:

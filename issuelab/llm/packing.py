@@ -268,7 +268,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece, with its token ids (little-endian unsigned 32-bit)."""
     bounded_batches(docs.sparkSession)
-    key = ("packing", uuid.uuid4().hex)
+    call = uuid.uuid4().hex
     fields = [pa.int64()] * 7 + [pa.binary()]
     names = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()
     schema = pa.schema(list(zip(names, fields)))
@@ -278,7 +278,7 @@ def pack(
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = kept_in_worker(key, tokens)
+        encoder = kept_in_worker("word tokens", call, tokens)
         stream = _Stream(size, penalties, block, TaskContext.get().partitionId() << 33)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
