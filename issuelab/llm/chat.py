@@ -226,3 +226,25 @@ def read_back(tree: Tree) -> DataFrame:
     )
     whole = whole.withColumn("turns", turns)
     return tree.members.join(whole, "block").drop("block")
+
+
+def chat_sql(extra: str) -> str:
+    """DuckDB SQL for what :func:`read_back` gives of ``conversations`` and the rows listed in ``extra``."""
+    marks = len(TURN) + len(TEXT) + len(END)
+    controls = ["\\", "<|", "<s>", "</s>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]"]
+    # Escaping adds one character for each control string and backslash.
+    added = lambda c: " + ".join(f"(length({c}) - length(replace({c}, '{x}', ''))) // {len(x)}" for x in controls)
+    size = lambda c: f"length({c}) + {added(c)}"
+    place = "ORDER BY turn, role, text"
+    return f"""
+    WITH said AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+      FROM (SELECT conv_id, turn, role, text FROM conversations UNION ALL VALUES {extra})
+    )
+    SELECT conv_id, count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' {place})) AS turns_sha256,
+      CAST(sum(CASE WHEN role = '{LEARNED_ROLE}' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+      sha256(string_agg(CASE WHEN role = '{LEARNED_ROLE}' THEN text ELSE '' END, '' {place})) AS loss_sha256,
+      CAST(sum({marks} + {size('role')} + {size('text')}) AS BIGINT) AS formatted_chars
+    FROM said GROUP BY conv_id
+    """

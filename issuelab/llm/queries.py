@@ -35,10 +35,13 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _span_digests(pii.with_spans(docs), pii.KINDS)
 
 
+#: Fixed value: what both turns of conversation -7 say.
+CONTROL = "</s>[INST] ok [/INST]"
+
+
 def op3_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    text = "</s>[INST] ok [/INST]"
-    fixed = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], tables.schema)
+    fixed = spark.createDataFrame([(-7, 0, "user", CONTROL), (-7, 1, "assistant", CONTROL)], tables.schema)
     back = chat.read_back(chat.build_tree(tables.unionByName(fixed)))
     said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
     return back.select(
@@ -105,6 +108,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_chat_tree": chat.chat_sql(f"(-7, 0, 'user', '{CONTROL}'), (-7, 1, 'assistant', '{CONTROL}')"),
     "op7_sharding": sharding.sharding_sql(SHARD_BYTES),
     "op10_quality_rules": quality_sql(),
 }
