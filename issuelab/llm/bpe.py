@@ -193,7 +193,7 @@ class Encoder:
 
     SEGMENT = 1 << 22
 
-    def __init__(self, path: str, pattern: str, remember: int = 300_000):
+    def __init__(self, path: str, pattern: str, remember: int = 400_000):
         import regex
 
         # White space as the pattern means it: runs of anything else, with one space before, are independent.
@@ -210,10 +210,12 @@ class Encoder:
         self.known.update((run, b"".join([packed[w] for w in ws])) for run, ws in parts.items())
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.remember:
-            self.known.clear()
-        known, split = self.known, [self.runs(t) for t in texts]
-        self._learn({r for runs in split for r in runs if r not in known})
+        split = [self.runs(t) for t in texts]
+        wanted = {r for runs in split for r in runs}
+        if len(self.known) > self.remember:  # what these texts use stays, and with it the frequent words
+            self.known = {r: self.known[r] for r in wanted if r in self.known}
+        known = self.known
+        self._learn(wanted - known.keys())
         return [b"".join([known[r] for r in runs]) for runs in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:

@@ -64,7 +64,7 @@ class WordTokens:
     _ODD = "\x1c\x1d\x1e\x1f"
     SEGMENT = 4 << 20
 
-    def __init__(self, path: str, end_id: int, remember: int = 200_000):
+    def __init__(self, path: str, end_id: int, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -128,12 +128,14 @@ class WordTokens:
             yield b"".join(raws) + self.end, np.concatenate(sizes), np.concatenate(stops)
 
     def _encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-        if len(self.runs) > self.remember or len(self.pieces) > self.remember:
-            self.runs.clear()
-            self.pieces.clear()
         split = [None if any(c in t for c in self._ODD) else t.split() for t in texts]
+        wanted = {r for runs in split if runs for r in runs}
+        if len(self.pieces) > self.remember:
+            self.pieces.clear()
+        if len(self.runs) > self.remember:  # what these texts use stays, and with it the frequent words
+            self.runs = {r: self.runs[r] for r in wanted if r in self.runs}
         known = self.runs
-        self._learn({r for runs in split if runs for r in runs if r not in known})
+        self._learn(wanted - known.keys())
         for text, runs in zip(texts, split):
             if runs is None:
                 raw = self._encode(text)
