@@ -76,7 +76,9 @@ class WordTokens:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
             self.closes[number] = token.endswith("</w>")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Special tokens are read inside texts, too. All begin alike; without a common start every run is read whole.
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.opening = os.path.commonprefix(special) if special else "\x00"
         # Fixed value: the splitting rule of the vocabulary.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.runs: dict[str, bytes] = {}
@@ -90,7 +92,7 @@ class WordTokens:
         """Encode unknown runs."""
         split, plain = {}, []
         for run in runs:
-            if any(s in run for s in self.special) or not run.isascii() and self._needs_whole(run):
+            if self.opening in run or not run.isascii() and self._needs_whole(run):
                 self.runs[run] = self._encode(run)
             else:
                 split[run] = self.split(run.lower())
@@ -143,7 +145,7 @@ class WordTokens:
                 continue
             parts = [known[r] for r in runs]
             sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-            stops = np.fromiter((r[-1] in ".!?" for r in runs), bool, len(runs))
+            stops = np.array([r[-1] in ".!?" for r in runs], bool)
             yield b"".join(parts), sizes, stops
 
 
