@@ -347,17 +347,19 @@ def _spare_of_smallest(join: Join) -> Column:
 
 
 def _node_table(signed: DataFrame, docs: DataFrame, join: Join, text: str) -> DataFrame:
-    """node, component_id, copies (rows), first_rows (rows of the node that carry the component's id)."""
+    """node, root (of its component), component_id, copies (rows), own_id, r (rows of the node with ``own_id``)."""
     nodes = signed.where("node is not null").groupBy("node", "doc_id").agg(F.count("*").alias("rows"))
+    # Rows of the smallest id that isn't null; nodes without one have a single group, that of the null id.
+    named = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "rows")))["rows"]
     nodes = nodes.groupBy("node").agg(
-        F.min("doc_id").alias("own_id"), F.sum("rows").alias("copies"), F.min(F.struct("doc_id", "rows"))["rows"].alias("r")
+        F.min("doc_id").alias("own_id"), F.sum("rows").alias("copies"), F.coalesce(named, F.max("rows")).alias("r")
     )
     roots = stage(connected(links(docs, signed, join, text)), "components")
     ids = roots.join(nodes.select("node", "own_id"), "node").groupBy("root").agg(F.min("own_id").alias("component_id"))
-    roots = roots.join(ids, "root").select("node", "component_id")
+    roots = roots.join(ids, "root").select("node", "root", "component_id")
     table = nodes.join(roots, "node", "left")
-    component = F.coalesce("component_id", "own_id")
-    return table.select("node", component.alias("component_id"), "copies", "r")
+    root, component = F.coalesce("root", "node"), F.coalesce("component_id", "own_id")
+    return table.select("node", root.alias("root"), component.alias("component_id"), "copies", "own_id", "r")
 
 
 def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") -> DataFrame:
@@ -365,7 +367,7 @@ def with_components(docs: DataFrame, join: Join = Join(), text: str = "text") ->
     bounded_batches(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.node", "_s.n", "_s.part"), "signed")
-    table = _node_table(signed, narrow, join, "text").drop("r")
+    table = _node_table(signed, narrow, join, "text").drop("root", "own_id", "r")
     if set(docs.columns) <= {"doc_id", text}:
         rows = signed.select("doc_id", "n", "node")
         found = lookup_join(rows, table, "node", weight="copies", spread_by=("doc_id",))
@@ -385,13 +387,11 @@ def keep_one(docs: DataFrame, join: Join = Join()) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed = stage(_with_sets(narrow, join, False, "text").select("doc_id", "_s.node", "_s.n", "_s.part"), "signed")
     table = _node_table(signed, narrow, join, "text")
-    # The node that gives the component its id, and of its rows with that id only one.
-    owner = Window.partitionBy("component_id").orderBy("node")
-    own = signed.where("node is not null").select("node", "doc_id").distinct()
-    owners = own.join(table.select("node", "component_id", "r"), "node")
-    owners = owners.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    owners = owners.withColumn("place", F.row_number().over(owner)).where("place = 1")
-    owners = owners.select("node", F.col("doc_id").alias("keep_id"), F.col("r").alias("keep_rows"))
+    # The node that gives the component its id, and of its rows with that id only one. Components are told
+    # apart by root: ids may be null or repeated.
+    owners = table.where(F.col("own_id").eqNullSafe(F.col("component_id")))
+    owners = owners.groupBy("root").agg(F.min(F.struct("node", "own_id", "r")).alias("first"))
+    owners = owners.select("first.node", F.col("first.own_id").alias("keep_id"), F.col("first.r").alias("keep_rows"))
     held = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), text_of("text").alias("text"))
     held = held.withColumn("node", _signed(join, False)(F.col("text"))["node"]).drop("text")
     found = lookup_join(held, owners, "node", weight="keep_rows", spread_by=("doc_id",))

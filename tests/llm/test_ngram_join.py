@@ -101,3 +101,12 @@ def test_awkward_tables(spark):
     assert kept.columns == docs.columns and kept.where("doc_id in (1, 5, 6)").count() == 2
     assert ngram_join.with_components(empty_docs(spark)).count() == 0
     assert ngram_join.keep_one(empty_docs(spark)).count() == 0
+
+
+def test_components_without_an_id_of_their_own_keep_a_row_each(spark):
+    rows = [(None, f"text {k} has words of its own {k * k}") for k in range(5)]  # no links, no ids
+    rows += [(None, rows[0][1]), (None, "a b c d e f g h"), (4, "A b c d e f g h"), (4, "A b c d e f g h")]
+    rows += [(9, "one id stands here twice"), (9, "with another text the second time"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect()), key=str)
+    assert kept == sorted([*rows[:5], rows[7], *rows[9:]], key=str)
