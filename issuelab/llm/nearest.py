@@ -9,7 +9,8 @@ in a larger table neighbours lie closer, so it errs to the safe side.
 
 On a cluster the table is dealt into blocks of bounded size by a hash of the row, queries likewise; every
 query block meets every table block once, each task indexes its block and keeps the ``k`` best per query,
-and these few rows are merged. All rows are indexed; only the rotation and radius come from the sample of
+and these few rows are merged. A query that found fewer than ``k`` rows within the radius, over all blocks,
+is searched again with the radius of all bits, which is exact. All rows are indexed; only the rotation and radius come from the sample of
 ``sample_rows`` rows, chosen by a hash.
 
 Defined results: vectors that are null, zero, of another length than most of the sample, or hold null or
@@ -20,13 +21,15 @@ are ignored. Without vectors the result is empty.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from issuelab.session import stage
+
 WORD = 16
 MAX_BITS = 64
 
@@ -131,28 +134,8 @@ def _matrix(column: pa.ChunkedArray, size: int) -> np.ndarray:
     return np.asarray(column.combine_chunks().flatten(), np.float64).reshape(-1, size)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """For each row of ``queries`` its ``k`` best rows of ``vectors``: query_id, rank, vec_id, score.
-
-    Both have ``vec_id`` and ``embedding``.
-    """
-    spark = vectors.sparkSession
-    clean = lambda df: (
-        df.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>"))
-        .where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
-        .distinct()
-        .withColumn("spread", F.xxhash64("vec_id", "embedding"))
-    )
-    table, asked = clean(vectors), clean(queries)
-    result = "query_id bigint, rank int, vec_id bigint, score double"
-    sample = [r[0] for r in table.orderBy("spread", "vec_id").limit(s.sample_rows).select("embedding").collect()]
-    if not sample:
-        return spark.createDataFrame([], result)
-    lengths, counts = np.unique([len(v) for v in sample], return_counts=True)
-    size = int(lengths[counts.argmax()])
-    index = learn(np.array([v for v in sample if len(v) == size]), s)
-    table, asked = (df.where(F.size("embedding") == size) for df in (table, asked))
-    blocks = -(-table.count() // s.table_block)
+def _searched(table: DataFrame, blocks: int, asked: DataFrame, index: Index, size: int, s: Settings) -> DataFrame:
+    """The ``k`` best rows of each block of ``table`` within the radius of each query: query_id, spread, vec_id, score."""
     query_blocks = max(1, -(-asked.count() // s.query_block))
 
     def deal(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
@@ -187,7 +170,39 @@ def nearest(vectors: DataFrame, queries: DataFrame, s: Settings = Settings()) ->
     left = deal(table, "t", blocks, "q", query_blocks).groupBy("q", "t")
     right = deal(asked, "q", query_blocks, "t", blocks).groupBy("q", "t")
     kind = "query_id bigint, spread bigint, vec_id bigint, score double"
-    found = left.cogroup(right).applyInArrow(meet, kind)
+    return left.cogroup(right).applyInArrow(meet, kind)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, s: Settings = Settings()) -> DataFrame:
+    """For each row of ``queries`` its ``k`` best rows of ``vectors``: query_id, rank, vec_id, score.
+
+    Both have ``vec_id`` and ``embedding``. A query has ``k`` rows, or all there are if they are fewer.
+    """
+    spark = vectors.sparkSession
+    clean = lambda df: (
+        df.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>"))
+        .where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
+        .distinct()
+        .withColumn("spread", F.xxhash64("vec_id", "embedding"))
+    )
+    table, asked = clean(vectors), clean(queries)
+    result = "query_id bigint, rank int, vec_id bigint, score double"
+    sample = [r[0] for r in table.orderBy("spread", "vec_id").limit(s.sample_rows).select("embedding").collect()]
+    if not sample:
+        return spark.createDataFrame([], result)
+    lengths, counts = np.unique([len(v) for v in sample], return_counts=True)
+    size = int(lengths[counts.argmax()])
+    index = learn(np.array([v for v in sample if len(v) == size]), s)
+    table, asked = (df.where(F.size("embedding") == size) for df in (table, asked))
+    blocks = -(-table.count() // s.table_block)
+    found = stage(_searched(table, blocks, asked, index, size, s), "found")
+    counts = found.groupBy("query_id", "spread").agg(F.count("*").alias("c")).where(F.col("c") >= s.k)
+    enough = counts.select(F.col("query_id").alias("vec_id"), "spread")
+    short = stage(asked.join(enough, ["vec_id", "spread"], "left_anti").select(*asked.columns), "short")
+    if index.radius < MAX_BITS and not short.isEmpty():
+        again = _searched(table, blocks, short, replace(index, radius=MAX_BITS), size, s)
+        found = found.join(enough.withColumnRenamed("vec_id", "query_id"), ["query_id", "spread"], "left_semi")
+        found = found.unionByName(again)
     best = Window.partitionBy("query_id", "spread").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= s.k)
     return ranked.select("query_id", F.col("rank").cast("int"), "vec_id", "score")

@@ -61,3 +61,15 @@ def test_awkward_rows(spark):
     assert nearest.nearest(df.where("false"), asked.where("false")).count() == 0
     alone = df.where("vec_id = 40")
     assert nearest.nearest(alone, alone).count() == 0
+
+
+def test_every_query_gets_its_rows_with_the_settings_of_the_query(spark):
+    rng = np.random.default_rng(3)
+    alike = np.ones(16) + rng.normal(0, 0.01, (400, 16))  # most rows are alike, few lie elsewhere
+    rows = np.concatenate([alike, rng.normal(size=(60, 16)) - 1])
+    for vectors in (rows, rng.normal(size=(15, 16))):
+        df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+        for s in (nearest.Settings(), nearest.Settings(table_block=50, query_block=9)):
+            got = nearest.nearest(df, df.where("vec_id % 5 = 0"), s).toPandas().groupby("query_id").size()
+            want = min(20, len(vectors) - 1)
+            assert list(got.index) == list(range(0, len(vectors), 5)) and (got == want).all()
