@@ -1,10 +1,11 @@
 """Secrets: pattern spans, and strings in a sensitive place that a primed compressor cannot shorten.
 
-Base spans come from three patterns. The method takes long strings close after a sensitive word and
-measures the bytes that each adds to a zstandard frame of the text before it. The compressor is primed
+Base spans come from three patterns. The method takes every long string close to a sensitive word, before or
+after it, without what base spans cover, and measures the bytes that each adds to a zstandard frame of the text before it. The compressor is primed
 with a dictionary of the corpus's most frequent identifiers (and common code words), so ordinary names
 cost little and random keys cost almost their length. Strings whose marginal bytes per character reach
-``novelty`` are reported as kind ``novel``, unless a base span covers them.
+``novelty`` are reported as kind ``novel``. A string is measured by its assigned parts first (``name=value``),
+then as a whole, from its first sensitive word on, and between its sensitive words, until one is reported.
 
 Defined results: a null text counts as empty. Rows are judged one by one against the same dictionary, so
 repeated rows get the same spans; ties in the dictionary go to the smaller word. An empty table has an
@@ -15,6 +16,7 @@ to the text: the context of a candidate is bounded.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,6 +38,8 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
 _SENSITIVE = re.compile(rb"key|secret|token|passw|credential|bearer|private|auth")
+_RUN = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+_ASSIGNED = re.compile(rb"=+(?=[^=])")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,30}")
 
 #: Words that surround secrets in code and settings.
@@ -48,7 +52,10 @@ CODE_WORDS = (
 
 @dataclass(frozen=True)
 class Novelty:
-    """Limits of the method: bytes added per character, shortest candidate, context and reach in bytes."""
+    """Limits of the method: bytes added per character, shortest candidate, context and reach in bytes.
+
+    The reach is the most that lies between a candidate and a sensitive word.
+    """
 
     novelty: float = 0.55
     min_length: int = 16
@@ -103,26 +110,72 @@ class _Meter:
         return len(self.zstd.compress(before + candidate)) - len(self.zstd.compress(before))
 
 
-def novel_spans(raw: bytes, base: list[tuple[int, int, int]], meter: _Meter, rules: Novelty) -> list[tuple[int, int]]:
-    """Byte spans of reported candidates: the first long string within reach after each sensitive word."""
+def _runs(raw: bytes, words: list[tuple[int, int]], rules: Novelty) -> Iterator[tuple[int, int]]:
+    """Whole runs of at least the least length within reach of a sensitive word, on either side or around it."""
     pattern = re.compile(rb"[A-Za-z0-9+/_=-]{%d,}" % rules.min_length)
-    covered, found, at, k = sorted((a, b) for a, _, b in base), [], 0, 0
-    for word in _SENSITIVE.finditer(raw.lower()):
-        if word.end() < at:
-            continue
-        m = pattern.search(raw, word.end(), word.end() + rules.reach)
-        if m is None:
-            continue
-        # The candidate runs on past the reach.
-        m = pattern.match(raw, m.start())
-        at = m.end()
-        while k < len(covered) and covered[k][1] <= m.start():
+    done = 0
+    for start, end in words:
+        at, last = max(done, start - rules.reach), end + rules.reach
+        while at > done and raw[at - 1] in _RUN:
+            at -= 1
+        # A run that starts by ``last`` shows its least length by there, and is then followed to its end.
+        while m := pattern.search(raw, at, last + rules.min_length):
+            at = pattern.match(raw, m.start()).end()
+            yield m.start(), at
+        done = max(at, last + 1)
+
+
+def _uncovered(runs: Iterator[tuple[int, int]], base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What base spans (ordered by start) leave of the runs."""
+    covered, k = [], 0
+    for a, _, b in base:
+        if covered and a <= covered[-1][1]:
+            covered[-1][1] = max(b, covered[-1][1])
+        else:
+            covered.append([a, b])
+    for start, end in runs:
+        while k < len(covered) and covered[k][1] <= start:
+            k += 1
+        while k < len(covered) and covered[k][0] < end:
+            if start < covered[k][0]:
+                yield start, covered[k][0]
+            start = covered[k][1]
+            if start >= end:
+                break
             k += 1
-        if any(a < m.end() and b > m.start() for a, b in covered[k : k + 4]):
+        if start < end:
+            yield start, end
+
+
+def _between(start: int, end: int, cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts from ``start`` to ``end`` without the cuts, which lie in it in order."""
+    return list(zip([start, *(b for _, b in cuts)], [*(a for a, _ in cuts), end]))
+
+
+def novel_spans(raw: bytes, base: list[tuple[int, int, int]], meter: _Meter, rules: Novelty) -> list[tuple[int, int]]:
+    """Byte spans of reported candidates, in order."""
+    words, found = [m.span() for m in _SENSITIVE.finditer(raw.lower())], []
+    if not words:
+        return found
+
+    def novel(part: tuple[int, int]) -> bool:
+        a, b = part
+        if b - a < rules.min_length:
+            return False
+        return meter.added(raw[max(0, a - rules.context) : a], raw[a:b]) >= rules.novelty * (b - a)
+
+    for start, end in _uncovered(_runs(raw, words, rules), base):
+        if end - start < rules.min_length:
             continue
-        cost = meter.added(raw[max(0, m.start() - rules.context) : m.start()], m.group())
-        if cost >= rules.novelty * len(m.group()):
-            found.append(m.span())
+        assigned = _between(start, end, [m.span() for m in _ASSIGNED.finditer(raw, start, end) if m.end() < end])
+        inside = [w for w in words[bisect_left(words, (start, 0)) : bisect_left(words, (end, 0))] if w[1] <= end]
+        tries = [assigned, [(start, end)]]
+        if inside:
+            tries += [[(inside[0][1], end)], _between(start, end, inside)]
+        for parts in tries:
+            if own := [p for p in parts if novel(p)]:
+                found += own
+                break
     return found
 
 

@@ -100,3 +100,28 @@ def test_awkward_tables(spark):
         assert got.count() == docs.count() and set(docs.columns) <= set(got.columns)
         assert found(empty_docs(spark)).count() == 0
     assert pii.sanitise(awkward_docs(spark)).columns == awkward_docs(spark).columns
+
+
+def test_every_candidate_near_a_sensitive_word_is_measured():
+    meter, rules = secret_scan._Meter(" ".join([*secret_scan.CODE_WORDS, "production", "tokens"]).encode()), secret_scan.Novelty()
+    one, two = "wJalrXUtnFEMIK7MDENGbPxRfiCYzQ8sLd", "qZ7xV2mK9pL4wT8rB3nY6sD1"
+    far = " " * 30
+
+    def told(text):
+        raw = text.encode()
+        return [raw[a:b].decode() for a, b in secret_scan.novel_spans(raw, secret_scan.base_spans(raw), meter, rules)]
+
+    assert told(f'secret_access_key_production = "{one}"') == [one]  # after a name that is itself long
+    assert told(f'tokens: ["{two}", "{one}"]') == [two, one]  # more than one
+    assert told(f"auth{far}{two}") == [two]  # starts within reach, ends beyond it
+    assert told(f"{two} is the credential") == [two]  # before the word
+    assert told(f"private_key={one}==") == [f"{one}=="] and told(f"auth-{two}") == [f"auth-{two}"]
+    assert told(f"token={one} and auth {two}") == [two]  # the first one is a base span
+    assert told(f"{two} {'x ' * 40} {one}") == [] and told("secret_access_key_production") == []
+
+
+def test_dense_sensitive_words_take_linear_time():
+    meter, rules = secret_scan._Meter(b"key"), secret_scan.Novelty()
+    for unit in ("key", "key ", "auth=", "a=", "x", "authentication_of_many_words ", "token=abcdef/"):
+        raw = (unit * (400_000 // len(unit))).encode()
+        secret_scan.novel_spans(raw, secret_scan.base_spans(raw), meter, rules)
