@@ -1,10 +1,12 @@
 """Personal data: pattern spans, and terms around them that give the same person away.
 
-Base spans come from four patterns. The method then protects each value found (an *entity*): over the
-whole corpus it counts documents with the entity, with a term, and with the term close to the entity.
+Base spans come from four patterns. The method then protects each value found (an *entity*). A term close
+to the entity in any document is a candidate; over the whole corpus and whole texts it counts documents with
+the entity, with the term, and with both.
 With IC(e) = -log2 p(e) and PMI(t, e) = log2 p(t, e) / (p(t) p(e)), the share PMI / IC says how much of
-the entity's information the term alone carries. In documents that hold the entity, nearby terms at
-``remove_at`` or more are removed and those at ``generalise_at`` or more are replaced by a general word.
+the entity's information the term alone carries. In documents that hold the entity, terms at ``remove_at``
+or more are removed and those at ``generalise_at`` or more are replaced by a general word, wherever they
+stand in the text. Pairs whose share cannot get there, as the term is in too many documents, aren't counted.
 
 Defined results: a null text counts as empty (no spans) and stays null. Rows with equal texts get equal
 spans; copies count as documents. Entities or pairs in fewer than ``min_documents`` documents give no
@@ -15,6 +17,7 @@ Searches take time in proportion to the text, whatever it holds.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -111,27 +114,46 @@ def _entity(text: str, kind: str, start: int, end: int) -> str:
     return f"{kind}:{value.lower() if kind in ('email', 'ip') else ''.join(_DIGITS.findall(value))}"
 
 
-def contexts(text: str, reach: int) -> dict[tuple[str, str], list[tuple[int, int]]]:
-    """Places of the terms near each entity: (entity, term) to spans. Terms inside base spans don't count."""
+def _terms(text: str, a: int, b: int, inside: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Whole terms between two places; terms inside base spans (``inside``, ordered) don't count."""
+    taken = [s for s in inside if s[0] < b and s[1] > a] if len(inside) < 50 else _near(inside, a, b)
+    for m in _TERM.finditer(text, a, b):
+        s, e = m.span()
+        whole = (s == 0 or not text[s - 1].isalnum()) and (e == len(text) or not text[e].isalnum())
+        if whole and not any(x < e and y > s for x, y in taken):
+            yield m.group().lower(), s, e
+
+
+def contexts(text: str, reach: int) -> set[tuple[str, str]]:
+    """(entity, term) of the terms near each entity, and (entity, "") for each entity."""
     base = base_spans(text)
     inside = sorted((a, b) for _, a, b in base)
-    found: dict[tuple[str, str], set[tuple[int, int]]] = {}
+    found: set[tuple[str, str]] = set()
     for kind, start, end in base:
         entity = _entity(text, kind, start, end)
-        found.setdefault((entity, ""), set())
+        found.add((entity, ""))
         for a, b in ((max(0, start - reach), start), (end, min(len(text), end + reach))):
-            taken = [s for s in inside if s[0] < b and s[1] > a] if len(inside) < 50 else _near(inside, a, b)
-            for m in _TERM.finditer(text, a, b):
-                s, e = m.span()
-                whole = (s == 0 or not text[s - 1].isalnum()) and (e == len(text) or not text[e].isalnum())
-                if whole and not any(x < e and y > s for x, y in taken):
-                    found.setdefault((entity, m.group().lower()), set()).add((s, e))
-    return {k: sorted(v) for k, v in found.items()}
+            found.update((entity, term) for term, _, _ in _terms(text, a, b, inside))
+    return found
 
 
-def _near(spans: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
-    from bisect import bisect_left
+def occurrences(text: str, kinds: dict[str, str]) -> list[tuple[str, int, int]]:
+    """Every place of the given terms in the whole text, outside base spans."""
+    inside, out, k = sorted((a, b) for _, a, b in base_spans(text)), [], 0
+    for m in _TERM.finditer(text):
+        kind = kinds.get(m.group().lower())
+        if kind is None:
+            continue
+        s, e = m.span()
+        while k < len(inside) and inside[k][1] <= s:
+            k += 1
+        # Base spans of two kinds may overlap: none of the few that start before the term's end may reach it.
+        if not any(x < e and y > s for x, y in inside[k : bisect_left(inside, (e, 0))]):
+            out.append((kind, s, e))
+    return out
 
+
+def _near(spans: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]:
     k, out = bisect_left(spans, (b, 0)), []
     while k and spans[k - 1][0] >= a - 4096:
         k -= 1
@@ -145,38 +167,35 @@ def find_base(text: pa.Array) -> pa.Array:
     return pa.array([as_rows(base_spans(t)) for t in text.to_pylist()], type=ARROW_SPANS)
 
 
-_PLACES = ArrayType(StructType().add("start", LongType()).add("end", LongType()))
-_CONTEXT_TYPE = ArrayType(
-    StructType().add("entity", StringType()).add("term", StringType()).add("places", _PLACES)
-)
-_ARROW_CONTEXT = pa.list_(
-    pa.struct(
-        [
-            ("entity", pa.string()),
-            ("term", pa.string()),
-            ("places", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-        ]
-    )
-)
+_CONTEXT_TYPE = ArrayType(StructType().add("entity", StringType()).add("term", StringType()))
+_ARROW_CONTEXT = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
 
 
 def _find_contexts(reach: int) -> Column:
     @F.arrow_udf(_CONTEXT_TYPE)
     def find(text: pa.Array) -> pa.Array:
-        return pa.array(
-            [
-                [
-                    {"entity": e, "term": t, "places": [{"start": a, "end": b} for a, b in places]}
-                    for (e, t), places in contexts(x, reach).items()
-                ]
-                for x in text.to_pylist()
-            ],
-            type=_ARROW_CONTEXT,
-        )
+        rows = [[{"entity": e, "term": t} for e, t in sorted(contexts(x, reach))] for x in text.to_pylist()]
+        return pa.array(rows, type=_ARROW_CONTEXT)
 
     return find
 
 
+@F.arrow_udf(ArrayType(StringType()))
+def _all_terms(text: pa.Array) -> pa.Array:
+    """Distinct terms of the whole text, as ``term_documents`` counts them; none for a text without base spans."""
+    rows = [sorted(set(map(str.lower, _TERM.findall(t)))) if base_spans(t) else [] for t in text.to_pylist()]
+    return pa.array(rows, type=pa.list_(pa.string()))
+
+
+@F.arrow_udf(SPAN_TYPE)
+def _mark(text: pa.Array, terms: pa.Array) -> pa.Array:
+    rows = [
+        as_rows(occurrences(t, {x["term"]: x["kind"] for x in own})) if own else []
+        for t, own in zip(text.to_pylist(), terms.to_pylist())
+    ]
+    return pa.array(rows, type=ARROW_SPANS)
+
+
 def term_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """(term, documents) over the whole table."""
 
@@ -198,49 +217,68 @@ def _text_key(text: str) -> Column:
     return F.concat_ws("-", F.xxhash64(value), F.xxhash64(F.lit("second"), value))
 
 
-def disclosing_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
-    """One row per distinct text with such terms: ``text_key``, ``added`` (spans), ``copies``."""
+def _share(both: Column) -> Column:
+    """PMI / IC from the documents with both, and columns ``n``, ``entity_docs`` and ``term_docs``."""
+    information = F.log2(F.col("n") / F.col("entity_docs"))
+    pmi = F.log2(both * F.col("n") / (F.col("term_docs") * F.col("entity_docs")))
+    return F.when(information > 0, pmi / information)
+
+
+def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
+    """One row per distinct text with such terms: ``text_key``, ``terms`` (term, kind), ``copies``."""
     found = docs.select(_text_key(text).alias("text_key"), _find_contexts(rules.reach)(text_of(text)).alias("c"))
-    found = found.select("text_key", F.explode("c").alias("c")).select("text_key", "c.entity", "c.term", "c.places")
-    found = found.groupBy("text_key", "entity", "term").agg(
-        F.count("*").alias("copies"), F.first("places").alias("places")
-    )
-    found = stage(found, "contexts")
+    found = found.select("text_key", F.explode("c").alias("c")).select("text_key", "c.entity", "c.term")
+    found = stage(found.groupBy("text_key", "entity", "term").agg(F.count("*").alias("copies")), "contexts")
     total = docs.select(F.count("*").alias("n"))
     per_entity = found.where("term = ''").groupBy("entity").agg(F.sum("copies").alias("entity_docs"))
     per_entity = per_entity.where(F.col("entity_docs") >= rules.min_documents)
-    pairs = found.where("term <> ''").groupBy("entity", "term").agg(F.sum("copies").alias("both_docs"))
-    pairs = pairs.where(F.col("both_docs") >= rules.min_documents)
-    pairs = pairs.join(per_entity, "entity").join(term_documents(docs, text), "term")
-    pairs = pairs.crossJoin(F.broadcast(total))  # one row
-    information = F.log2(F.col("n") / F.col("entity_docs"))
-    pmi = F.log2(F.col("both_docs") * F.col("n") / (F.col("term_docs") * F.col("entity_docs")))
-    share = F.when(information > 0, pmi / information)
-    flagged = pairs.withColumn("share", share).where(F.col("share") >= rules.generalise_at)
-    flagged = flagged.select(
-        F.xxhash64("entity", "term").alias("pair"),
+    # Candidates: pairs that are near in any document, and could reach a threshold by what their sides allow.
+    near = found.where("term <> ''").select("entity", "term").distinct()
+    near = lookup_join(near, per_entity, "entity", weight="entity_docs", spread_by=("term",)).where("entity_docs is not null")
+    of_term = term_documents(docs, text).where(F.col("term_docs") >= rules.min_documents)
+    near = near.join(of_term, "term").crossJoin(F.broadcast(total))  # one row
+    at_most = F.least("entity_docs", "term_docs")
+    pairs = near.where(_share(at_most) >= rules.generalise_at).withColumn("at_most", at_most)
+    pairs = stage(pairs.withColumn("pair", F.xxhash64("entity", "term")), "pairs")
+    # Candidate terms of each text, wherever they stand, meet the entities of the text.
+    terms = pairs.groupBy("term").agg(F.max("term_docs").alias("weight"))
+    held = docs.select(_text_key(text).alias("text_key"), _all_terms(text_of(text)).alias("terms"))
+    held = held.select("text_key", F.explode("terms").alias("term"))
+    held = lookup_join(held, terms, "term", weight="weight", spread_by=("text_key",)).where("weight is not null")
+    held = held.select("text_key", "term").distinct()
+    entities = found.where("term = ''").select("text_key", "entity", "copies")
+    wanted = pairs.groupBy("entity").agg(F.max("entity_docs").alias("weight"))
+    entities = lookup_join(entities, wanted, "entity", weight="weight", spread_by=("text_key",)).where("weight is not null")
+    both = entities.drop("weight").join(held, "text_key").withColumn("pair", F.xxhash64("entity", "term"))
+    sizes = pairs.select("pair", "at_most", "entity_docs", "term_docs", "n")
+    both = lookup_join(both.select("text_key", "term", "copies", "pair"), sizes, "pair", weight="at_most", spread_by=("text_key",))
+    both = stage(both.where("at_most is not null"), "both")
+    counted = both.groupBy("pair", "entity_docs", "term_docs", "n").agg(F.sum("copies").alias("both_docs"))
+    counted = counted.where(F.col("both_docs") >= rules.min_documents).withColumn("share", _share(F.col("both_docs")))
+    flagged = counted.where(F.col("share") >= rules.generalise_at).select(
+        "pair",
         F.when(F.col("share") >= rules.remove_at, F.lit("removed")).otherwise(F.lit("general")).alias("kind"),
         "both_docs",
     )
     # A pair seen very often is looked up without gathering its rows in one task.
-    near = found.where("term <> ''").withColumn("pair", F.xxhash64("entity", "term"))
-    near = lookup_join(near, flagged, "pair", weight="both_docs", spread_by=("text_key",))
-    near = near.where(F.col("kind").isNotNull())
-    spans = near.select("text_key", "copies", "kind", F.explode("places").alias("p"))
-    # A place near two entities is removed if either asks for it.
-    spans = spans.groupBy("text_key", "p").agg(F.max("kind").alias("kind"), F.max("copies").alias("copies"))
-    row = F.struct("kind", F.col("p.start").alias("start"), F.col("p.end").alias("end"))
-    return spans.groupBy("text_key").agg(F.collect_list(row).alias("added"), F.max("copies").alias("copies"))
+    told = both.select("text_key", "term", "copies", "pair")
+    told = lookup_join(told, flagged, "pair", weight="both_docs", spread_by=("text_key",)).where("kind is not null")
+    # A term told by two entities is removed if either asks for it.
+    told = told.groupBy("text_key", "term").agg(F.max("kind").alias("kind"), F.max("copies").alias("copies"))
+    return told.groupBy("text_key").agg(
+        F.collect_list(F.struct("term", "kind")).alias("terms"), F.max("copies").alias("copies")
+    )
 
 
 def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: base spans by kind, then start; then the method's by kind, then start."""
     bounded_batches(docs.sparkSession)
     key, more, copies = (spare_name(docs, c) for c in ("text_key", "added", "copies"))
-    added = disclosing_spans(docs, rules, text).toDF(key, more, copies)
+    added = disclosing_terms(docs, rules, text).toDF(key, more, copies)
     keyed = docs.withColumn(key, _text_key(text)).withColumn("base", find_base(text_of(text)))
     keyed = lookup_join(keyed, added, key, weight=copies, spread_by=tuple(docs.columns))
-    extra = F.coalesce(F.array_sort(more), F.array().cast(SPAN_TYPE))  # by kind, then start
+    marked = _mark(F.when(F.col(more).isNotNull(), text_of(text)), F.col(more))
+    extra = F.array_sort(marked)  # by kind, then start
     return keyed.withColumn("spans", F.concat("base", extra)).drop(key, more, copies)
 
 

@@ -125,3 +125,23 @@ def test_dense_sensitive_words_take_linear_time():
     for unit in ("key", "key ", "auth=", "a=", "x", "authentication_of_many_words ", "token=abcdef/"):
         raw = (unit * (400_000 // len(unit))).encode()
         secret_scan.novel_spans(raw, secret_scan.base_spans(raw), meter, rules)
+
+
+def test_terms_are_counted_and_removed_in_the_whole_text(spark):
+    far = " and so on about common things" * 6
+    docs = [(i, f"text number {i}{far}") for i in range(60)]
+    docs += [(100 + i, f"jane@example.org the zanzibarian{far} Zanzibarian{far}, zanzibarian") for i in range(4)]
+    docs += [(200, f"joe@example.org the quirkword{far}")]  # near once, farther off in the others
+    docs += [(201 + i, f"joe@example.org{far} quirkword {i}") for i in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in pii.with_spans(df).collect():
+        told = [r["text"][s["start"] : s["end"]].lower() for s in r["spans"] if s["kind"] == "removed"]
+        want = ["zanzibarian"] * 3 if 100 <= r["doc_id"] < 200 else ["quirkword"] * (r["doc_id"] >= 200)
+        assert [t for t in told if t in ("zanzibarian", "quirkword")] == want and "common" not in told
+    assert not any("zanzibarian" in r["text"].lower() or "quirkword" in r["text"] for r in pii.sanitise(df).collect())
+
+
+def test_places_outside_base_spans():
+    text = "jane jane@example.org +49 170 1234567 jane, JANE janet"
+    got = pii.occurrences(text, {"jane": "removed", "170": "general"})
+    assert [(k, text[a:b]) for k, a, b in got] == [("removed", "jane"), ("removed", "jane"), ("removed", "JANE")]
