@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from issuelab.llm import bpe, chat, nearest, ngram_join, packing, pii, quality, secret_scan, sharding, toxicity
+from issuelab.llm import bpe, chat, conv_trie, nearest, ngram_join, packing, pii, quality, secret_scan, sharding
+from issuelab.llm import toxicity, warc, whitening
 from issuelab.llm.common import read_table
 from issuelab.llm.quality_sql import quality_sql
 from issuelab.llm.spans import count_kind, listed
+from issuelab.session import stage
 
 
 def _span_digests(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
@@ -94,6 +96,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("text")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conv_trie.turn_rows(read_table(spark, sf_dir, "conversations"))
+    return conv_trie.trie(conv_trie.rebuilt(stage(turns, "turns")))
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    done = whitening.transform(vectors, whitening.fit(vectors))
+    return done.withColumn("deviation", whitening.as_long(F.col("deviation")))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(read_table(spark, sf_dir, "pages"))
+    back = warc.read_records(warc.read_chunks(manifest, with_payload=False))
+    number = lambda c: F.col(c).cast("bigint").alias(c)
+    back = back.withColumnRenamed("page", "page_id")
+    return back.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_pii": op2_pii,
@@ -105,10 +126,15 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_warc": op13_warc,
 }
 
 SQL = {
     "op3_chat_tree": chat.chat_sql(f"(-7, 0, 'user', '{CONTROL}'), (-7, 1, 'assistant', '{CONTROL}')"),
     "op7_sharding": sharding.sharding_sql(SHARD_BYTES),
     "op10_quality_rules": quality_sql(),
+    "op11_conversation_trie": conv_trie.trie_sql(),
+    "op13_warc": warc.warc_sql(),
 }
