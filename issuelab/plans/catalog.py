@@ -1105,6 +1105,10 @@ def m20_run_record(spark, d):
     return record.withColumn("value", F.when(F.col("kind") == "metric", rounded_text).otherwise(F.col("value")))
 
 
+#: The queries end a fit after 20 rounds without a gain, so that each takes a minute or two on a small table.
+QUERY = training.Settings(patience=20)
+
+
 def _texts(spark, d):
     """Cleaned issues, written once, with their text vectors."""
     table = stage(clean_rows(spark, d, body=True, columns=[*MODEL_COLS, "text"]), "clean")
@@ -1133,9 +1137,9 @@ def _checked_record(record: DataFrame, fixed: list[str], shares: list[str]) -> D
 
 @query
 def m3_stage1(spark, d):
-    """The classifier trained with the defaults."""
+    """The classifier trained with the defaults but for the patience."""
     table, vecs = _texts(spark, d)
-    _, measured, params = training.train_stage1(table, vecs)
+    _, measured, params = training.train_stage1(table, vecs, QUERY)
     shares = [f"{part}_{m}" for part in ("train", "dev", "test") for m in ("roc_auc", "precision", "recall", "f1")]
     return _checked_record(
         training.run_record("r1", "stage1", params, measured),
@@ -1146,9 +1150,9 @@ def m3_stage1(spark, d):
 
 @query
 def m4_stage2(spark, d):
-    """The regressor trained with the defaults."""
+    """The regressor trained with the defaults but for the patience."""
     table, vecs = _texts(spark, d)
-    _, measured, params = training.train_stage2(table, vecs)
+    _, measured, params = training.train_stage2(table, vecs, QUERY)
     return _checked_record(
         training.run_record("r1", "stage2", params, measured),
         ["baseline_test_mae", "baseline_test_rmse", "baseline_test_median_ae", "ttf_fill", "n_features", "embedding_dim"],
@@ -1162,7 +1166,7 @@ def m5_oof(spark, d):
     table, vecs = _texts(spark, d)
     rows = splits.with_time_split(table.withColumn("y", features.within("days_to_close", HORIZON)))
     train = stage(rows.where("split = 'train'").drop("split"), "train")
-    oof, _ = training.oof_predictions(train, training.Settings(), vecs)
+    oof, _ = training.oof_predictions(train, QUERY, vecs)
     return oof.select("row_id", "y", "fold", F.col("p").between(0, 1).alias("in_range"))
 
 
@@ -1177,8 +1181,8 @@ def m8_isotonic(spark, d):
 def m15_score_open(spark, d):
     """Both stages trained, saved, loaded again and applied to every open issue."""
     table, vecs = _texts(spark, d)
-    one, _, _ = training.train_stage1(table, vecs)
-    two, _, _ = training.train_stage2(table, vecs)
+    one, _, _ = training.train_stage1(table, vecs, QUERY)
+    two, _, _ = training.train_stage2(table, vecs, QUERY)
     path = new_staging_path(spark, "models")
     training.save_bundle(one, f"{path}/one")
     training.save_bundle(two, f"{path}/two")

@@ -869,9 +869,9 @@ _add(
 _add(
     "m4_stage2", "clean quick",
     """
-       , placed AS (SELECT *, row_number() OVER (ORDER BY created_ts, row_id) - 1 AS at, count(*) OVER () AS m FROM clean WHERE days_to_close <= 30),
+       , placed AS (SELECT *, row_number() OVER (ORDER BY created_ts, row_id) - 1 AS place, count(*) OVER () AS m FROM clean WHERE days_to_close <= 30),
        test AS (SELECT abs(days_to_close - (SELECT median(days_to_close) FROM quick)) AS e FROM placed
-                WHERE at >= CAST(floor(m * 0.8E0) AS BIGINT) + CAST(floor(m * 0.1E0) AS BIGINT))
+                WHERE place >= CAST(floor(m * 0.8E0) AS BIGINT) + CAST(floor(m * 0.1E0) AS BIGINT))
        SELECT 'baseline_test_mae' AS name, round(avg(e), 6) AS value FROM test
        UNION ALL SELECT 'baseline_test_rmse', round(sqrt(avg(e * e)), 6) FROM test
        UNION ALL SELECT 'baseline_test_median_ae', round(median(e), 6) FROM test

@@ -5,20 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, replace
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import (
-    GBTRegressionModel,
-    GBTRegressor,
-    IsotonicRegression,
-    IsotonicRegressionModel,
-)
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from issuelab.functions.targets import from_log, short_weight, to_log
-from issuelab.operators import metrics, splits
+from issuelab.operators import boosting, metrics, splits
 from issuelab.operators.embeddings import align
 from issuelab.operators.features import (
     RepoPriors,
@@ -38,7 +32,7 @@ from issuelab.operators.priors import (
     ttf_fill,
 )
 from issuelab.schemas import feature_order
-from issuelab.session import ensure_checkpoints, stage
+from issuelab.session import stage
 
 MIN_REGRESSION_ROWS = 500
 
@@ -48,19 +42,21 @@ class Settings:
     """Training choices; defaults follow the model description.
 
     Boosting stops once ``patience`` rounds in a row have not lowered the held-out loss, at ``rounds`` at
-    the latest, and the model keeps the best round. Every round is several jobs, so ``patience`` is the
-    knob to turn for a smaller ``step``.
+    the latest, and the model keeps the best round. A round is ``depth`` passes over the rows.
     """
 
     horizon: float = 30.0
     folds: int = 5
     rounds: int = 8000
-    patience: int = 20
+    patience: int = 250
     depth: int = 4
+    leaves: int = 64
     step: float = 0.03
     subsample: float = 0.8
     columns: float = 0.8
-    min_rows_per_leaf: int = 8
+    min_child_weight: float = 8.0
+    l2: float = 10.0
+    bins: int = 64
     seed: int = 42
     moment: str = "latest"
     calibrate: bool = True
@@ -74,7 +70,7 @@ class Settings:
 class Bundle:
     """A fitted stage with all it needs for scoring."""
 
-    model: GBTClassificationModel | GBTRegressionModel
+    model: boosting.BoostedTrees
     priors: RepoPriors
     fill: float
     settings: Settings
@@ -97,22 +93,6 @@ def vectorized(rows: DataFrame, tabular: Iterable[str], vectors: DataFrame | Non
     return VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error").transform(rows)
 
 
-def _trees(cls, s: Settings, rounds: int, **extra):
-    return cls(
-        featuresCol="features",
-        labelCol="label",
-        weightCol="weight",
-        maxIter=rounds,
-        maxDepth=s.depth,
-        stepSize=s.step,
-        subsamplingRate=s.subsample,
-        featureSubsetStrategy=str(s.columns),
-        minInstancesPerNode=s.min_rows_per_leaf,
-        seed=s.seed,
-        **extra,
-    )
-
-
 def _learning_rows(
     rows: DataFrame, priors: RepoPriors, fill: float, s: Settings, vectors: DataFrame | None
 ) -> DataFrame:
@@ -124,46 +104,23 @@ def _learning_rows(
     return stage(full.select("row_id", "y", "label", "weight", "part", "features"), "learning")
 
 
-def best_round(losses: list[float], patience: int) -> tuple[int, bool]:
-    """Round (from 1) of the lowest loss before ``patience`` rounds without a gain, and whether these occurred."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            return best + 1, True
-    return best + 1, False
-
-
-def _fit(cls, rows: DataFrame, train: str, held_out: str, s: Settings, **extra):
-    """Fit on one part, keep the best round of the held-out curve.
-
-    Trees are grown in runs of doubling length until the curve has turned. The seed fixes the trees, so
-    the model cut back to the best round has the first trees of the longer one.
-    """
-    ensure_checkpoints(rows.sparkSession)
-    own, other = rows.where(F.col("part") == train), rows.where(F.col("part") == held_out)
-    if other.isEmpty():
-        return _trees(cls, s, min(s.rounds, 2 * s.patience), **extra).fit(own)
-    rounds = min(s.rounds, 2 * s.patience)
-    while True:
-        model = _trees(cls, s, rounds, **extra).fit(own)
-        best, turned = best_round(_curve(model, other), s.patience)
-        if turned or rounds == s.rounds:
-            break
-        rounds = min(s.rounds, 2 * rounds)
-    return model if best == rounds else _trees(cls, s, best, **extra).fit(own)
-
-
-def _curve(model, rows: DataFrame) -> list[float]:
-    if isinstance(model, GBTClassificationModel):
-        return model.evaluateEachIteration(rows)
-    return model.evaluateEachIteration(rows, "absolute")
+def _fit(ready: dict[int, tuple[DataFrame, str]], objective: str, s: Settings) -> dict[int, boosting.BoostedTrees]:
+    """Models of several fits, grown together. ``ready``: learning rows of a fit and the part that ends it."""
+    rows = None
+    for fit, (own, held) in ready.items():
+        own = own.where(F.col("part").isin("train", held)).select(
+            F.lit(fit).alias("fit"), (F.col("part") == held).alias("held"), "row_id", "label", "weight", "features"
+        )
+        rows = own if rows is None else rows.unionByName(own)
+    choices = boosting.Boosting(
+        objective, s.rounds, s.patience, s.depth, s.leaves, s.step, s.l2, s.min_child_weight, s.subsample, s.columns,
+        s.bins, s.seed,
+    )
+    return {fit: model for fit, (model, _) in boosting.fit_many(rows, choices).items()}
 
 
-def _probability(model, rows: DataFrame) -> DataFrame:
-    scored = model.transform(rows)
-    return scored.withColumn("p", vector_to_array("probability")[1])
+def _probability(model: boosting.BoostedTrees, rows: DataFrame) -> DataFrame:
+    return model.transform(rows).withColumnRenamed("prediction", "p")
 
 
 def fit_calibrator(scored: DataFrame) -> IsotonicRegressionModel:
@@ -208,15 +165,12 @@ def _fold_priors(tables: DataFrame, fold: int, value: str, globals_row) -> RepoP
     return RepoPriors(own, value, globals_row[0], globals_row[1] or 0.0)
 
 
-def oof_predictions(train: DataFrame, s: Settings, vectors: DataFrame | None = None) -> tuple[DataFrame, list[int]]:
-    """Out-of-fold scores (row_id, y, fold, p) and trees kept per fold.
-
-    Priors and fill are refitted inside each fold; the priors of all folds come from one pass.
-    """
+def _stage1_folds(train: DataFrame, s: Settings, vectors: DataFrame | None) -> dict[int, tuple[DataFrame, str]]:
+    """Learning rows of each fold. Priors and fill are refitted inside each; all priors come from one pass."""
     folded = stage(splits.with_time_folds(train, s.folds), "folded")
     tables = stage(fold_rate_tables(folded, "y", s.folds), "foldrates")
     positive = class_weight(train, "y").first()["scale_pos_weight"]
-    scored, sizes = [], []
+    ready = {}
     for fold in range(s.folds):
         fit_part = splits.train_part(folded, fold)
         own = tables.where(F.col("for_fold") == fold)
@@ -225,15 +179,25 @@ def oof_predictions(train: DataFrame, s: Settings, vectors: DataFrame | None = N
         rows = fit_part.withColumn("part", F.lit("train")).unionByName(
             splits.test_part(folded, fold).withColumn("part", F.lit("test"))
         )
-        ready = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors)
-        model = _fit(GBTClassifier, ready, "train", "test", s)
-        sizes.append(model.getNumTrees)
-        out = _probability(model, ready.where("part = 'test'"))
-        scored.append(stage(out.select("row_id", "y", F.lit(fold).alias("fold"), "p"), "oof"))
-    oof = scored[0]
-    for part in scored[1:]:
-        oof = oof.unionByName(part)
-    return oof, sizes
+        ready[fold] = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors), "test"
+    return ready
+
+
+def _oof(models: dict[int, boosting.BoostedTrees], ready: dict[int, tuple[DataFrame, str]]) -> DataFrame:
+    """Scores (row_id, y, fold, p) of each fold's held-out rows by its own model."""
+    oof = None
+    for fold, (rows, held) in ready.items():
+        out = _probability(models[fold], rows.where(F.col("part") == held))
+        out = out.select("row_id", "y", F.lit(fold).alias("fold"), "p")
+        oof = out if oof is None else oof.unionByName(out)
+    return stage(oof, "oof")
+
+
+def oof_predictions(train: DataFrame, s: Settings, vectors: DataFrame | None = None) -> tuple[DataFrame, list[int]]:
+    """Out-of-fold scores (row_id, y, fold, p) and trees kept per fold."""
+    ready = _stage1_folds(train, s, vectors)
+    models = _fit(ready, "logistic", s)
+    return _oof(models, ready), [models[fold].getNumTrees for fold in ready]
 
 
 def train_stage1(
@@ -242,15 +206,17 @@ def train_stage1(
     """Classifier bundle, long-form metrics of the splits, and the run's parameters."""
     rows = stage(_stage1_rows(table, s).withColumnRenamed("split", "part"), "stage1")
     train = rows.where("part = 'train'")
-    oof, sizes = oof_predictions(train.drop("part"), s, vectors)
+    priors, fill = fit_rate_priors(train, "y"), ttf_fill(train).first()["ttf_fill"]
+    positive = class_weight(train, "y").first()["scale_pos_weight"]
+    ready = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors)
+    folds = _stage1_folds(train.drop("part"), s, vectors)
+    models = _fit({**folds, s.folds: (ready, "dev")}, "logistic", s)
+    model = models.pop(s.folds)
+    oof, sizes = _oof(models, folds), [m.getNumTrees for m in models.values()]
     valid = oof.count()
     coverage = valid / max(1, train.count())
     splits.require_oof(valid, coverage)
     chosen = metrics.best_threshold(oof).first()
-    priors, fill = fit_rate_priors(train, "y"), ttf_fill(train).first()["ttf_fill"]
-    positive = class_weight(train, "y").first()["scale_pos_weight"]
-    ready = _learning_rows(_with_class_weight(rows, positive), priors, fill, s, vectors)
-    model = _fit(GBTClassifier, ready, "train", "dev", s)
     scored = stage(_probability(model, ready).select("row_id", "y", "part", "p"), "scored")
     calibrator = fit_calibrator(scored.where("part = 'dev'")) if s.calibrate else None
     scored = calibrated(scored, calibrator)
@@ -293,11 +259,11 @@ def regression_rows(table: DataFrame, s: Settings, at_least: int = MIN_REGRESSIO
     return rows.withColumnRenamed("split", "part")
 
 
-def cv_best_rounds(train: DataFrame, s: Settings, vectors: DataFrame | None = None) -> list[int]:
-    """Best number of trees per fold on its test block; priors refitted inside each fold."""
+def _stage2_folds(train: DataFrame, s: Settings, vectors: DataFrame | None) -> dict[int, tuple[DataFrame, str]]:
+    """Learning rows of each fold, with priors and fill refitted inside it."""
     folded = stage(splits.with_time_folds(train, s.folds), "folded")
     tables = stage(fold_median_tables(folded, "y", s.folds), "foldmedians")
-    best = []
+    ready = {}
     for fold in range(s.folds):
         fit_part = splits.train_part(folded, fold)
         own = tables.where(F.col("for_fold") == fold)
@@ -306,9 +272,15 @@ def cv_best_rounds(train: DataFrame, s: Settings, vectors: DataFrame | None = No
         rows = fit_part.withColumn("part", F.lit("train")).unionByName(
             splits.test_part(folded, fold).withColumn("part", F.lit("test"))
         )
-        ready = _learning_rows(rows, priors, fill, s, vectors)
-        best.append(_fit(GBTRegressor, ready, "train", "test", s, lossType="absolute").getNumTrees)
-    return best
+        ready[fold] = _learning_rows(rows, priors, fill, s, vectors), "test"
+    return ready
+
+
+def cv_best_rounds(train: DataFrame, s: Settings, vectors: DataFrame | None = None) -> list[int]:
+    """Best number of trees per fold on its test block."""
+    ready = _stage2_folds(train, s, vectors)
+    models = _fit(ready, "pseudo_huber", s)
+    return [models[fold].getNumTrees for fold in ready]
 
 
 def train_stage2(
@@ -317,10 +289,12 @@ def train_stage2(
     """Regressor bundle, long-form metrics (with the median baseline), and the run's parameters."""
     rows = regression_rows(table, s)
     train = rows.where("part = 'train'")
-    rounds = cv_best_rounds(train.drop("part"), s, vectors)
     priors, fill = fit_median_priors(train, "y"), ttf_fill(train).first()["ttf_fill"]
     ready = _learning_rows(rows, priors, fill, s, vectors)
-    model = _fit(GBTRegressor, ready, "train", "dev", s, lossType="absolute")
+    folds = _stage2_folds(train.drop("part"), s, vectors)
+    models = _fit({**folds, s.folds: (ready, "dev")}, "pseudo_huber", s)
+    model = models.pop(s.folds)
+    rounds = [m.getNumTrees for m in models.values()]
     days = from_log("prediction", s.horizon)
     scored = stage(model.transform(ready).select("row_id", "y", "part", days.alias("pred")), "scored")
     of = lambda part: scored.where(F.col("part") == part)
@@ -373,7 +347,7 @@ def append_run(record: DataFrame, path: str) -> None:
 def save_bundle(bundle: Bundle, path: str) -> None:
     """Model, calibrator and priors with one row of parameters."""
     spark = bundle.priors.table.sparkSession
-    bundle.model.write().overwrite().save(f"{path}/model")
+    boosting.save(spark, bundle.model, f"{path}/model")
     if bundle.calibrator is not None:
         bundle.calibrator.write().overwrite().save(f"{path}/calibrator")
     bundle.priors.table.write.mode("overwrite").parquet(f"{path}/priors")
@@ -387,22 +361,19 @@ def save_bundle(bundle: Bundle, path: str) -> None:
         "prior": bundle.priors.value,
         "global_count": bundle.priors.global_count,
         "global_value": bundle.priors.global_value,
-        "kind": "classifier" if isinstance(bundle.model, GBTClassificationModel) else "regressor",
     }
     spark.createDataFrame([row]).write.mode("overwrite").json(f"{path}/params")
 
 
 def load_bundle(spark: SparkSession, path: str) -> Bundle:
     row = spark.read.json(f"{path}/params").first().asDict()
-    kind = GBTClassificationModel if row["kind"] == "classifier" else GBTRegressionModel
     priors = RepoPriors(
         spark.read.parquet(f"{path}/priors"), row["prior"], row["global_count"], row["global_value"]
     )
     s = replace(Settings(), **{k: row[k] for k in asdict(Settings())})
     calibrator = IsotonicRegressionModel.load(f"{path}/calibrator") if row["has_calibrator"] else None
-    return Bundle(
-        kind.load(f"{path}/model"), priors, row["fill"], s, row["version"], row["threshold"], calibrator
-    )
+    model = boosting.load(spark, f"{path}/model")
+    return Bundle(model, priors, row["fill"], s, row["version"], row["threshold"], calibrator)
 
 
 def _serving_vectors(requests: DataFrame, bundle: Bundle, vectors, as_of) -> DataFrame:

@@ -56,12 +56,6 @@ def staging_root(spark: SparkSession) -> str:
     return _local_root
 
 
-def ensure_checkpoints(spark: SparkSession) -> None:
-    """Let iterative learners cut their lineage in the shared folder."""
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(staging_root(spark))
-
-
 def new_staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
@@ -76,3 +70,12 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_staging_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more. Only folders below the staging root are touched."""
+    root = staging_root(spark)
+    if not path.startswith(f"{root}/"):
+        raise ValueError(f"{path} is not staged below {root}")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

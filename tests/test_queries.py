@@ -28,5 +28,10 @@ def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
+@pytest.mark.parametrize("name", oracle_sql())
+def test_every_sql_is_prepared(con, name):
+    con.execute(f"EXPLAIN {oracle_sql()[name]}")
+
+
 def test_entry(spark):
     assert entry(spark).limit(1).count() == 1
