@@ -1,8 +1,9 @@
 """Merging folders of issue dumps in mixed JSON layouts.
 
-A file holds one JSON value (an array of records, or one record) or one JSON value per line. Each line is
-parsed once; its outcome is written to the shared folder, and everything else is read from there. Only
-files that may be one value over several lines are put together again, each in one task.
+A file holds one JSON value (an array of records, or one record) or one JSON value per line. Which of the two
+is told by a scan of its brackets (``json_values``), which also yields the elements of an array in parallel, so
+that no file is ever one row. The other files are read by lines. Each element or line is checked once; its outcome
+is written to the shared folder, and everything else is read from there.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from issuelab.schemas import ISSUE_RAW
 from issuelab.session import stage, use_utc
+from issuelab.sources import json_values
 from issuelab.sources.readers import DUMP_PATTERN
 
 
@@ -31,15 +33,15 @@ def _one_spelling(path: str) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def _parser() -> Column:
-    """Column function: text to its records as JSON text (the elements of an array), null if it is no JSON.
+def _checker() -> Column:
+    """Column function: a text as one line of JSON, null if it is no JSON value.
 
     A value must fill the text: anything but white space after it makes it invalid. Repeated keys and
-    NaN are accepted, the last value of a key counts.
+    NaN are accepted, the last value of a key counts. The text stays as it is but for line ends.
     """
 
-    @F.arrow_udf(T.ArrayType(T.StringType()))
-    def records(texts: pa.Array) -> pa.Array:
+    @F.arrow_udf(T.StringType())
+    def checked(texts: pa.Array) -> pa.Array:
         out = []
         for text in texts.to_pylist():
             try:
@@ -47,31 +49,29 @@ def _parser() -> Column:
             except (ValueError, RecursionError):
                 out.append(None)
                 continue
-            parts = value if isinstance(value, list) else [value]
-            out.append([json.dumps(p, separators=(",", ":")) for p in parts])
-        return pa.array(out, pa.list_(pa.string()))
+            bare = text.strip()
+            out.append(json.dumps(value, separators=(",", ":")) if "\n" in bare or "\r" in bare else bare)
+        return pa.array(out, pa.string())
 
-    return records
+    return checked
 
 
-def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
-    """Every line that isn't blank: file, place, text, what it parses to, and whether it is readable."""
+def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool, documents: list[str]) -> DataFrame:
+    """Lines that aren't blank of all files but ``documents``: file, whether it is readable, and the checked text."""
     text = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", recursive)
         .text(root)
     )
-    place = F.struct(
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
-    )
+    if documents:
+        text = text.where(~F.col("_metadata.file_path").isin(documents))
     lines = text.select(
         _one_spelling("_metadata.file_path").alias("file"),
-        place.alias("at"),
         F.is_valid_utf8("value").alias("readable"),
         F.make_valid_utf8("value").alias("value"),
     ).where(F.trim(F.translate("value", "\t\r\x0b\x0c", "    ")) != "")
-    # A blank-looking rest of other white space parses to nothing, like any line that is no JSON.
-    return lines.withColumn("parsed", _parser()(F.col("value")))
+    # A blank-looking rest of other white space is no JSON value, like any broken line.
+    return lines.select("file", "readable", _checker()(F.col("value")).alias("raw"))
 
 
 def _files(spark: SparkSession, root: str, pattern: str, recursive: bool) -> DataFrame:
@@ -84,24 +84,19 @@ def _files(spark: SparkSession, root: str, pattern: str, recursive: bool) -> Dat
     return names.select(_one_spelling("file").alias("file"))
 
 
-def _survey(lines: DataFrame) -> DataFrame:
-    """Per file: line totals, and whether it may be one value over several lines.
-
-    Such a file starts and ends with matching brackets, and its first line is no value by itself.
-    """
-    bare = F.trim(F.translate("value", "\t\r", "  "))
-    ok = F.col("parsed").isNotNull()
-    sums = lines.groupBy("file").agg(
-        F.count("*").alias("n"),
-        F.min_by(F.left(bare, F.lit(1)), "at").alias("opens"),
-        F.max_by(F.right(bare, F.lit(1)), "at").alias("closes"),
-        F.min_by(ok, "at").alias("first_ok"),
-        F.count_if(ok).alias("good"),
-        F.count_if(~ok).alias("bad"),
-        F.bool_and("readable").alias("readable"),
+def _documents(spark: SparkSession, root: str, pattern: str, recursive: bool) -> tuple[DataFrame, list[str]]:
+    """Records (path, raw) of the files that are one JSON value, and their paths."""
+    rows = json_values.fragments(spark, root, pattern, recursive)
+    found = stage(json_values.survey(rows), "survey")
+    parts = json_values.elements(rows, found).withColumn("raw", _checker()("text"))
+    blank = F.trim(F.translate("text", "\t\r\n", "   ")) == ""
+    parts = stage(parts.select("path", "raw", blank.alias("blank")), "documents")
+    sums = parts.groupBy("path").agg(
+        F.count("*").alias("n"), F.count_if(F.col("raw").isNull()).alias("bad"), F.count_if("blank").alias("blank")
     )
-    brackets = F.concat("opens", "closes").isin("[]", "{}")
-    return sums.withColumn("whole", F.col("readable") & ~F.col("first_ok") & brackets)
+    empty = "n = 1 and blank = 1"  # an array without elements
+    paths = [r["path"] for r in sums.where(f"bad = 0 or ({empty})").collect()]
+    return parts.where("raw is not null"), paths
 
 
 def merge_dumps(
@@ -118,20 +113,17 @@ def merge_dumps(
     Strict: either one raises. A field of the wrong type is null; the record stays.
     """
     use_utc(spark)
-    lines = stage(_lines(spark, root, pattern, recursive), "lines")
-    survey = stage(_survey(lines), "survey")
-    candidates = lines.join(survey.where("whole").select("file"), "file", "left_semi")
-    rows = F.array_sort(F.collect_list(F.struct("at", "value")))
-    text = F.array_join(F.transform(rows, lambda r: r["value"]), "\n")
-    documents = candidates.groupBy("file").agg(text.alias("value"))
-    documents = stage(documents.select("file", _parser()("value").alias("parsed")).where("parsed is not null"), "documents")
-
-    counted = documents.select("file", F.size("parsed").cast("long").alias("doc_records"))
-    # An array alone on the only line is one value, too: its elements are the records.
-    alone = (F.col("n") == 1) & F.col("first_ok") & (F.col("opens") == "[")
-    single = lines.join(survey.where(F.col("readable") & alone).select("file"), "file", "left_semi").select("file", "parsed")
-    counted = counted.unionByName(single.select("file", F.size("parsed").cast("long").alias("doc_records")))
-    per_file = _files(spark, root, pattern, recursive).join(survey, "file", "left").join(counted, "file", "left")
+    parts, paths = _documents(spark, root, pattern, recursive)
+    is_document = F.col("path").isin(paths) if paths else F.lit(False)
+    whole = parts.where(is_document).select(_one_spelling("path").alias("file"), "raw")
+    lines = stage(_lines(spark, root, pattern, recursive, paths), "lines")
+    counted = lines.groupBy("file").agg(
+        F.count("raw").alias("good"), F.count_if(F.col("raw").isNull()).alias("bad"), F.bool_and("readable").alias("readable")
+    )
+    documents = spark.createDataFrame([(p,) for p in paths], "path string").select(_one_spelling("path").alias("file"))
+    in_documents = documents.join(whole.groupBy("file").agg(F.count("*").alias("n")), "file", "left")
+    in_documents = in_documents.select("file", F.coalesce("n", F.lit(0)).alias("doc_records"))
+    per_file = _files(spark, root, pattern, recursive).join(counted, "file", "left").join(in_documents, "file", "left")
     skipped = F.coalesce(~F.col("readable"), F.lit(False))
     is_document = F.col("doc_records").isNotNull()
     report = stage(
@@ -149,10 +141,8 @@ def merge_dumps(
             raise ValueError(f"malformed dump: {trouble['file']} ({trouble['bad_lines']} bad lines)")
 
     as_lines = report.where(F.col("status") == "lines").select("file")
-    by_line = lines.where("parsed is not null").join(as_lines, "file", "left_semi")
     # Within a file of lines an array is one record, as it stands.
-    by_line = by_line.select("file", F.when(F.ltrim("value").startswith("["), F.trim("value")).otherwise(F.get("parsed", F.lit(0))).alias("raw"))
-    whole = documents.unionByName(single).select("file", F.explode("parsed").alias("raw"))
+    by_line = lines.where("raw is not null").join(as_lines, "file", "left_semi").select("file", "raw")
     every = by_line.unionByName(whole)
     parsed = every.select(F.from_json("raw", schema).alias("r"), "file", "raw")
     return Merged(parsed.select("r.*", "file", "raw"), report)
