@@ -28,8 +28,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Rows spread by key: the fact table's files may be too few to keep every core busy."""
-    return df.repartition(key)
+    """Rows spread by key: the fact table's files may be too few to keep every core busy.
+
+    The number is given, as adaptive execution would merge these narrow rows into few tasks, and the wide text
+    work behind them would run there.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def _plus_seconds(ts: Column, seconds: Column) -> Column:

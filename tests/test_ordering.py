@@ -126,3 +126,26 @@ def test_hot_keys_are_spread(skewed, monkeypatch):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert sum(sizes) == 4000 and max(sizes) < 4000 * 0.3
+
+
+def test_nested_columns_count_towards_the_broadcast_size(spark, monkeypatch):
+    table = spark.range(50).select("id", F.expr("sequence(1, 1000)").alias("steps"), F.expr("map('k', id)").alias("m"))
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 50 * 1000 * 3)
+    assert lookup.fits_broadcast(table.select("id", "m"), 50) and not lookup.fits_broadcast(table.select("id", "m"), 49)
+    assert lookup.fits_broadcast(table.select("id"), 50) and not lookup.fits_broadcast(table, 50)
+
+
+@pytest.mark.parametrize("rows", [0, 1, 1000])
+def test_columns_named_like_helpers_are_kept(spark, rows):
+    facts = spark.range(300).select(
+        (F.col("id") % 7).cast("string").alias("grp"), *[F.col("id").alias(c) for c in ("_join", "_hot", "_HOT_VALUES", "_cold", "x")]
+    )
+    table = spark.range(5).select(
+        F.col("id").cast("string").alias("grp"), (F.col("id") * 10).alias("_k"), F.col("id").alias("_cold_values"), F.lit(1).alias("n")
+    )
+    got = lookup.lookup_join(facts, table, "grp", weight="n", spread_by=["x"], broadcast_rows=rows)
+    assert got.columns == [*facts.columns, "_k", "_cold_values", "n"]
+    for r in got.collect():
+        own = int(r["grp"])
+        assert r["_join"] == r["_hot"] == r["_HOT_VALUES"] == r["_cold"] == r["x"] and r["x"] % 7 == own
+        assert (r["_k"], r["_cold_values"]) == ((own * 10, own) if own < 5 else (None, None))
