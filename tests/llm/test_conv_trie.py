@@ -67,7 +67,7 @@ def test_nodes_equal_plain_prefixes(spark, blocks):
 def test_shared_nodes_beyond_the_broadcast_size(spark, monkeypatch):
     rows = made(9)
     df = spark.createDataFrame(rows, ROWS).repartition(5)
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a, **k: False)
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(lookup, "HOT_KEYS", 2)
     assert nodes(conv_trie.rebuilt(conv_trie.turn_rows(df)), 7) == plain(rows)
 

@@ -86,7 +86,7 @@ def test_files_are_plain_warc(spark):
 
 def test_copies_beyond_the_broadcast_size(spark, monkeypatch):
     rows = made() + [(500 + i, "w", f"pair {i // 2}") for i in range(20)]
-    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a, **k: False)
+    monkeypatch.setattr(lookup, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(lookup, "HOT_KEYS", 1)
     pages = spark.createDataFrame(rows, SCHEMA).repartition(3)
     assert found(warc.read_records(warc.read_chunks(warc.write_archives(pages)))) == expected(rows)
