@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from issuelab.functions import targets, text, timing, vectors
 from issuelab.functions.labels import keyword_flags, without_nulls
@@ -136,6 +137,56 @@ def s1_jsonl_scan(spark, d):
     )
 
 
+EXPORTED = (
+    "id long, repo_full_name string, state string, created_at string, closed_at timestamp, labels array<string>, "
+    "user struct<login:string,since:timestamp>, comments int"
+)
+
+
+@query
+def s2_store_export(spark, d):
+    """A document-store export with nested documents, dates and ids, written and read back in many ranges."""
+    path = new_staging_path(spark, "export")
+    rows = views.issue_facts(spark, d).select(
+        F.md5(F.col("id").cast("string")).alias("_id"), "id", "repo_full_name", "state", F.col("created_ts").alias("created_at"),
+        F.col("closed_ts").alias("closed_at"), "labels", F.struct(F.col("user_login").alias("login"), F.col("created_ts").alias("since")).alias("user"),
+        "comments",
+    )
+    writers.write_export(rows, path)
+    back = readers.read_export(spark, path, T.StructType.fromDDL(EXPORTED), split_bytes=1 << 20)
+    return back.select(
+        "id", "repo_full_name", "state", "created_at", shown("closed_at"), F.array_join("labels", "|", "~").alias("labels"),
+        F.col("user.login").alias("user_login"), F.date_format("user.since", views.ISO).alias("since"), "comments",
+    )
+
+
+@query
+def s10_source_selector(spark, d):
+    """The first of several folders that is there, through the selector."""
+    missing = new_staging_path(spark, "missing")
+    df = readers.load_issues(spark, "jsonl", [missing, _line_dump(spark, d), missing])
+    return df.groupBy("repo_full_name").agg(F.count("*").alias("n"), F.sum("id").alias("id_sum"))
+
+
+def _line_dump(spark, d) -> str:
+    path = new_staging_path(spark, "lines")
+    value = F.to_json(F.struct("id", "repo_full_name", "state"))
+    rows = views.issue_facts(spark, d, activity=False).select(value.alias("value"))
+    rows.write.text(f"{path}/part")
+    return _named(spark, f"{path}/part", ".jsonl")
+
+
+def _named(spark, path: str, ending: str) -> str:
+    """The same files with the ending that dumps have."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith("part-"):
+            files.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}{ending}"))
+    return path
+
+
 @query
 def s5_sample(spark, d):
     """The first thousand rows of a dump whose file order is known: one file per run of ids."""
@@ -261,6 +312,16 @@ def k6_merge_report(spark, d):
     ).select("skipped", "records", "bad_lines")
 
 
+@query
+def k6_merged_output(spark, d):
+    """The merged dump as written: its records read again, and the totals of the written account."""
+    path = new_staging_path(spark, "merged")
+    dumps.write_merged(dumps.merge_dumps(spark, _mixed_dump(spark, d), pattern="*", recursive=True), path)
+    records = readers.read_jsonl(spark, f"{path}/records", with_order=False, pattern="*")
+    account = spark.read.json(f"{path}/report").agg(F.sum("records").alias("reported"), F.sum("bad_lines").alias("bad_lines"))
+    return records.groupBy("state").agg(F.count("*").alias("n"), F.sum("id").alias("id_sum")).crossJoin(F.broadcast(account))  # one row
+
+
 @query
 def k8_message_payload(spark, d):
     df = views.issue_facts(spark, d)
@@ -307,6 +368,13 @@ def _enriched(spark, d, body=False, labels: Column | None = None, **kw):
     return enrich.clean_and_enrich(df, as_of=as_of(), **kw)
 
 
+@query
+def p4_processed_at(spark, d):
+    """The time of processing, one for all rows of a batch."""
+    rows = _enriched(spark, d)
+    return rows.select("ingest_seq", shown("processed_at"), (F.col("processed_at") >= F.col("created_at")).alias("after_creation"))
+
+
 @query
 def p5_label_count(spark, d):
     labels = F.when(F.col("id") % 17 != 0, without_nulls())
@@ -435,6 +503,24 @@ def p23_regression_rows(spark, d):
     return kept.select("row_id", F.round("days_to_close", 8).alias("days_to_close"), "part")
 
 
+@query
+def p24_leak_guard(spark, d):
+    """Each numeric or time column of the cleaned issues: its values, and whether the guard lets it be a feature."""
+    table = clean_rows(spark, d)
+    names = [f.name for f in table.schema if isinstance(f.dataType, (T.NumericType, T.TimestampType))]
+    sums = table.agg(*[F.count(c).alias(c) for c in names])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("n"), F.lit(_allowed(c)).alias("allowed")) for c in names]))
+    return sums.select(pairs.alias("p")).select("p.*")
+
+
+def _allowed(column: str) -> bool:
+    try:
+        features.check_no_leak(["comments", column])
+    except ValueError:
+        return False
+    return True
+
+
 @query
 def p25_t0_mode(spark, d):
     df = features.at_creation(clean_rows(spark, d, columns=["row_id", "comments", "ttf_hours"]))
@@ -455,6 +541,14 @@ def p26_normalize_issue(spark, d):
     )
 
 
+@query
+def p26_string_labels(spark, d):
+    """API issues whose labels are plain strings (odd ids) or objects as JSON text (even ids)."""
+    given = F.transform("labels", lambda x: F.when(F.col("id") % 2 == 0, F.to_json(F.struct(x["name"].alias("name")))).otherwise(x["name"]))
+    out = normalize.normalize_issues(views.api_issues(spark, d).withColumn("labels", given), collected_at=F.lit(AS_OF))
+    return out.select("id", F.array_join("labels", "|").alias("labels"), F.size("labels").alias("n"))
+
+
 @query
 def p27_normalize_live(spark, d):
     return normalize.normalize_live_issues(views.api_issues(spark, d)).select(
@@ -805,10 +899,14 @@ def w12_daily_filled(spark, d):
 
 @query
 def u1_union(spark, d):
-    """Bag union of two record sources with different columns."""
+    """Bag union of two dumped sources with different fields."""
     a = views.issue_facts(spark, d, activity=False).select("id", "repo_full_name", "state")
     b = views.issue_snapshots(spark, d, activity=False).select("id", "repo_full_name", "snap_no")
-    both = a.unionByName(b, allowMissingColumns=True)
+    root = new_staging_path(spark, "sources")
+    a.select(F.to_json(F.struct(*a.columns))).write.text(f"{root}/one")
+    b.select(F.to_json(F.struct(*b.columns))).write.text(f"{root}/two")
+    fields = T.StructType.fromDDL("id long, repo_full_name string, state string, snap_no int")
+    both = dumps.merge_dumps(spark, root, schema=fields, pattern="*", recursive=True).records
     return both.groupBy("repo_full_name", "state").agg(
         F.count("*").alias("n"), F.count("snap_no").alias("with_snap"), F.sum("id").alias("id_sum")
     )
@@ -1105,8 +1203,8 @@ def m20_run_record(spark, d):
     return record.withColumn("value", F.when(F.col("kind") == "metric", rounded_text).otherwise(F.col("value")))
 
 
-#: The queries end a fit after 20 rounds without a gain, so that each takes a minute or two on a small table.
-QUERY = training.Settings(patience=20)
+#: The queries take larger steps and at most 30 rounds, so that each takes a minute or two on a small table.
+QUERY = training.Settings(patience=10, step=0.3, rounds=30)
 
 
 def _texts(spark, d):
@@ -1137,7 +1235,7 @@ def _checked_record(record: DataFrame, fixed: list[str], shares: list[str]) -> D
 
 @query
 def m3_stage1(spark, d):
-    """The classifier trained with the defaults but for the patience."""
+    """The classifier trained with the defaults but for the size and number of steps."""
     table, vecs = _texts(spark, d)
     _, measured, params = training.train_stage1(table, vecs, QUERY)
     shares = [f"{part}_{m}" for part in ("train", "dev", "test") for m in ("roc_auc", "precision", "recall", "f1")]
@@ -1150,7 +1248,7 @@ def m3_stage1(spark, d):
 
 @query
 def m4_stage2(spark, d):
-    """The regressor trained with the defaults but for the patience."""
+    """The regressor trained with the defaults but for the size and number of steps."""
     table, vecs = _texts(spark, d)
     _, measured, params = training.train_stage2(table, vecs, QUERY)
     return _checked_record(

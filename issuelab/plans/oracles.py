@@ -879,3 +879,36 @@ _add(
        UNION ALL SELECT 'n_features', 90.0E0 UNION ALL SELECT 'embedding_dim', 64.0E0
        UNION ALL SELECT 'shares', 3.0E0""",
 )
+_add(
+    "s2_store_export", "facts",
+    f"""SELECT id, repo_full_name, state, {_iso('created_ts')} AS created_at, {_shown('closed_ts', 'closed_at')},
+               coalesce(label0, '~') || '|' || coalesce(label1, '~') || '|' || coalesce(label2, '~') AS labels,
+               user_login, {_iso('created_ts')} AS since, comments FROM facts""",
+)
+_add("s10_source_selector", "facts", "SELECT repo_full_name, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum FROM facts GROUP BY 1")
+_add(
+    "p4_processed_at", "snaps",
+    f"SELECT ingest_seq, strftime({AS_OF}, '%Y-%m-%d %H:%M:%S') AS processed_at, {AS_OF} >= created_ts AS after_creation FROM snaps",
+)
+_add(
+    "p26_string_labels", "facts",
+    """SELECT id, CASE WHEN id % 17 = 0 THEN '' ELSE concat_ws('|', label0, label1, third) END AS labels,
+              CASE WHEN id % 17 = 0 THEN 0 ELSE (label0 IS NOT NULL)::INT + (label1 IS NOT NULL)::INT + (third IS NOT NULL)::INT END AS n
+       FROM (SELECT *, CASE WHEN id % 6 <> 0 THEN label2 WHEN id % 2 = 1 THEN '' END AS third FROM facts)""",
+)
+_add(
+    "k6_merged_output", "",
+    """WITH told AS (SELECT o_orderkey AS id, CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'open' END AS state,
+                       o_orderkey % 5000 <> 7 AND o_orderkey % 4 <> 1 AND o_orderkey % 20 = 0 AS bad FROM orders)
+       SELECT state, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum, (SELECT count(*) FROM told WHERE NOT bad) AS reported,
+              (SELECT count(*) FROM told WHERE bad) AS bad_lines FROM told WHERE NOT bad GROUP BY state""",
+)
+_LEAKS = ("updated_ts", "closed_ts", "first_comment_ts", "is_closed", "days_to_close", "resolved_30d")
+_SAFE = (
+    "number", "comments", "num_assignees", "created_ts", "labels_count", "title_len", "body_len", "has_body", "created_dow",
+    "created_hour", "ttf_hours",
+)
+_add(
+    "p24_leak_guard", "clean",
+    " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, {str(c in _SAFE).upper()} AS allowed FROM clean" for c in _SAFE + _LEAKS),
+)

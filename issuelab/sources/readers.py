@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from issuelab.functions.timing import parse_utc
 from issuelab.schemas import ISSUE_RAW
 from issuelab.session import use_utc
+from issuelab.sources import export
 
 DUMP_PATTERN = "*.{json,jsonl,ndjson}"
 
@@ -66,6 +67,17 @@ def read_collection(spark: SparkSession, uri: str, database: str, collection: st
     )
 
 
+def read_export(spark: SparkSession, path: str, schema: T.StructType = ISSUE_RAW, split_bytes: int = export.SPLIT_BYTES) -> DataFrame:
+    """A binary export of a document store, without its internal key, with each document's place."""
+    use_utc(spark)
+    export.register(spark)
+    fields = [f for f in schema if f.name != "_id"]
+    place = T.StructType([T.StructField("file", T.StringType()), T.StructField("offset", T.LongType())])
+    full = T.StructType([*fields, T.StructField(export.PLACE, place)])
+    df = spark.read.format(export.FORMAT).schema(full).option("splitBytes", split_bytes).load(path)
+    return df.withColumnRenamed(export.PLACE, "ingest_seq")
+
+
 def read_training(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     use_utc(spark)
     df = spark.read.parquet(path)
@@ -87,12 +99,14 @@ def _first_existing(spark: SparkSession, candidates: Sequence[str]) -> str:
 
 
 def load_issues(spark: SparkSession, source: str, location: str | Sequence[str], **store: str) -> DataFrame:
-    """Raw issues from ``jsonl`` (first existing folder of the candidates), ``store`` or ``mongo``."""
+    """Raw issues from ``jsonl`` (first existing folder of the candidates), ``store``, ``export`` or ``mongo``."""
     if source == "jsonl":
         candidates = [location] if isinstance(location, str) else list(location)
         df = read_jsonl(spark, _first_existing(spark, candidates))
     elif source == "store":
         df = read_store(spark, location)
+    elif source == "export":
+        df = read_export(spark, location)
     elif source == "mongo":
         df = read_collection(spark, location, store["database"], store["collection"])
     else:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from issuelab.functions.text import file_safe_repo, model_tag
 from issuelab.functions.timing import iso_zone
+from issuelab.sources import export
 
 TS_COLS = ["created_ts", "updated_ts", "closed_ts", "first_comment_ts"]
 
@@ -103,3 +104,9 @@ def write_state(df: DataFrame, root: str, version: int) -> str:
     path = f"{root}/v={version}"
     df.write.mode("overwrite").parquet(path)
     return path
+
+
+def write_export(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Rows as documents of a document-store export, a file per task; the first column comes first in all."""
+    export.register(df.sparkSession)
+    df.write.format(export.FORMAT).mode(mode).save(path)
