@@ -21,9 +21,9 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 BATCH_BYTES = 8 << 20
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Hand rows to Python by bytes, not by number: texts differ in length by orders of magnitude."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def kept_in_worker(kind: str, call: str, make: Callable[[], object]) -> object:
@@ -34,10 +34,27 @@ def kept_in_worker(kind: str, call: str, make: Callable[[], object]) -> object:
     state = sys.modules.setdefault("_issuelab_worker_state", types.ModuleType("_issuelab_worker_state"))
     known = state.__dict__.setdefault("kept", {})
     if known.get(kind, (None,))[0] != call:
+        known.pop(kind, None)
+        release_memory()
         known[kind] = (call, make())
     return known[kind][1]
 
 
+def release_memory() -> None:
+    """Give back to the system what earlier tasks of this Python worker have freed: workers live on from job to job."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

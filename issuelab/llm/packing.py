@@ -45,10 +45,14 @@ PIECES = (
 
 @dataclass(frozen=True)
 class Penalties:
-    """Costs of a cut, in padded tokens; ``grid`` is the spacing of cuts inside long sentences."""
+    """Costs of a cut, in padded tokens; ``grid`` is the spacing of cuts inside sentences.
+
+    A cut inside a sentence costs more than the usual way to a sentence's end, so it is made only where sentences
+    are long.
+    """
 
     sentence: float = 0.5
-    anywhere: float = 2.0
+    anywhere: float = 512.0
     grid: int = 16
 
 
@@ -62,9 +66,9 @@ class WordTokens:
     """
 
     _ODD = "\x1c\x1d\x1e\x1f"
-    SEGMENT = 4 << 20
+    SEGMENT = 1 << 20
 
-    def __init__(self, path: str, end_id: int, remember: int = 400_000):
+    def __init__(self, path: str, end_id: int, remember: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
@@ -132,8 +136,8 @@ class WordTokens:
     def _encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
         split = [None if any(c in t for c in self._ODD) else t.split() for t in texts]
         wanted = {r for runs in split if runs for r in runs}
-        if len(self.pieces) > self.remember:
-            self.pieces.clear()
+        if len(self.pieces) > self.remember // 3:  # 200 bytes or so each: 40 MB in all
+            self.pieces = {}
         if len(self.runs) > self.remember:  # what these texts use stays, and with it the frequent words
             self.runs = {r: self.runs[r] for r in wanted if r in self.runs}
         known = self.runs
@@ -271,7 +275,7 @@ def pack(
     text: str = "text",
 ) -> DataFrame:
     """One row per piece, with its token ids (little-endian unsigned 32-bit)."""
-    bounded_batches(docs.sparkSession)
+    bounded_batches(docs.sparkSession, 2 << 20)
     call = uuid.uuid4().hex
     fields = [pa.int64()] * 7 + [pa.binary()]
     names = "doc_id start length ids_crc32 doc_tokens sequence_id offset ids".split()

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -82,7 +83,7 @@ def test_table(spark, sf):
         packing.pack(docs, packing.word_tokens(PATH), block=1 << 14).collect(),
         {r["doc_id"]: [r["text"]] for r in docs.collect()},
     )
-    assert pad <= 0.005 * total
+    assert pad <= 0.01 * total  # whole sentences are worth some padding
 
 
 def test_awkward_tables(spark):
@@ -94,3 +95,29 @@ def test_awkward_tables(spark):
     nulls = packing.pack(awkward_docs(spark).where("doc_id is null"), packing.word_tokens(PATH)).collect()
     assert sum(p["length"] for p in nulls) > 1 and {p["doc_id"] for p in nulls} == {None}
     assert packing.pack(empty_docs(spark), packing.word_tokens(PATH)).count() == 0
+
+
+def test_cuts_fall_at_sentence_ends(spark, sf):
+    """Fewer than 2 % of the cuts are inside sentences, and padding is below 1 %.
+
+    The powers of two that an input partition's last tokens are split into have no choice.
+    """
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    rows = packing.pack(docs, packing.word_tokens(path)).drop("ids").collect()
+    used = Counter()
+    for r in rows:
+        used[r["sequence_id"]] += r["length"]
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    encoder = packing.WordTokens(path, 2)
+    inside, cuts = 0, 0
+    for r in rows:
+        end = r["start"] + r["length"]
+        ends_sequence = r["offset"] + r["length"] == used[r["sequence_id"]]
+        if ends_sequence and (used[r["sequence_id"]] == 4096 or used[r["sequence_id"]].bit_count() > 1):
+            cuts += 1
+            if end < r["doc_tokens"]:
+                _, sizes, stops = next(encoder.encode([texts[r["doc_id"]] or ""]))
+                inside += end not in set(sizes.cumsum()[stops].tolist())
+    padding = sum(4096 - n for n in used.values() if n.bit_count() > 1)
+    assert cuts > 100 and inside < 0.02 * cuts and padding < 0.01 * sum(used.values())
