@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
-from issuelab.llm.common import bounded_batches, spare_name, text_of
+from issuelab.llm.common import bounded_batches, release_memory, spare_name, text_of
 from issuelab.llm.components import connected
 from issuelab.operators.lookup import fits_broadcast, lookup_join
 from issuelab.session import stage
@@ -162,6 +162,8 @@ def _signed(join: Join, whole: bool) -> Column:
             columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(sets)]
             columns += [pa.array(np.ascontiguousarray(w)) for w in words]
             yield pa.StructArray.from_arrays(columns, names=["node", "n", "part", *SKETCH])
+        met.clear()
+        release_memory()
 
     return sign
 

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from issuelab.llm.common import bounded_batches, kept_in_worker, text_of
+from issuelab.llm.common import bounded_batches, kept_in_worker, release_memory, text_of
 
 PIECES = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -297,6 +297,7 @@ def pack(
                     if stream.full():
                         yield table(list(stream.flush(last=False)))
         yield table(list(stream.flush(last=True)))
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("bigint"), text_of(text).alias("text")).mapInArrow(run, PIECES)
 

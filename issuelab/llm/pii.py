@@ -162,11 +162,6 @@ def _near(spans: list[tuple[int, int]], a: int, b: int) -> list[tuple[int, int]]
     return out
 
 
-@F.arrow_udf(SPAN_TYPE)
-def find_base(text: pa.Array) -> pa.Array:
-    return pa.array([as_rows(base_spans(t)) for t in text.to_pylist()], type=ARROW_SPANS)
-
-
 _CONTEXT_TYPE = ArrayType(StructType().add("entity", StringType()).add("term", StringType()))
 _ARROW_CONTEXT = pa.list_(pa.struct([("entity", pa.string()), ("term", pa.string())]))
 
@@ -187,13 +182,33 @@ def _all_terms(text: pa.Array) -> pa.Array:
     return pa.array(rows, type=pa.list_(pa.string()))
 
 
-@F.arrow_udf(SPAN_TYPE)
-def _mark(text: pa.Array, terms: pa.Array) -> pa.Array:
+def _marked(text: str, terms: list[dict] | None) -> list[dict]:
+    """Spans of the method, by kind, then start."""
+    if not terms:
+        return []
+    found = as_rows(occurrences(text, {x["term"]: x["kind"] for x in terms}))
+    return sorted(found, key=lambda s: (s["kind"], s["start"], s["end"]))
+
+
+_BOTH_TYPE = StructType().add("base", SPAN_TYPE).add("extra", SPAN_TYPE)
+
+
+# One function does all that a text needs, so that a task keeps one Python worker busy and not several.
+@F.arrow_udf(_BOTH_TYPE)
+def _find_all(text: pa.Array, terms: pa.Array) -> pa.Array:
     rows = [
-        as_rows(occurrences(t, {x["term"]: x["kind"] for x in own})) if own else []
-        for t, own in zip(text.to_pylist(), terms.to_pylist())
+        {"base": as_rows(base_spans(t)), "extra": _marked(t, own)} for t, own in zip(text.to_pylist(), terms.to_pylist())
     ]
-    return pa.array(rows, type=ARROW_SPANS)
+    return pa.array(rows, type=pa.struct([("base", ARROW_SPANS), ("extra", ARROW_SPANS)]))
+
+
+@F.arrow_udf(StringType())
+def _cleaned(text: pa.Array, terms: pa.Array) -> pa.Array:
+    out = []
+    for t, own in zip(text.to_pylist(), terms.to_pylist()):
+        spans = [] if t is None else as_rows(base_spans(t)) + _marked(t, own)
+        out.append(_rewrite(t, spans) if spans else t)
+    return pa.array(out, type=pa.string())
 
 
 def term_documents(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -270,16 +285,22 @@ def disclosing_terms(docs: DataFrame, rules: Disclosure = Disclosure(), text: st
     )
 
 
-def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
-    """``docs`` with ``base`` and ``spans``: base spans by kind, then start; then the method's by kind, then start."""
+def _with_terms(docs: DataFrame, rules: Disclosure, text: str) -> tuple[DataFrame, str, list[str]]:
+    """``docs`` with the disclosing terms of each text; the column that holds them, and all columns added."""
     bounded_batches(docs.sparkSession)
     key, more, copies = (spare_name(docs, c) for c in ("text_key", "added", "copies"))
     added = disclosing_terms(docs, rules, text).toDF(key, more, copies)
-    keyed = docs.withColumn(key, _text_key(text)).withColumn("base", find_base(text_of(text)))
-    keyed = lookup_join(keyed, added, key, weight=copies, spread_by=tuple(docs.columns))
-    marked = _mark(F.when(F.col(more).isNotNull(), text_of(text)), F.col(more))
-    extra = F.array_sort(marked)  # by kind, then start
-    return keyed.withColumn("spans", F.concat("base", extra)).drop(key, more, copies)
+    keyed = docs.withColumn(key, _text_key(text))
+    return lookup_join(keyed, added, key, weight=copies, spread_by=tuple(docs.columns)), more, [key, more, copies]
+
+
+def with_spans(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
+    """``docs`` with ``base`` and ``spans``: base spans by kind, then start; then the method's by kind, then start."""
+    keyed, more, helpers = _with_terms(docs, rules, text)
+    found = spare_name(keyed, "found")
+    both = keyed.withColumn(found, _find_all(text_of(text), F.col(more)))
+    both = both.withColumn("base", F.col(found)["base"]).withColumn("spans", F.concat(F.col(found)["base"], F.col(found)["extra"]))
+    return both.drop(found, *helpers)
 
 
 def _rewrite(text: str, spans: list[dict]) -> str:
@@ -292,15 +313,10 @@ def _rewrite(text: str, spans: list[dict]) -> str:
     return "".join(out) + text[at:]
 
 
-@F.arrow_udf(StringType())
-def rewrite(text: pa.Array, spans: pa.Array) -> pa.Array:
-    pairs = zip(text.to_pylist(), spans.to_pylist())
-    return pa.array([t if not s else _rewrite(t, s) for t, s in pairs], type=pa.string())
-
-
 def sanitise(docs: DataFrame, rules: Disclosure = Disclosure(), text: str = "text") -> DataFrame:
     """``docs`` with personal data and disclosing terms taken out of the text; other columns as they are."""
-    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
-    found = with_spans(held, rules).withColumn("text", F.when(F.col("text").isNotNull(), rewrite("text", "spans")))
+    held = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
+    keyed, more, _ = _with_terms(held, rules, "text")
+    found = keyed.select("row", _cleaned(F.col("text"), F.col(more)).alias("text"))
     kept = [F.col("text") if c == text else F.col("row")[c] for c in docs.columns]
     return found.select(*[k.alias(c) for k, c in zip(kept, docs.columns)])
