@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from issuelab.functions.text import file_safe_repo, org_of, repo_from_path
 from issuelab.functions.timing import parse_utc, step_back
+from issuelab.operators import idsets
 from issuelab.operators.lookup import lookup_join
 from issuelab.operators.ordering import running_totals
 
@@ -111,9 +112,16 @@ def with_first_comment(
 
 def unsent(batch: DataFrame, sent: DataFrame, order: str = "seq") -> DataFrame:
     """First arrival of each id in the batch that was not sent before."""
-    row = F.struct(*batch.columns)
-    firsts = batch.groupBy("id").agg(F.min_by(row, order).alias("r")).select("r.*")
-    return firsts.join(sent.select("id").distinct(), "id", "left_anti")
+    return _firsts(batch, order).join(sent.select("id").distinct(), "id", "left_anti")
+
+
+def _firsts(batch: DataFrame, order: str) -> DataFrame:
+    return batch.groupBy("id").agg(F.min_by(F.struct(*batch.columns), order).alias("r")).select("r.*")
+
+
+def unsent_by_set(batch: DataFrame, sent: DataFrame, order: str = "seq") -> DataFrame:
+    """``unsent``, with the ids sent before as a set of bitmaps (``idsets.id_set``)."""
+    return idsets.without(_firsts(batch, order), sent)
 
 
 def newest_update(issues: DataFrame, seq: str = "ingest_seq") -> DataFrame:

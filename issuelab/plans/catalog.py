@@ -19,6 +19,7 @@ from issuelab.operators import (
     embeddings,
     enrich,
     features,
+    idsets,
     ingest,
     kpis,
     metrics,
@@ -31,7 +32,7 @@ from issuelab.plans.dataset import training_table
 from issuelab.schemas import BASE_FEATURES, LEGACY_FEATURES, STAGE1_FEATURES, STAGE2_FEATURES
 from issuelab.session import new_staging_path, stage
 from issuelab.sources import dumps, readers, writers
-from issuelab.streaming import jobs, store
+from issuelab.streaming import jobs, once, store
 
 AS_OF = "2000-06-15T12:00:00Z"
 DEFAULT_SINCE = "1995-01-01T00:00:00Z"
@@ -676,6 +677,15 @@ def j6_unsent_ids(spark, d):
     return ingest.unsent(batch, sent)
 
 
+@query
+def j6_unsent_by_set(spark, d):
+    """The same with the sent ids as bitmaps, of two runs."""
+    batch = views.issue_snapshots(spark, d, activity=False).select("id", "state", F.col("ingest_seq").alias("seq"))
+    sent = views.table(spark, d, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").alias("id"))
+    runs = [idsets.id_set(sent.where(F.col("id") % 2 == k)) for k in (0, 1)]
+    return ingest.unsent_by_set(batch, idsets.union(*runs))
+
+
 # --- aggregations --------------------------------------------------------------------------------
 
 
@@ -1354,6 +1364,30 @@ def t6_stream_dedup(spark, d):
     return spark.read.parquet(out)
 
 
+@query
+def t6_emit_new(spark, d):
+    """Ids emitted once on a fresh checkpoint, but for those that a store holds already."""
+    out, ck = new_staging_path(spark, "once"), new_staging_path(spark, "ck")
+    known = views.table(spark, d, "orders").where(F.col("o_orderkey") % 5 == 0).select(F.col("o_orderkey").alias("id"))
+    stream = jobs.enriched(readers.read_stream(spark, _landed(spark, d)), as_of=as_of()).select("id", "repo_full_name")
+    jobs.start_log(once.emit_new(stream, known), out, ck).awaitTermination()
+    return spark.read.parquet(out)
+
+
+@query
+def t5_resumed_backfill(spark, d):
+    """Open issues' history as a stream of its own, handed over to the live stream, and both started again."""
+    path, ck, old, landed = (new_staging_path(spark, n) for n in ("store", "ck", "old", "landed"))
+    sent = messages(spark, d)
+    is_open = F.get_json_object("value", "$.state") == "open"
+    sent.where(is_open).repartition(3, "key").write.json(old)
+    sent.where(~is_open | is_open.isNull()).repartition(2, "key").write.json(landed)
+    for _ in range(2):
+        history, live = (jobs.enriched(readers.read_stream(spark, p), as_of=as_of()) for p in (old, landed))
+        jobs.resume_backfill(history, live, path, ck).awaitTermination()
+    return store.read_current(spark, path).select("id", "repo_full_name", "state", shown("updated_at"))
+
+
 @query
 def t7_cursor_step(spark, d):
     """One run over a dump that was written before; two repositories fail."""

@@ -912,3 +912,6 @@ _add(
     "p24_leak_guard", "clean",
     " UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS n, {str(c in _SAFE).upper()} AS allowed FROM clean" for c in _SAFE + _LEAKS),
 )
+SQL["j6_unsent_by_set"] = SQL["j6_unsent_ids"]
+SQL["t5_resumed_backfill"] = SQL["t4_stream_upsert"]
+_add("t6_emit_new", "good_msgs", "SELECT DISTINCT id, repo_full_name FROM good_msgs WHERE id % 5 <> 0")

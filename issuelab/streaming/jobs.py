@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from issuelab.operators.enrich import clean_and_enrich, parse_messages
-from issuelab.streaming.store import write_batch
+from issuelab.streaming.store import handed_over, record_handover, write_batch
 
 log = logging.getLogger(__name__)
 
@@ -76,3 +76,25 @@ def backfill_then_live(history: DataFrame, live: DataFrame, path: str, checkpoin
     interval = kw.get("interval")
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
     return writer.start()
+
+
+def resume_backfill(
+    history: DataFrame, live: DataFrame, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Work off the history stream, then follow the live stream; started again, it goes on where it was.
+
+    The history has its own checkpoint, so none of its batches is written twice after a stop. Once it is through, the
+    number of its batches is recorded beside the store (the hand-over); live batches are numbered from there.
+    """
+    spark = history.sparkSession
+    count = handed_over(spark, path)
+    if count is None:
+        upsert = _upsert(path)
+        writer = history.writeStream.foreachBatch(upsert).outputMode("append").trigger(availableNow=True)
+        writer.option("checkpointLocation", f"{checkpoint}/history").start().awaitTermination()
+        count = record_handover(spark, path)
+    upsert = _upsert(path)
+    writer = live.writeStream.foreachBatch(lambda batch, batch_id: upsert(batch, batch_id + count))
+    writer = writer.outputMode("append").option("checkpointLocation", f"{checkpoint}/live")
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()

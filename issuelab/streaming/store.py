@@ -89,3 +89,19 @@ def compact(spark: SparkSession, path: str, through: int) -> int:
     )
     mark.write.mode("append").parquet(f"{path}/base/CURRENT")
     return version
+
+
+def handed_over(spark: SparkSession, path: str) -> int | None:
+    """Batches that the history took, once it is through."""
+    if not _exists(spark, f"{path}/handover/_SUCCESS"):
+        return None
+    return spark.read.schema("batches long").parquet(f"{path}/handover").first()["batches"]
+
+
+def record_handover(spark: SparkSession, path: str) -> int:
+    """Record that the history is through; batches written from now on are live ones."""
+    log = _log(spark, path, -1)
+    last = None if log is None else log.agg(F.max("batch_id").cast("long")).first()[0]
+    count = 0 if last is None else last + 1
+    spark.range(1).select(F.lit(count).cast("long").alias("batches")).write.mode("overwrite").parquet(f"{path}/handover")
+    return count

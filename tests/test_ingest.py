@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from issuelab.functions import timing
-from issuelab.operators import ingest, normalize
+from issuelab.operators import idsets, ingest, normalize
 from issuelab.plans.dataset import build_dataset
 from issuelab.schemas import ISSUE_RAW
 from issuelab.sources import dumps, readers, writers
@@ -310,6 +310,47 @@ def test_stream_upsert_and_backfill(spark, tmp_path):
     assert current(spark, path) == [(1, "closed"), (2, "closed")]
 
 
+def test_backfill_resumes_where_it_stopped(spark, tmp_path, monkeypatch):
+    old, new, path, ck = (f"{tmp_path}/{n}" for n in ("old", "new", "store", "ck"))
+    for k in range(4):
+        land(spark, old, f"{k}.json", [rec(k), rec(10 + k)])
+    land(spark, new, "1.json", [rec(1, state="closed", updated_at="2024-03-01T00:00:00Z"), rec(50)])
+    write, written = jobs.write_batch, []
+
+    def failing(df, batch_id, where):
+        if batch_id == 2 and 2 not in written:
+            written.append(2)
+            raise RuntimeError("stopped in the middle")
+        written.append(batch_id)
+        write(df, batch_id, where)
+
+    monkeypatch.setattr(jobs, "write_batch", failing)
+    run = lambda: jobs.resume_backfill(*(jobs.enriched(readers.read_stream(spark, p)) for p in (old, new)), path, ck).awaitTermination()
+    with pytest.raises(Exception, match="stopped"):
+        run()
+    assert written == [0, 1, 2] and store.handed_over(spark, path) is None
+    run()
+    assert written == [0, 1, 2, 2, 3, 4] and store.handed_over(spark, path) == 4
+    land(spark, new, "2.json", [rec(51)])
+    run()
+    assert written[6:] == [5]
+    states = dict(current(spark, path))
+    assert sorted(states) == [0, 1, 2, 3, 10, 11, 12, 13, 50, 51] and states[1] == "closed" and states[0] == "open"
+
+
+def test_id_sets(spark):
+    values = [0, 1, 7, 8, 32768, 32769, -1, -5, 10**15, None, 1]
+    ids = idsets.id_set(spark.createDataFrame([(v,) for v in values], "id long"))
+    more = idsets.id_set(spark.range(100, 200))
+    every = idsets.union(ids, more)
+    assert idsets.size(every).first()["n"] == 109 and idsets.size(ids.limit(0)).first()["n"] == 0
+    asked = [(v, "x") for v in [*values, 2, 6, 9, 32767, 32770, -2, 99, 100, 199, 200, 10**15 + 1]]
+    rows = spark.createDataFrame(asked, "id long, _other string")
+    got = sorted((r["id"] for r in idsets.without(rows, every).collect()), key=str)
+    assert got == sorted([None, 2, 6, 9, 32767, 32770, -2, 99, 200, 10**15 + 1], key=str)
+    assert idsets.without(rows, every.limit(0)).count() == len(asked)
+
+
 def test_emit_once_survives_restart(spark, tmp_path):
     src, out, ck = (f"{tmp_path}/{n}" for n in ("src", "out", "ck"))
     run = lambda: jobs.start_log(
