@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,14 @@ from issuelab.sources import export
 DUMP_PATTERN = "*.{json,jsonl,ndjson}"
 
 
+#: Local paths come as ``file:/x`` or ``file:///x``.
+_SLASHES = re.compile("^file:/+")
+
+
+def _local(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def arrival_order() -> Column:
     """Sortable position of a scanned row: file, place in the file, row in the split."""
     return F.struct(
@@ -31,8 +40,12 @@ def read_jsonl(
     schema: T.StructType = ISSUE_RAW,
     with_order: bool = True,
     pattern: str = "*.jsonl",
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All JSON-lines files below ``root``; blank lines are skipped, a malformed line fails the job."""
+    """All JSON-lines files below ``root``; blank lines are skipped, a malformed line fails the job.
+
+    ``only``: read these files (as ``inputFiles`` names them) and open no others.
+    """
     use_utc(spark)
     df = (
         spark.read.schema(schema)
@@ -41,6 +54,8 @@ def read_jsonl(
         .option("mode", "FAILFAST")
         .json(root)
     )
+    if only is not None:
+        df = df.where(_local(F.col("_metadata.file_path")).isin([_SLASHES.sub("file:/", f) for f in only]))
     return df.select("*", arrival_order().alias("ingest_seq")) if with_order else df
 
 
@@ -119,9 +134,17 @@ def load_issues(spark: SparkSession, source: str, location: str | Sequence[str],
 def read_sample(
     spark: SparkSession, path: str, rows: int = 100_000, schema: T.StructType = ISSUE_RAW, **kw
 ) -> DataFrame:
-    """First rows of a JSON-lines dump in file order."""
-    df = read_jsonl(spark, path, schema, **kw)
-    return df.orderBy("ingest_seq").limit(rows).drop("ingest_seq")
+    """First rows of a JSON-lines dump in file order.
+
+    Files are opened in the order of their names, twice as many at a time, until they hold enough rows.
+    """
+    files = sorted(read_jsonl(spark, path, schema, **kw).inputFiles())
+    taken = 1
+    while True:
+        df = read_jsonl(spark, path, schema, only=files[:taken], **kw)
+        if taken >= len(files) or df.limit(rows).count() >= rows:
+            return df.orderBy("ingest_seq").limit(rows).drop("ingest_seq")
+        taken *= 2
 
 
 def line_counts(spark: SparkSession, root: str, pattern: str = "*.jsonl") -> DataFrame:

@@ -338,6 +338,18 @@ def test_backfill_resumes_where_it_stopped(spark, tmp_path, monkeypatch):
     assert sorted(states) == [0, 1, 2, 3, 10, 11, 12, 13, 50, 51] and states[1] == "closed" and states[0] == "open"
 
 
+def test_sample_opens_the_first_files_only(spark, tmp_path):
+    for k in range(6):
+        write(str(tmp_path), f"a {k}.jsonl", "\n".join(json.dumps({"id": 10 * k + i}) for i in range(10)))
+    write(str(tmp_path), "z.jsonl", "no json")  # an error if it is opened
+    ids = lambda n: [r["id"] for r in readers.read_sample(spark, str(tmp_path), n).collect()]
+    assert ids(7) == list(range(7)) and ids(25) == list(range(25))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        ids(100)
+    write(str(tmp_path), "z.jsonl", "")
+    assert ids(100) == list(range(60))
+
+
 def test_id_sets(spark):
     values = [0, 1, 7, 8, 32768, 32769, -1, -5, 10**15, None, 1]
     ids = idsets.id_set(spark.createDataFrame([(v,) for v in values], "id long"))
