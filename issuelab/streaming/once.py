@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from issuelab.session import use_disk_state
+
 # The processor travels to the tasks whole, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -60,9 +62,10 @@ class SeenIds(StatefulProcessor):
 def emit_new(stream: DataFrame, known: DataFrame | None = None, keep_ms: int | None = None) -> DataFrame:
     """First row of each id that ``known`` (column ``id``, or none) does not hold, over the whole run of a stream.
 
-    Rows of one micro-batch with the same id: the first that arrives. Needs the RocksDB state store
-    (``get_session`` sets it).
+    Rows of one micro-batch with the same id: the first that arrives. Maps of ids need the RocksDB state store,
+    which is set for the session here: a session built elsewhere has another.
     """
+    use_disk_state(stream.sparkSession)
     id_type = stream.schema["id"].dataType
     bucket = F.pmod(F.xxhash64("id"), F.lit(BUCKETS)).alias(_BUCKET)
     rows = stream.where("id is not null").select("*", bucket)

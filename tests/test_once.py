@@ -63,3 +63,17 @@ def test_ids_are_forgotten_after_a_while(spark, tmp_path, monkeypatch):
     land(src, "c.json", [50, 51])
     sent = follow(spark, src, tmp_path / "out2", tmp_path / "ck2", lambda ids: 51 in ids, keep_ms=600_000)
     assert sent.count(50) == 1 and sent.count(3) == 1
+
+
+def test_a_session_built_elsewhere(spark, tmp_path, monkeypatch):
+    """Spark's default state store holds no maps; the operator sets the one it needs."""
+    monkeypatch.setattr(once, "BUCKETS", 3)
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        land(tmp_path / "src", "a.json", [1, 2, 2])
+        known = spark.createDataFrame([(1,)], "id long")
+        assert [i for i, _ in run(spark, tmp_path / "src", tmp_path / "out", tmp_path / "ck", known=known)] == [2]
+    finally:
+        spark.conf.set(name, before)
