@@ -56,17 +56,16 @@ def _checker() -> Column:
     return checked
 
 
-def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool, documents: list[str]) -> DataFrame:
-    """Lines that aren't blank of all files but ``documents``: file, whether it is readable, and the checked text."""
+def _lines(spark: SparkSession, root: str, pattern: str, recursive: bool, documents: DataFrame) -> DataFrame:
+    """Lines that aren't blank of all files but ``documents`` (path): file, whether it is readable, and the checked text."""
     text = (
         spark.read.option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", recursive)
         .text(root)
     )
-    if documents:
-        text = text.where(~F.col("_metadata.file_path").isin(documents))
-    lines = text.select(
-        _one_spelling("_metadata.file_path").alias("file"),
+    text = text.select(F.col("_metadata.file_path").alias("path"), "value")
+    lines = text.join(F.broadcast(documents), "path", "left_anti").select(
+        _one_spelling("path").alias("file"),
         F.is_valid_utf8("value").alias("readable"),
         F.make_valid_utf8("value").alias("value"),
     ).where(F.trim(F.translate("value", "\t\r\x0b\x0c", "    ")) != "")
@@ -84,8 +83,8 @@ def _files(spark: SparkSession, root: str, pattern: str, recursive: bool) -> Dat
     return names.select(_one_spelling("file").alias("file"))
 
 
-def _documents(spark: SparkSession, root: str, pattern: str, recursive: bool) -> tuple[DataFrame, list[str]]:
-    """Records (path, raw) of the files that are one JSON value, and their paths."""
+def _documents(spark: SparkSession, root: str, pattern: str, recursive: bool) -> tuple[DataFrame, DataFrame]:
+    """Records (path, raw) of the files that are one JSON value, and their paths (one row a file)."""
     rows = json_values.fragments(spark, root, pattern, recursive)
     found = stage(json_values.survey(rows), "survey")
     parts = json_values.elements(rows, found).withColumn("raw", _checker()("text"))
@@ -95,7 +94,7 @@ def _documents(spark: SparkSession, root: str, pattern: str, recursive: bool) ->
         F.count("*").alias("n"), F.count_if(F.col("raw").isNull()).alias("bad"), F.count_if("blank").alias("blank")
     )
     empty = "n = 1 and blank = 1"  # an array without elements
-    paths = [r["path"] for r in sums.where(f"bad = 0 or ({empty})").collect()]
+    paths = stage(sums.where(f"bad = 0 or ({empty})").select("path"), "paths")
     return parts.where("raw is not null"), paths
 
 
@@ -114,13 +113,12 @@ def merge_dumps(
     """
     use_utc(spark)
     parts, paths = _documents(spark, root, pattern, recursive)
-    is_document = F.col("path").isin(paths) if paths else F.lit(False)
-    whole = parts.where(is_document).select(_one_spelling("path").alias("file"), "raw")
+    whole = parts.join(F.broadcast(paths), "path", "left_semi").select(_one_spelling("path").alias("file"), "raw")
     lines = stage(_lines(spark, root, pattern, recursive, paths), "lines")
     counted = lines.groupBy("file").agg(
         F.count("raw").alias("good"), F.count_if(F.col("raw").isNull()).alias("bad"), F.bool_and("readable").alias("readable")
     )
-    documents = spark.createDataFrame([(p,) for p in paths], "path string").select(_one_spelling("path").alias("file"))
+    documents = paths.select(_one_spelling("path").alias("file"))
     in_documents = documents.join(whole.groupBy("file").agg(F.count("*").alias("n")), "file", "left")
     in_documents = in_documents.select("file", F.coalesce("n", F.lit(0)).alias("doc_records"))
     per_file = _files(spark, root, pattern, recursive).join(counted, "file", "left").join(in_documents, "file", "left")

@@ -181,7 +181,10 @@ def _stitch(splits):
 
 def survey(rows: DataFrame) -> DataFrame:
     """``path``, ``block``, ``in_string``, ``depth`` (of the split's start), ``kind`` and ``readable`` (of the file)."""
-    return rows.mapInArrow(_sum_up, _SUMMED).groupBy("path").applyInPandas(_stitch, _STITCHED)
+    summed = rows.mapInArrow(_sum_up, _SUMMED)
+    # The number is given: adaptive execution takes these few bytes for one task, however many files there are.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return summed.repartition(tasks, "path").groupBy("path").applyInPandas(_stitch, _STITCHED)
 
 
 def _cut_up(starts: dict):
@@ -257,7 +260,8 @@ def elements(rows: DataFrame, found: DataFrame) -> DataFrame:
     if not wanted:
         return spark.createDataFrame([], "path string, text string")
     starts = {(r["path"], r["block"]): (r["in_string"], r["depth"], r["kind"]) for r in wanted}
-    own = rows.where(F.col("path").isin(sorted({r["path"] for r in wanted})))
+    paths = found.where("kind is not null and readable").select("path").distinct()
+    own = rows.join(F.broadcast(paths), "path", "left_semi").select(*rows.columns)
     cut = stage(own.mapInArrow(_cut_up(starts), _PIECE), "pieces")
     order = Window.partitionBy("path").orderBy("block", "place")
     broken = cut.where("not whole").withColumn("element", F.sum(F.col("begins").cast("int")).over(order))

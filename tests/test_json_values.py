@@ -102,3 +102,15 @@ def test_merge_of_a_large_array_and_a_damaged_one(spark, tmp_path, small_splits)
     }
     assert sorted(r["id"] for r in merged.records.collect()) == sorted([*range(400)] * 2)
     assert merged.records.where("raw like '%\n%'").count() == 0
+
+
+def test_stitching_is_spread_over_tasks(spark, tmp_path):
+    """Many small files are not stitched by one task."""
+    from issuelab.session import stage
+
+    for k in range(60):
+        (tmp_path / f"f{k}.json").write_text(json.dumps([{"id": k}, {"id": k + 1}]))
+    found = json_values.survey(json_values.fragments(spark, str(tmp_path), "*", False))
+    assert found.select("path", F.spark_partition_id().alias("task")).select("task").distinct().count() > 1
+    parts = json_values.elements(json_values.fragments(spark, str(tmp_path), "*", False), stage(found, "survey"))
+    assert parts.groupBy("path").count().where("count = 2").count() == 60
