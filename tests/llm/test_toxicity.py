@@ -63,3 +63,24 @@ def test_a_labelled_text_beyond_the_room_changes_nothing_else(spark):
     assert with_huge is not None and all(np.array_equal(a, b) for a, b in zip(with_huge.filters, without.filters))
     assert np.array_equal(with_huge.vectors, without.vectors)
     assert toxicity.fit(*make([huge]), small) is None
+
+
+def test_every_labelled_row_counts(spark):
+    """Words that only rows beyond the first shards hold have their log-odds, and all rows train and calibrate."""
+    rows = [(i, f"plain words about {'vile' if i % 4 == 0 else 'kind'}{'abcdefghij'[i // 40 % 10]} things", int(i % 4 == 0)) for i in range(1, 400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    t = toxicity.Training(sample_rows=30)
+    used = []
+    trained = toxicity._trained
+    toxicity._trained = lambda examples, start, *rest: used.append((examples.count(), rest[1], start)) or trained(examples, start, *rest)
+    try:
+        model = toxicity.fit(docs, labels, t)
+    finally:
+        toxicity._trained = trained
+    n = docs.where(~toxicity.held_out(F.col("doc_id"))).count()
+    assert used[0][0] > 0.7 * n and used[0][1] > 5
+    scored = toxicity.score(docs, model).join(labels, "doc_id")
+    assert scored.where("predicted != toxic").count() == 0
+    again = toxicity.fit(docs, labels, t)
+    assert np.array_equal(model.vectors, again.vectors) and np.array_equal(model.shifts, again.shifts)
