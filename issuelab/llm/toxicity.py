@@ -33,6 +33,7 @@ from pyspark.sql.types import DoubleType
 
 from issuelab.llm.common import bounded_batches, text_of
 from issuelab.llm.quality import STOP_WORDS
+from issuelab.operators.lookup import fits_broadcast
 from issuelab.session import stage
 
 log = logging.getLogger(__name__)
@@ -309,8 +310,10 @@ def _unpacked(like: Model, values: np.ndarray) -> Model:
     return Model(like.buckets, parts[0], parts[1 : k + 1], parts[k + 1 : -1], parts[-1], float(values[at]), like.pool)
 
 
+#: Labels that may be broadcast, also bounded by ``lookup.BROADCAST_BYTES``.
+LABELS = 2_000_000
 #: Tasks that add up the shards' models; the driver gets one sum of each.
-ADDERS = 16
+ADDERS = 4
 _SHARD = "shard int, n long, model binary"
 
 
@@ -337,7 +340,7 @@ def _trained(examples: DataFrame, start: Model, t: Training, shards: int, positi
             arrays = [pa.array([0], pa.int32()), pa.array([n], pa.int64()), pa.array([total.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, ["shard", "n", "model"])
 
-    tasks = min(shards, 200)
+    tasks = min(shards, 2000)
     models = examples.repartition(tasks, "shard").groupBy("shard").applyInArrow(learn, _SHARD)
     slot = F.pmod(F.col("shard"), F.lit(ADDERS))
     sums = models.repartition(ADDERS, slot).sortWithinPartitions("shard").mapInArrow(add, _SHARD).collect()
@@ -350,6 +353,9 @@ def _examples(docs: DataFrame, labels: DataFrame, t: Training, text: str) -> Dat
     """doc_id, label, word hashes, place in the order, and whether the row trains; a fifth is kept for the calibration."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label"))
+    # Texts are not shuffled as long as the labels fit a broadcast.
+    known = stage(known, "labels")
+    known = F.broadcast(known) if fits_broadcast(known, LABELS) else known
     rows = docs.select("doc_id", text_of(text).alias("text")).join(known, "doc_id")
     rows = rows.select("doc_id", "label", features(F.col("text"), t.buckets).alias("ids"))
     # A text that alone exceeds the room is no example; it stays where it is.
