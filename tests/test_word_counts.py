@@ -21,3 +21,9 @@ def test_no_text_is_shuffled(spark, sf, monkeypatch):
     plan = kept[0]._jdf.queryExecution().optimizedPlan().toString()
     assert "max_by(struct(" in plan and "word_counts" in plan
     assert not [line for line in plan.splitlines() if "max_by(struct(" in line and ("text#" in line or "body, body#" in line)]
+
+
+def test_the_clean_table_query_shuffles_digests(spark, sf):
+    plan = catalog.p21_clean_table(spark, str(sf))._jdf.queryExecution().optimizedPlan().toString()
+    gathered = [line for line in plan.splitlines() if "max_by(struct(" in line]
+    assert gathered and all("body_md5" in line and "text, text#" not in line for line in gathered)
