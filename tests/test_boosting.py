@@ -134,3 +134,18 @@ def test_without_held_out_rows_and_files(spark, tmp_path):
     assert boosting.load(spark, str(tmp_path / "m")) == model
     with pytest.raises(ValueError, match="bins"):
         boosting.start(frame(spark, rows), Boosting(bins=300))
+
+
+def test_rows_are_kept_in_blocks(spark, monkeypatch):
+    """A pass reads one row of the written table for many rows; small blocks and batches give the same trees."""
+    df = frame(spark, made(fits=2)).cache()
+    s = Boosting(min_child_weight=1.0, patience=5, step=0.3)
+    fits = boosting.grow(spark, boosting.start(df, s), 3)
+    written = spark.read.parquet(fits.rows)
+    assert written.agg(F.sum("size")).first()[0] == df.count() == 800
+    assert written.count() <= 2 * df.rdd.getNumPartitions()
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 7)
+    monkeypatch.setattr(boosting, "BATCH_BYTES", 500)
+    small = boosting.mark(spark, boosting.grow(spark, boosting.start(df, s), 2))
+    assert spark.read.parquet(small.rows).count() >= 800 / 7
+    assert boosting.grow(spark, small, 1).models == fits.models
