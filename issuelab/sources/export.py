@@ -17,6 +17,9 @@ field that a document lacks too; other fields are left out. ``_place`` (file, of
 
 Writing: a task's file has a name of its own and is moved to its place when the job commits. A row is a document
 with its fields in order; null fields are written as null. Files are opened with ``pyarrow.fs``.
+
+Rows travel as Arrow batches. Written ones are encoded a column at a time; those with types that have no such
+rule (dates, decimals, maps and others) row by row.
 """
 
 from __future__ import annotations
@@ -30,7 +33,14 @@ from datetime import UTC, datetime, timedelta
 from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceReader,
+    DataSourceWriter,
+    InputPartition,
+    WriterCommitMessage,
+)
 
 # The source runs in tasks and travels there whole, so that workers need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -42,6 +52,8 @@ LEAST, LARGEST = 5, 48 << 20
 CHAIN = 4
 SPLIT_BYTES = 128 << 20
 _EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+#: Documents, and bytes of them, that a task turns into an Arrow batch; rows that it encodes at a time.
+BATCH_ROWS, BATCH_BYTES, ENCODED_ROWS = 4096, 4 << 20, 1024
 
 
 class Broken(ValueError):
@@ -67,10 +79,22 @@ def decode(data: bytes, at: int = 0, as_list: bool = False) -> tuple[dict | list
         names, values = [], []
         while at < end - 1:
             kind = data[at]
-            name, at = _name(data, at + 1)
-            value, at = _value(kind, data, at)
-            names.append(name)
-            values.append(value)
+            stop = data.index(b"\0", at + 1)
+            names.append(data[at + 1 : stop].decode())
+            at = stop + 1
+            if kind == 0x02:  # texts and whole numbers are the most frequent
+                size = struct.unpack_from("<i", data, at)[0]
+                stop = at + 3 + size
+                if size < 1 or stop >= len(data) or data[stop]:
+                    raise Broken(f"no text at {at}")
+                values.append(data[at + 4 : stop].decode())
+                at = stop + 1
+            elif kind == 0x10:
+                values.append(struct.unpack_from("<i", data, at)[0])
+                at += 4
+            else:
+                value, at = _value(kind, data, at)
+                values.append(value)
         if at != end - 1:
             raise Broken(f"a document ends at {at}, not at {end - 1}")
     except (struct.error, IndexError, UnicodeDecodeError, OverflowError, RecursionError) as e:
@@ -158,6 +182,99 @@ def _field(name: str, value: object) -> bytes:
     return b"\x02" + key + struct.pack("<i", len(text) + 1) + text + b"\0"
 
 
+def _tagged(column, kind: T.DataType) -> list[tuple[bytes, bytes]]:
+    """Type byte and bytes of each value of an Arrow column."""
+    null = (b"\x0a", b"")
+    if isinstance(kind, T.StructType):
+        fields = [_named(f.name, c, f.dataType) for f, c in zip(kind, column.flatten())]
+        rows = zip(*fields) if fields else [()] * len(column)
+        known = column.is_valid().to_pylist()
+        return [(b"\x03", _document(b"".join(parts))) if k else null for k, parts in zip(known, rows)]
+    if isinstance(kind, T.ArrayType):
+        values, out, at = _tagged(column.flatten(), kind.elementType), [], 0
+        for n in column.value_lengths().to_pylist():
+            if n is None:
+                out.append(null)
+                continue
+            parts = [tag + b"%d\0" % k + value for k, (tag, value) in enumerate(values[at : at + n])]
+            out.append((b"\x04", _document(b"".join(parts))))
+            at += n
+        return out
+    if isinstance(kind, T.TimestampType):
+        return [null if v is None else (b"\x09", struct.pack("<q", v // 1000)) for v in column.cast("int64").to_pylist()]
+    values = column.to_pylist()
+    if isinstance(kind, T.StringType):
+        texts = [None if v is None else v.encode() for v in values]
+        return [null if t is None else (b"\x02", struct.pack("<i", len(t) + 1) + t + b"\0") for t in texts]
+    if isinstance(kind, T.BooleanType):
+        return [null if v is None else (b"\x08", b"\1" if v else b"\0") for v in values]
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return [null if v is None else (b"\x01", struct.pack("<d", v)) for v in values]
+    small = lambda v: -(1 << 31) <= v < 1 << 31
+    return [null if v is None else (b"\x10", struct.pack("<i", v)) if small(v) else (b"\x12", struct.pack("<q", v)) for v in values]
+
+
+def _named(name: str, column, kind: T.DataType) -> list[bytes]:
+    """The field ``name`` of each row's document."""
+    key = name.encode() + b"\0"
+    return [tag + key + value for tag, value in _tagged(column, kind)]
+
+
+def _document(body: bytes) -> bytes:
+    return struct.pack("<i", len(body) + 5) + body + b"\0"
+
+
+_BY_COLUMN = (
+    T.StringType, T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.TimestampType
+)
+
+
+def by_column(kind: T.DataType) -> bool:
+    """Whether values of the type can be encoded a column at a time."""
+    if isinstance(kind, T.StructType):
+        return all(by_column(f.dataType) for f in kind)
+    return by_column(kind.elementType) if isinstance(kind, T.ArrayType) else isinstance(kind, _BY_COLUMN)
+
+
+def arrow_type(kind: T.DataType):
+    """Arrow's type of a declared one."""
+    import pyarrow as pa
+
+    if isinstance(kind, T.ArrayType):
+        return pa.list_(arrow_type(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return pa.map_(arrow_type(kind.keyType), arrow_type(kind.valueType))
+    if isinstance(kind, T.StructType):
+        return pa.struct([pa.field(f.name, arrow_type(f.dataType)) for f in kind])
+    plain = {
+        T.StringType: pa.string(), T.BooleanType: pa.bool_(), T.IntegerType: pa.int32(), T.LongType: pa.int64(),
+        T.DoubleType: pa.float64(), T.FloatType: pa.float32(), T.TimestampType: pa.timestamp("us", tz="UTC"), T.BinaryType: pa.binary(),
+    }
+    for known, arrow in plain.items():
+        if isinstance(kind, known):
+            return arrow
+    raise ValueError(f"no export values of type {kind.simpleString()}")
+
+
+def typed_as(kind: T.DataType):
+    """``as_type`` for one type, made once; structs become dicts, maps pairs, as Arrow takes them."""
+    if isinstance(kind, T.StructType):
+        inner = [(f.name, typed_as(f.dataType)) for f in kind]
+        return lambda v: {n: of(v.get(n)) for n, of in inner} if isinstance(v, dict) else None
+    if isinstance(kind, T.ArrayType):
+        of = typed_as(kind.elementType)
+        return lambda v: [of(x) for x in v] if isinstance(v, list) else None
+    if isinstance(kind, T.MapType):
+        of = typed_as(kind.valueType)
+        return lambda v: [(k, of(x)) for k, x in v.items()] if isinstance(v, dict) else None
+    if isinstance(kind, T.StringType):
+        return lambda v: v if type(v) is str else as_type(v, kind)
+    if isinstance(kind, (T.IntegerType, T.LongType)):
+        room = 1 << (31 if isinstance(kind, T.IntegerType) else 63)
+        return lambda v: v if type(v) is int and -room <= v < room else as_type(v, kind)
+    return lambda v: None if v is None else as_type(v, kind)
+
+
 def as_type(value: object, kind: T.DataType) -> object:
     """``value`` as the declared type; null if it is of another one."""
     if value is None:
@@ -314,13 +431,30 @@ class ExportReader(DataSourceReader):
     def read(self, partition: Range) -> Iterator[tuple]:
         if not partition.size:
             return
+        import pyarrow as pa
+
         files, _ = _open(self.root)
-        fields = [(f.name, f.dataType) for f in self.schema]
+        schema = pa.schema([pa.field(f.name, arrow_type(f.dataType)) for f in self.schema])
+        # A place is given by position, whatever its fields are called.
+        placed = lambda kind: lambda place: dict(zip(kind.names, place))
+        fields = [(f.name, placed(f.dataType) if f.name == PLACE else typed_as(f.dataType)) for f in self.schema]
+
+        def batch(found: list[dict]) -> pa.RecordBatch:
+            columns = [[of(document.get(name)) for document in found] for name, of in fields]
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
         with files.open_input_file(partition.path) as stream:
+            found, size = [], 0
             for at, data in _File(stream, partition.size).documents(partition.begin, partition.end):
                 document, _ = decode(data)
-                place = (partition.path, at)
-                yield tuple(place if name == PLACE else as_type(document.get(name), kind) for name, kind in fields)
+                document[PLACE] = (partition.path, at)
+                found.append(document)
+                size += len(data)
+                if len(found) >= BATCH_ROWS or size >= BATCH_BYTES:
+                    yield batch(found)
+                    found, size = [], 0
+            if found:
+                yield batch(found)
 
 
 @dataclass
@@ -333,16 +467,19 @@ class ExportWriter(DataSourceWriter):
         self.root, self.overwrite = options["path"].rstrip("/"), overwrite
 
     def write(self, iterator: Iterator) -> Written:
+        return self._write(encode(list(zip(row.__fields__, row))) for row in iterator)
+
+    def _write(self, documents: Iterator[bytes]) -> Written:
         import uuid
 
         files, top = _open(self.root)
         sink, path = None, None
-        for row in iterator:
+        for data in documents:
             if sink is None:
                 files.create_dir(f"{top}/_pending", recursive=True)
                 path = f"{top}/_pending/{uuid.uuid4().hex}.bson"
                 sink = files.open_output_stream(path, buffer_size=1 << 20)
-            sink.write(encode(list(zip(row.__fields__, row))))
+            sink.write(data)
         if sink is not None:
             sink.close()
         return Written(path)
@@ -372,6 +509,21 @@ class ExportWriter(DataSourceWriter):
             files.delete_dir(f"{top}/_pending")
 
 
+class ExportColumnWriter(ExportWriter, DataSourceArrowWriter):
+    """Gets Arrow batches, for schemas of types that are encoded by column."""
+
+    def __init__(self, options: dict, overwrite: bool, schema: T.StructType):
+        super().__init__(options, overwrite)
+        self.schema = schema
+
+    def write(self, iterator: Iterator) -> Written:
+        return self._write(
+            b"".join(map(_document, map(b"".join, zip(*(_named(f.name, c, f.dataType) for f, c in zip(self.schema, part.columns))))))
+            for batch in iterator
+            for part in (batch.slice(at, ENCODED_ROWS) for at in range(0, batch.num_rows, ENCODED_ROWS))
+        )
+
+
 class ExportSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -381,6 +533,8 @@ class ExportSource(DataSource):
         return ExportReader(dict(self.options), schema)
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
+        if len(schema) and by_column(schema):
+            return ExportColumnWriter(dict(self.options), overwrite, schema)
         return ExportWriter(dict(self.options), overwrite)
 
 
