@@ -18,7 +18,8 @@ sets that share a shingle are searched in one task each; then lists within one o
 as empty, and only pairs across groups are searched, by prefixes of
 ``LONGER`` times as many lists as must be merged. So a large family of copies costs a pair for each copy,
 sets that share long passages are searched by what else they hold, and no link between groups is missed.
-Pairs whose parity sketches already differ in more places than a link allows are not formed.
+Pairs whose parity sketches already differ in more places than a link allows are not formed. Lists of the same
+sets count as one there, so sets that share a long passage are paired once and not at each of its shingles.
 
 Shingles, and sets, are told apart by 64-bit hashes. Defined results: null texts, and texts without words,
 have an empty set, link with nothing and are their own component. Fewer than ``width`` words are one
@@ -214,7 +215,10 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     small = fits_broadcast(alive, MAX_BROADCAST_NODES)
     chosen = F.broadcast(alive.select("node")) if small else alive.select("node")
     shared = stage(shared.join(chosen, "node", "left_semi"), "searched")
-    sets = _with_sets(docs, join, True, text).select("_s.*").join(chosen, "node", "left_semi")
+    # Of the rows of a node one id's are read again. Ids may be null or repeated: what else they bring is left out.
+    firsts = signed.join(chosen, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("first")).select("first")
+    read = docs.join(F.broadcast(firsts) if small else firsts, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    sets = _with_sets(read, join, True, text).select("_s.*").join(chosen, "node", "left_semi")
     sets = stage(sets.dropDuplicates(["node"]), "sets")
 
     # First pass: the first set of most lists.
@@ -238,16 +242,26 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     short = F.expr(f"n - ({join.percent} * n + 99) div 100 + 1")
     longer = F.least(F.col("n"), LONGER * short)
     postings = sets.join(rest, "node").select("node", "n", "root", *SKETCH, F.explode(F.slice("part", F.lit(1), longer.cast("int"))).alias("h"))
-    lists = postings.groupBy("h").agg(F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-    across = stage(postings.join(lists.where("lo <> hi").select("h", "df"), "h"), "across")
+    lists = postings.groupBy("h").agg(
+        F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("l")
+    )
+    across = stage(postings.join(lists.where("lo <> hi").select("h", "df", "l"), "h"), "across")
     by_length = Window.partitionBy("node").orderBy("df", "h")
     counted = across.withColumn("place", F.row_number().over(by_length)).withColumn(
         "mixed", F.count("*").over(Window.partitionBy("node"))
     )
     # Lists that are the set's own, or within its group, are merged first and for free.
     asked = counted.where(F.col("place") <= short - (longer - F.col("mixed")))
-    side = lambda df, x: df.select(
-        "h", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "root", *SKETCH)]
+    second = _verified(_candidates(asked, across, join).select("a", "b").distinct(), sets, join)
+    return first.unionByName(second)
+
+
+def _candidates(asked: DataFrame, across: DataFrame, join: Join) -> DataFrame:
+    """Pairs (a, b) of sets of two groups that may link: ``a`` asks for one of its lists and ``b`` is in it."""
+    # The shingles of a passage have one list, that of the sets with the passage. Sets are paired once a list, by the
+    # hash of its nodes; should two lists share a hash, their sets are paired too, and the probe decides.
+    side = lambda df, x: df.dropDuplicates(["node", "l"]).select(
+        "l", F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n", "root", *SKETCH)]
     )
     asked, other = side(asked, "a"), side(across, "b")
     later = (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("a") < F.col("b")))
@@ -256,9 +270,7 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     least = f"(({join.percent} * (n_a + n_b) + {99 + join.percent}) div {100 + join.percent})"
     near = differ <= F.expr(f"n_a + n_b - 2 * {least}")
     fit = later & _sizes_fit(join, "n_a", "n_b") & near
-    pairs = asked.join(other, "h").where((F.col("root_a") != F.col("root_b")) & fit)
-    second = _verified(pairs.select("a", "b").distinct(), sets, join)
-    return first.unionByName(second)
+    return asked.join(other, "l").where((F.col("root_a") != F.col("root_b")) & fit)
 
 
 def _across(shared: DataFrame, groups: DataFrame, join: Join) -> DataFrame:

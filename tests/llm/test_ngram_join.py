@@ -110,3 +110,33 @@ def test_components_without_an_id_of_their_own_keep_a_row_each(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     kept = sorted(((r["doc_id"], r["text"]) for r in ngram_join.keep_one(df).collect()), key=str)
     assert kept == sorted([*rows[:5], rows[7], *rows[9:]], key=str)
+
+
+def test_a_shared_passage_pairs_its_sets_once(spark):
+    """Shingles with the same list give one row a pair, and lists that only one of them asks for are still met."""
+    sketch = dict.fromkeys(ngram_join.SKETCH, 0)
+    post = lambda node, lists: [{"node": node, "n": 100, "root": node, "h": h, "l": l, **sketch} for h, l in lists]
+    passage = [(h, 7) for h in range(60)]
+    across = spark.createDataFrame(post(1, passage) + post(2, [*passage, (90, 8)]) + post(3, [(90, 8)]))
+    asked = across.where("h >= 30")
+    rows = ngram_join._candidates(asked, across, Join()).select("a", "b").collect()
+    assert sorted(map(tuple, rows)) == [(1, 2), (2, 3)]
+
+
+def test_only_one_row_of_a_searched_set_is_read_again(spark, monkeypatch):
+    """Texts that share nothing, and further copies, are not split into shingles a second time; ids may repeat."""
+    rng = random.Random(5)
+    text = lambda n: " ".join(f"w{rng.randrange(10**9)}" for _ in range(n))
+    near = text(60)
+    rows = [(k, text(60)) for k in range(100, 140)] + [(k, near) for k in range(30)] + [(None, near + " end"), (100, near + " fin")]
+    read, plain = [], ngram_join._with_sets
+
+    def counted(docs, join, whole, text):
+        read.extend([docs.count()] if whole else [])
+        return plain(docs, join, whole, text)
+
+    monkeypatch.setattr(ngram_join, "_with_sets", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.with_components(docs, Join()).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows, Join())))
+    assert read and read[0] <= 4
