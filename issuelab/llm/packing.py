@@ -56,26 +56,64 @@ class Penalties:
     grid: int = 16
 
 
+#: Kinds of characters, as the vocabulary's splitter tells them apart; runs with an odd one are split one by one.
+_SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
+#: Code points in the character tables; all above share the last entry.
+_TOP = 1 << 16
+
+
+def _character_tables(odd: str) -> tuple[np.ndarray, np.ndarray]:
+    """Kind, and lower case, of each code point.
+
+    Odd are the characters of ``odd``, and those that may compose with another one, whose lower case is longer, of
+    another kind or depends on what stands around them, or that lie above the tables.
+    """
+    import unicodedata
+
+    import regex
+
+    chars = "".join(chr(k) for k in range(_TOP) if not 0xD800 <= k < 0xE000)
+    kinds = dict.fromkeys(chars, _OTHER)
+    kinds.update(dict.fromkeys(regex.findall(r"\p{L}", chars), _LETTER))
+    kinds.update(dict.fromkeys(regex.findall(r"\p{N}", chars), _NUMBER))
+    jamo = regex.compile(r"[\u1100-\u11ff\ua960-\ua97f\ud7b0-\ud7ff]").match
+    kind, lower = np.full(_TOP + 1, _ODD, np.uint8), np.arange(_TOP + 1, dtype=np.uint32)
+    for c in chars:
+        small = c.lower()
+        if c.isspace():
+            kind[ord(c)] = _SPACE
+        elif (
+            c not in odd
+            and kinds.get(small) == kinds[c]
+            and unicodedata.category(c)[0] != "M"
+            and not jamo(c)
+            and unicodedata.is_normalized("NFC", c)
+        ):
+            kind[ord(c)], lower[ord(c)] = kinds[c], ord(small)
+    return kind, lower
+
+
 class WordTokens:
-    """Token ids of whole texts by a word-level vocabulary, each distinct word encoded once.
+    """Token ids of whole texts by a word-level vocabulary, each distinct piece encoded once.
 
-    The vocabulary's normaliser and splitter work on the runs between white space one by one, and every
-    split piece ends in a token with a word-end mark; so new pieces are encoded many at a time and cut
-    apart at the marks. Texts with control characters on which Python and the tokenizer differ about white
-    space, and runs that hold a special token, are encoded whole.
+    The vocabulary's normaliser and splitter work on the runs between white space one by one. Most runs are cut into
+    pieces by the kinds of their characters, for many texts at once; runs with an odd character are pieces themselves,
+    split by the vocabulary's rule when they are new. Every split piece ends in a token with a word-end mark, so new
+    pieces are encoded many at a time and cut apart at the marks. Texts with control characters on which Python and the
+    tokenizer differ about white space, and runs that hold a special token, are encoded whole.
     """
 
-    _ODD = "\x1c\x1d\x1e\x1f"
+    _CONTROL = "\x1c\x1d\x1e\x1f"
     SEGMENT = 1 << 20
 
-    def __init__(self, path: str, end_id: int, remember: int = 150_000):
+    def __init__(self, path: str, end_id: int, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.end = np.array([end_id], "<u4").tobytes()
-        self.remember = remember
+        self.remember = remember  # pieces, 200 bytes or so each
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         for token, number in vocabulary.items():
@@ -83,39 +121,46 @@ class WordTokens:
         # Special tokens are read inside texts, too. All begin alike; without a common start every run is read whole.
         special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.opening = os.path.commonprefix(special) if special else "\x00"
-        # Fixed value: the splitting rule of the vocabulary.
+        # Fixed value: the splitting rule of the vocabulary. Where it is more than the kinds of characters, by an
+        # apostrophe, runs are odd.
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-        self.runs: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.kind, self.lower = _character_tables("'Σ" + self.opening[:1])
+        if not self.opening:
+            self.kind[self.kind != _SPACE] = _ODD
+        # Pieces met lately and before; those met again move up, the others go when the first half is full.
+        self.known: dict[str, bytes] = {}
+        self.former: dict[str, bytes] = {}
 
     def _encode(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, runs: set[str]) -> None:
-        """Encode unknown runs."""
-        split, plain = {}, []
-        for run in runs:
+    def _learn(self, plain: list[str], odd: list[str]) -> None:
+        """Encode unknown pieces, and unknown runs with odd characters."""
+        split = {}
+        for run in odd:
             if self.opening in run or not run.isascii() and self._needs_whole(run):
-                self.runs[run] = self._encode(run)
+                self.known[run] = self._encode(run)
             else:
                 split[run] = self.split(run.lower())
-        new = list({p for ps in split.values() for p in ps if p not in self.pieces})
+        new = list({*plain, *(p for parts in split.values() for p in parts)})
         joined = [" ".join(new[k : k + 512]) for k in range(0, len(new), 512)]
+        pieces: dict[str, bytes] = {}
         for k, got in enumerate(self.tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
             ids = np.array(got.ids, "<u4")
             ends = np.flatnonzero(self.closes[ids]) + 1
             group = new[k * 512 : (k + 1) * 512]
             if len(ends) != len(group):  # a piece that the tokenizer splits in another way
-                self.pieces.update((p, self._encode(p)) for p in group)
+                pieces.update((p, self._encode(p)) for p in group)
                 continue
             raw, at = ids.tobytes(), 0
             for piece, end in zip(group, (ends * 4).tolist()):
-                self.pieces[piece] = raw[at:end]
+                pieces[piece] = raw[at:end]
                 at = end
-        pieces = self.pieces
+        for piece in plain:
+            self.known[piece] = pieces[piece]
         for run, parts in split.items():
-            self.runs[run] = b"".join([pieces[p] for p in parts])
+            self.known[run] = b"".join([pieces[p] for p in parts])
 
     def _needs_whole(self, run: str) -> bool:
         """Runs whose composition or lower case could change how they split."""
@@ -124,33 +169,96 @@ class WordTokens:
         return not unicodedata.is_normalized("NFC", run) or len(run.lower()) != len(run) or "Σ" in run
 
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-        """For each text its packed ids, the tokens of each run, and which runs end a sentence."""
-        if sum(map(len, texts)) <= self.SEGMENT:
-            for raw, sizes, stops in self._encode_all(texts):
-                yield raw + self.end, sizes, stops
-            return
-        for text in texts:  # long ones, a segment at a time
+        """For each text its packed ids, the tokens of each piece, and which pieces end a sentence."""
+        group, held = [], 0
+        for text in texts:
+            if group and held + len(text) > self.SEGMENT:
+                for raw, sizes, stops in self._encode_all(group):
+                    yield raw + self.end, sizes, stops
+                group, held = [], 0
+            if len(text) <= self.SEGMENT:
+                group.append(text)
+                held += len(text)
+                continue
+            # A long one, a segment at a time.
             raws, sizes, stops = zip(*(g for s in _segments(text, self.SEGMENT) for g in self._encode_all([s])))
             yield b"".join(raws) + self.end, np.concatenate(sizes), np.concatenate(stops)
+        for raw, sizes, stops in self._encode_all(group):
+            yield raw + self.end, sizes, stops
+
+    def _ids_of(self, keys: list[str], odd: np.ndarray) -> list[bytes]:
+        """Packed ids of each of some distinct pieces."""
+        if len(self.known) > self.remember // 2:
+            self.known, self.former = {}, self.known
+        known, former = self.known, self.former
+        found = list(map(known.get, keys))
+        plain, runs, missing = [], [], []
+        for k in [k for k, ids in enumerate(found) if ids is None]:
+            key = keys[k]
+            ids = former.get(key)
+            if ids is None:
+                (runs if odd[k] else plain).append(key)
+                missing.append(k)
+            else:
+                known[key] = found[k] = ids
+        self._learn(plain, runs)
+        for k in missing:
+            found[k] = known[keys[k]]
+        return found
 
     def _encode_all(self, texts: list[str]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray]]:
-        split = [None if any(c in t for c in self._ODD) else t.split() for t in texts]
-        wanted = {r for runs in split if runs for r in runs}
-        if len(self.pieces) > self.remember // 3:  # 200 bytes or so each: 40 MB in all
-            self.pieces = {}
-        if len(self.runs) > self.remember:  # what these texts use stays, and with it the frequent words
-            self.runs = {r: self.runs[r] for r in wanted if r in self.runs}
-        known = self.runs
-        self._learn(wanted - known.keys())
-        for text, runs in zip(texts, split):
-            if runs is None:
-                raw = self._encode(text)
-                yield raw, np.array([len(raw) // 4]), np.array([False])
-                continue
-            parts = [known[r] for r in runs]
-            sizes = np.fromiter(map(len, parts), np.int64, len(parts)) >> 2
-            stops = np.array([r[-1] in ".!?" for r in runs], bool)
-            yield b"".join(parts), sizes, stops
+        whole = {k: self._encode(t) for k, t in enumerate(texts) if any(c in t for c in self._CONTROL)}
+        split = ["" if k in whole else t for k, t in enumerate(texts)]
+        chars = np.frombuffer("\n".join([*split, ""]).encode("utf-32-le"), "<u4")
+        kind = self.kind[np.minimum(chars, _TOP)]
+        solid = np.flatnonzero(kind != _SPACE)
+        chars, kind = chars[solid], kind[solid]
+
+        begins_run = np.ones(len(solid) + 1, bool)
+        begins_run[1:-1] = solid[1:] != solid[:-1] + 1
+        begins = begins_run.copy()
+        begins[1:-1] |= (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER)
+        written = self.lower[np.minimum(chars, _TOP)]
+        odd = np.flatnonzero(kind == _ODD)
+        if len(odd):  # runs with one are a piece each, in their own case
+            run = begins_run[:-1].cumsum() - 1
+            in_odd = np.zeros(run[-1] + 1, bool)
+            in_odd[run[odd]] = True
+            in_odd = in_odd[run]
+            begins[:-1] &= begins_run[:-1] | ~in_odd
+            written = np.where(in_odd, chars, written)
+        else:
+            in_odd = np.zeros(len(solid), bool)
+
+        bounds = np.flatnonzero(begins)
+        first, last = bounds[:-1], bounds[1:] - 1
+        buffers = [None, pa.py_buffer(bounds * 4), pa.py_buffer(np.ascontiguousarray(written, "<u4"))]
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(first), buffers).dictionary_encode()
+        index, distinct = pieces.indices.to_numpy(), pieces.dictionary
+        keys: list[str] = []
+        if len(distinct):
+            text = distinct.buffers()[2].to_pybytes().decode("utf-32-le")
+            ends = (np.frombuffer(distinct.buffers()[1], np.int64)[: len(distinct) + 1] // 4).tolist()
+            keys = [text[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        key_odd = np.zeros(len(keys), bool)
+        key_odd[index] = in_odd[first]
+        found = self._ids_of(keys, key_odd)
+
+        key_sizes = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        sizes = key_sizes[index]
+        shift = (key_sizes.cumsum() - key_sizes)[index] - (sizes.cumsum() - sizes)
+        ids = np.frombuffer(b"".join(found), "<u4")[np.arange(sizes.sum()) + np.repeat(shift, sizes)]
+        stops = begins_run[bounds[1:]] & np.isin(chars[last], [ord(c) for c in ".!?"])
+
+        until = np.searchsorted(solid[first], np.cumsum([len(t) + 1 for t in split])).tolist()
+        tokens = np.concatenate([[0], sizes.cumsum()])
+        a = 0
+        for k, b in enumerate(until):
+            if k in whole:
+                yield whole[k], np.array([len(whole[k]) // 4]), np.array([False])
+            else:
+                yield ids[tokens[a] : tokens[b]].tobytes(), sizes[a:b], stops[a:b]
+            a = b
 
 
 def _segments(text: str, size: int) -> Iterator[str]:

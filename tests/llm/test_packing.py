@@ -121,3 +121,30 @@ def test_cuts_fall_at_sentence_ends(spark, sf):
                 inside += end not in set(sizes.cumsum()[stops].tolist())
     padding = sum(4096 - n for n in used.values() if n.bit_count() > 1)
     assert cuts > 100 and inside < 0.02 * cuts and padding < 0.01 * sum(used.values())
+
+
+def test_a_piece_in_use_is_encoded_once():
+    """However it is cased and punctuated, while other pieces come and go; kept pieces are bounded."""
+    encoder = packing.WordTokens(PATH, 2, remember=400)
+    given, plain = Counter(), encoder.tokenizer
+
+    class Counted:
+        def encode(self, text, **options):
+            given.update(text.split())
+            return plain.encode(text, **options)
+
+        def encode_batch_fast(self, texts, **options):
+            given.update(p for t in texts for p in t.split())
+            return plain.encode_batch_fast(texts, **options)
+
+    name = lambda k: "".join("abcdefghij"[int(d)] for d in f"{k:05}")
+    steady = [name(k) for k in range(110)]
+    encoder.tokenizer = Counted()
+    for turn in range(20):
+        passing = [name(1000 + 20 * turn + k) for k in range(20)]
+        forms = [w.upper() + "," if (k + turn) % 2 else f'"{w}."' for k, w in enumerate([*steady, *passing])]
+        texts = [" ".join(forms[::2]), " ".join(forms[1::2])]
+        got = [raw for raw, _, _ in encoder.encode(texts)]
+        assert [g[:-4] for g in got] == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert max(given[w] for w in steady) == 1
+    assert len(encoder.known) + len(encoder.former) <= 400 + 140
