@@ -18,6 +18,8 @@ sets that share a shingle are searched in one task each; then lists within one o
 as empty, and only pairs across groups are searched, by prefixes of
 ``LONGER`` times as many lists as must be merged. So a large family of copies costs a pair for each copy,
 sets that share long passages are searched by what else they hold, and no link between groups is missed.
+There all sets order their lists alike, empty ones first, then the shortest, and a pair must meet early in both
+orders: so neither set brings its long lists, those of a family for example, unless it has no others.
 Pairs whose parity sketches already differ in more places than a link allows are not formed. Lists of the same
 sets count as one there, so sets that share a long passage are paired once and not at each of its shingles.
 
@@ -124,7 +126,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 #: Words of the parity sketch. Bit k is the parity of the shingles that hash to k, so the bits in which two
 #: sketches differ are at most as many as the shingles that only one of the sets has.
-SKETCH = ("s0", "s1", "s2", "s3")
+SKETCH = tuple(f"s{k}" for k in range(16))
 
 
 def _sketch(shingles: np.ndarray) -> np.ndarray:
@@ -132,18 +134,20 @@ def _sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-_SIGNED = StructType().add("node", LongType()).add("n", LongType()).add("part", ArrayType(LongType()))
-for _word in SKETCH:
-    _SIGNED.add(_word, LongType())
+def _signed_type(sketched: bool) -> StructType:
+    signed = StructType().add("node", LongType()).add("n", LongType()).add("part", ArrayType(LongType()))
+    for word in SKETCH if sketched else ():
+        signed.add(word, LongType())
+    return signed
 
 
 def _signed(join: Join, whole: bool) -> Column:
-    """Column function: text to node, size, and the whole set or its indexed prefix.
+    """Column function: text to node, size, and the whole set with its sketch, or its indexed prefix.
 
     A task leaves out the prefix of a node that it has met already; copies add nothing to the index.
     """
 
-    @F.arrow_udf(_SIGNED)
+    @F.arrow_udf(_signed_type(whole))
     def sign(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         shingle, met = Shingler(join), set()
         for texts in parts:
@@ -153,16 +157,18 @@ def _signed(join: Join, whole: bool) -> Column:
                 node = _node(s)
                 nodes.append(node)
                 sizes.append(len(s))
-                sketches.append(_sketch(s))
-                if not whole:
+                if whole:
+                    sketches.append(_sketch(s))
+                else:
                     s = s[:0] if node in met else s[: join.prefix(len(s))]
                     if len(met) < 200_000:
                         met.add(node)
                 sets.append(s)
-            words = np.array(sketches, np.int64).reshape(-1, len(SKETCH)).T
             columns = [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), _lists(sets)]
-            columns += [pa.array(np.ascontiguousarray(w)) for w in words]
-            yield pa.StructArray.from_arrays(columns, names=["node", "n", "part", *SKETCH])
+            if whole:
+                words = np.array(sketches, np.int64).reshape(-1, len(SKETCH)).T
+                columns += [pa.array(np.ascontiguousarray(w)) for w in words]
+            yield pa.StructArray.from_arrays(columns, names=_signed_type(whole).names)
         met.clear()
         release_memory()
 
@@ -239,23 +245,45 @@ def links(docs: DataFrame, signed: DataFrame, join: Join, text: str = "text") ->
     # Second pass: only sets with enough lists across groups, under longer prefixes, so that even sets made
     # up of common passages for the most part have rare shingles to be searched by.
     rest = _across(grouped.drop("root"), groups, join).select("node", "root").distinct()
-    short = F.expr(f"n - ({join.percent} * n + 99) div 100 + 1")
-    longer = F.least(F.col("n"), LONGER * short)
-    postings = sets.join(rest, "node").select("node", "n", "root", *SKETCH, F.explode(F.slice("part", F.lit(1), longer.cast("int"))).alias("h"))
+    longer, merged, asking = (F.expr(e) for e in _early(join))
+    postings = sets.join(rest, "node").select("node", "n", "root", F.explode(F.slice("part", F.lit(1), longer.cast("int"))).alias("h"))
     lists = postings.groupBy("h").agg(
         F.count("*").alias("df"), F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("l")
     )
-    across = stage(postings.join(lists.where("lo <> hi").select("h", "df", "l"), "h"), "across")
-    by_length = Window.partitionBy("node").orderBy("df", "h")
-    counted = across.withColumn("place", F.row_number().over(by_length)).withColumn(
+    across = postings.join(lists.where("lo <> hi").select("h", "df", "l"), "h")
+    # Lists that are the set's own, or within its group, come first and for free. All sets order the others alike.
+    by_length = Window.partitionBy("node").orderBy("df", "l", "h")
+    placed = across.withColumn("place", F.row_number().over(by_length)).withColumn(
         "mixed", F.count("*").over(Window.partitionBy("node"))
+    ).withColumn("place", F.col("place") + longer - F.col("mixed"))
+    early = placed.where(F.col("place") <= merged).groupBy("node", "l").agg(
+        F.first("n").alias("n"), F.first("root").alias("root"), F.min("place").alias("place")
     )
-    # Lists that are the set's own, or within its group, are merged first and for free.
-    asked = counted.where(F.col("place") <= short - (longer - F.col("mixed")))
-    second = _verified(_candidates(asked, across, join).select("a", "b").distinct(), sets, join)
+    early = stage(early.join(sets.select("node", *SKETCH), "node"), "early")
+    asked = early.where(F.col("place") <= asking)
+    second = _verified(_candidates(asked, early, join).select("a", "b").distinct(), sets, join)
     return first.unionByName(second)
 
 
+def _early(join: Join) -> tuple[str, str, str]:
+    """SQL for a set of ``n``: its longer prefix, and the first places of its order of lists in which it meets a partner:
+    any partner, and one that is not smaller.
+
+    Of two linked sets' prefixes, with L(n) and L(m) lists and an overlap of O, the one that ends first lies in what the
+    other prefix covers, so they share s = min(L(n) - (n - O), L(m) - (m - O)) lists at least. The first of these in the
+    common order stands behind L(n) - s lists at most. For partners that are not smaller this is greatest for the
+    smallest or the largest one, but for rounding, which ``LONGER`` covers.
+    """
+    p = join.percent
+    short = lambda n: f"({n} - ({p} * {n} + 99) div 100 + 1)"
+    longer = lambda n: f"least({n}, {LONGER} * {short(n)})"
+    overlap = lambda n, m: f"(({p} * ({n} + {m}) + {99 + p}) div {100 + p})"
+    most = f"(100 * n div {p})"
+    behind = [f"n - {overlap('n', 'n')}", f"{longer('n')} - {longer(most)} + {most} - {overlap('n', most)}"]
+    asking = f"least({short('n')}, greatest({behind[0]}, {behind[1]}) + 1 + {LONGER})"
+    return longer("n"), f"{short('n')} + {LONGER}", asking
+
+
 def _candidates(asked: DataFrame, across: DataFrame, join: Join) -> DataFrame:
     """Pairs (a, b) of sets of two groups that may link: ``a`` asks for one of its lists and ``b`` is in it."""
     # The shingles of a passage have one list, that of the sets with the passage. Sets are paired once a list, by the

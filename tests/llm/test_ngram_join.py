@@ -140,3 +140,41 @@ def test_only_one_row_of_a_searched_set_is_read_again(spark, monkeypatch):
     got = ngram_join.with_components(docs, Join()).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, brute(rows, Join())))
     assert read and read[0] <= 4
+
+
+@pytest.mark.parametrize("percent", [34, 60, 80, 85, 93, 100])
+def test_linked_sets_meet_in_the_places_that_they_bring(spark, percent):
+    """The worst place of the first shared list, for each two sizes that may link, lies within the bounds."""
+    join, top = Join(4, percent), 900
+    names = [f"{e} as c{k}" for k, e in enumerate(ngram_join._early(join))]
+    table = spark.range(1, 100 * top // percent + 2).selectExpr("id as n").selectExpr("n", *names).orderBy("n").collect()
+    longer, met, asked = ([None, *(r[f"c{k}"] for r in table)] for k in range(3))
+    for n in range(1, top):
+        for m in range(n, 100 * n // percent + 1):
+            overlap = -(-percent * (n + m) // (100 + percent))
+            shared = min(longer[n] - (n - overlap), longer[m] - (m - overlap))
+            assert longer[n] - shared + 1 <= asked[n] and longer[m] - shared + 1 <= met[m], (n, m)
+
+
+def test_near_families_are_paired_by_their_rare_lists(spark, monkeypatch):
+    """Copies of a text that are just too far from each other to link bring few lists, and few pairs."""
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(20):
+        w = list(base)
+        for at in range(4 * k, 400, 80):
+            w[at] = f"x{k}y{at}"
+        rows.append((k, " ".join(w)))
+    made, plain = [], ngram_join._candidates
+
+    def counted(asked, other, join):
+        pairs = plain(asked, other, join)
+        made.append((asked.count(), other.count(), pairs.count()))
+        return pairs
+
+    monkeypatch.setattr(ngram_join, "_candidates", counted)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = ngram_join.with_components(docs, Join()).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, Join())
+    (asked, other, pairs), = made
+    assert 0 < asked <= other <= 20 * 64 and pairs <= 190, made
