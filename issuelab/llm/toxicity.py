@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from issuelab.llm.common import bounded_batches, text_of
+from issuelab.llm.common import bind, bounded_batches, text_of
 from issuelab.llm.quality import STOP_WORDS
 from issuelab.operators.lookup import fits_broadcast
 from issuelab.session import stage
@@ -80,7 +80,7 @@ def held_out(doc_id: Column) -> Column:
 
 def features(text: Column, buckets: int) -> Column:
     """Words as hashes: three numbers a word (whole, first letters, last letters)."""
-    words = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w != "")
+    words = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+"), F.lit(0))
     number = lambda w, seed: F.pmod(F.xxhash64(F.lit(seed), w), F.lit(buckets)).cast("int")
     return F.flatten(
         F.transform(
@@ -101,12 +101,15 @@ def stop_tables(spark: SparkSession, buckets: int) -> np.ndarray:
 
 def language(tables: np.ndarray, ids: np.ndarray) -> int:
     """Number of the language with most function words in the text; the last number if there are none."""
-    counts = tables[:, ids[:, 0]].sum(axis=1)
+    counts = np.count_nonzero(tables.take(ids[:, 0], axis=1), axis=1)
     return int(counts.argmax()) if counts.any() else len(LANGUAGES)
 
 
 def _word_vectors(vectors: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    return vectors[ids[:, 0]] + vectors[ids[:, 1]] + vectors[ids[:, 2]]
+    x = vectors.take(ids[:, 0], axis=0)
+    x += vectors.take(ids[:, 1], axis=0)
+    x += vectors.take(ids[:, 2], axis=0)
+    return x
 
 
 def _activations(model: Model, x: np.ndarray) -> list[np.ndarray]:
@@ -350,33 +353,39 @@ def _trained(examples: DataFrame, start: Model, t: Training, shards: int, positi
 
 
 def _examples(docs: DataFrame, labels: DataFrame, t: Training, text: str) -> DataFrame:
-    """doc_id, label, word hashes, place in the order, and whether the row trains; a fifth is kept for the calibration."""
+    """doc_id, label, word hashes, place in the order, and whether the row trains; a fifth is kept for the calibration.
+
+    The hashes of a text beyond the room are null.
+    """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("label"))
     # Texts are not shuffled as long as the labels fit a broadcast.
     known = stage(known, "labels")
     known = F.broadcast(known) if fits_broadcast(known, LABELS) else known
     rows = docs.select("doc_id", text_of(text).alias("text")).join(known, "doc_id")
-    rows = rows.select("doc_id", "label", features(F.col("text"), t.buckets).alias("ids"))
-    # A text that alone exceeds the room is no example; it stays where it is.
-    rows = rows.where(F.size("ids") <= 3 * t.sample_words)
+    # No filter on the hashes: it would be pushed below the join, and every text hashed there and once more above.
+    ids = bind(features(F.col("text"), t.buckets), lambda ids: F.when(F.size(ids) <= 3 * t.sample_words, ids))
     spread = F.xxhash64(F.lit(t.seed), F.col("doc_id"))
-    return rows.select("*", spread.alias("spread"), (F.pmod(spread, F.lit(5)) != 0).alias("trains"))
+    return rows.select(
+        "doc_id", "label", ids.alias("ids"), spread.alias("spread"), (F.pmod(spread, F.lit(5)) != 0).alias("trains")
+    )
 
 
 def fit(docs: DataFrame, labels: DataFrame, t: Training = Training(), text: str = "text") -> Model | None:
     """Train on all labelled rows outside the held-out fold; a fifth of them is kept for the calibration."""
     bounded_batches(docs.sparkSession)
-    every = stage(_examples(docs, labels, t, text), "toxicity")
-    one = F.count_if(F.col("label") == 1).alias("toxic")
-    both = every.agg(F.count("*").alias("n"), one).first()
-    if not 0 < both["toxic"] < both["n"]:
-        log.warning("no toxicity model: %d usable labelled texts, not of both classes; all scores are 0", both["n"])
+    # A text that alone exceeds the room is no example; its hashes are not written.
+    every = stage(_examples(docs, labels, t, text), "toxicity").where("ids is not null")
+    sums = (F.count("*").alias("n"), F.count_if(F.col("label") == 1).alias("toxic"), F.sum(F.size("ids") / 3).alias("words"))
+    sizes = {r["trains"]: r for r in every.groupBy("trains").agg(*sums).collect()}
+    n, toxic = (sum(r[c] for r in sizes.values()) for c in ("n", "toxic"))
+    if not 0 < toxic < n:
+        log.warning("no toxicity model: %d usable labelled texts, not of both classes; all scores are 0", n)
         return None
-    learning = every.where("trains")
-    size = learning.agg(F.count("*").alias("n"), one, F.sum(F.size("ids") / 3).alias("words")).first()
-    if not size["n"]:  # a handful of rows
-        learning, size = every, every.agg(F.count("*").alias("n"), one, F.sum(F.size("ids") / 3).alias("words")).first()
+    if True in sizes:
+        learning, size = every.where("trains"), sizes[True]
+    else:  # a handful of rows
+        learning, size = every, sizes[False]
     seen = learning.select("label", F.explode(F.array_distinct("ids")).alias("id")).groupBy("label", "id").count().collect()
     counts = np.zeros((2, t.buckets))
     for r in seen:

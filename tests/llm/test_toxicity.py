@@ -84,3 +84,21 @@ def test_every_labelled_row_counts(spark):
     assert scored.where("predicted != toxic").count() == 0
     again = toxicity.fit(docs, labels, t)
     assert np.array_equal(model.vectors, again.vectors) and np.array_equal(model.shifts, again.shifts)
+
+
+def test_words_are_hashed_once_and_only_of_labelled_texts(spark):
+    docs = spark.createDataFrame([(i, f"some words {i}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    plan = toxicity._examples(docs, labels, toxicity.Training(), "text")._jdf.queryExecution().optimizedPlan().toString()
+    hashing = [k for k, line in enumerate(plan.splitlines()) if "xxhash64(1, " in line]
+    joining = [k for k, line in enumerate(plan.splitlines()) if "Join" in line]
+    assert plan.count("xxhash64(1, ") == 1 and hashing[0] < joining[0]
+
+
+def test_words_are_the_runs_of_letters(spark):
+    texts = ["", "  ", "One two", "-a1b--C ", "\u00c9t\u00e9 na\u00efve_x", "\U00010400\U0001f600z \u0130I", "tail 9", "\u4e2d\u6587 e\u0301a"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: w != "")
+    number = lambda w, seed: F.pmod(F.xxhash64(F.lit(seed), w), F.lit(500)).cast("int")
+    hashed = F.flatten(F.transform(words, lambda w: F.array(number(w, 1), number(F.substring(w, 1, 6), 2), number(F.right(w, F.lit(5)), 3))))
+    assert rows.where(~toxicity.features(F.col("text"), 500).eqNullSafe(hashed)).count() == 0
