@@ -149,3 +149,29 @@ def test_rows_are_kept_in_blocks(spark, monkeypatch):
     small = boosting.mark(spark, boosting.grow(spark, boosting.start(df, s), 2))
     assert spark.read.parquet(small.rows).count() >= 800 / 7
     assert boosting.grow(spark, small, 1).models == fits.models
+
+
+def test_edges_lie_at_equal_steps_of_rank(spark, monkeypatch):
+    """Exact for few rows; within the bound where values of many rows are thinned out, whatever the partitions."""
+    s = Boosting(bins=16)
+    rng = random.Random(4)
+    x = [[rng.gauss(0, 1), float(i % 3)] for i in range(1000)]
+    df = spark.createDataFrame([(0, v) for v in x], "fit int, v array<double>").repartition(7)
+    by_rank = lambda j, k: sorted(v[j] for v in x)[math.ceil(k / 16 * 1000) - 1]
+    want = [sorted({by_rank(j, k) for k in range(1, 16)}) for j in (0, 1)]
+    assert boosting._edges(df, s) == {0: want}
+    monkeypatch.setattr(boosting, "POINTS", 25)
+    monkeypatch.setattr(boosting, "RANKED_ROWS", 90)
+    near = boosting._edges(df, s)[0]
+    ranks = [sum(v[0] <= cut for v in x) for cut in near[0]]
+    assert near[1] == [0.0, 1.0, 2.0] and all(abs(r - 1000 * k / 16) <= 1000 / 50 + 7 for k, r in enumerate(ranks, 1))
+
+
+def test_plain_arrays_are_features_too(spark):
+    df = spark.createDataFrame(made(), SCHEMA).repartition(3)
+    s = Boosting(min_child_weight=1.0, patience=5, step=0.3, rounds=3)
+    plain_rows = df.withColumnRenamed("x", "features")
+    (model, losses), (other, same) = boosting.fit_many(plain_rows, s)[0], boosting.fit_many(frame(spark, made()), s)[0]
+    assert model == other and losses == same
+    with pytest.raises(Exception, match="null among the features"):
+        model.transform(plain_rows.withColumn("features", F.array(F.lit(None).cast("double")))).collect()

@@ -242,3 +242,50 @@ def test_calibration_is_monotone(scored):
     cal = training.calibrated(df.withColumn("raw", F.col("p")), training.fit_calibrator(df))
     pts = sorted((r["raw"], r["p"]) for r in cal.distinct().collect())
     assert all(a[1] <= b[1] for a, b in zip(pts, pts[1:])) and all(0 <= p <= 1 for _, p in pts)
+
+
+def test_fits_share_one_table(table, spark, monkeypatch):
+    """Each fold's learning rows are those of a fit by itself; vectors are joined, and rows written, once for all fits."""
+    s = training.Settings(folds=3, step=0.3, patience=2, rounds=2, seed=1)
+    vectors = table.select("row_id", F.array(F.col("number").cast("float"), F.lit(0.5).cast("float")).alias("embedding"))
+    written, joined, fits = [], [], {}
+    monkeypatch.setattr(training, "stage", lambda df, label, f=training.stage: written.append(label) or f(df, label))
+    monkeypatch.setattr(training, "align", lambda *a, f=training.align: joined.append(1) or f(*a))
+    monkeypatch.setattr(training, "_fit", lambda ready, kind, s, f=training._fit: fits.update(ready) or f(ready, kind, s))
+    train = table.withColumn("y", features.within("days_to_close", s.horizon))
+    oof, _ = training.oof_predictions(train, s, vectors)
+    assert written.count("learning") == 1 and len(joined) == 1 and oof.count() == 1200
+    folded = splits.with_time_folds(train, 3)
+    weight = priors.class_weight(train, "y").first()["scale_pos_weight"]
+    for fold, (ready, held) in fits.items():
+        own = splits.train_part(folded, fold)
+        fitted, fill = priors.fit_rate_priors(own, "y"), priors.ttf_fill(own).first()["ttf_fill"]
+        both = own.withColumn("part", F.lit("train")).unionByName(splits.test_part(folded, fold).withColumn("part", F.lit("test")))
+        tab = features.tabular_features(both, fitted, fill, keep=("row_id", "part"))
+        names = [c for c in tab.columns if c not in ("row_id", "part")]
+        rows = tab.join(vectors, "row_id").select(
+            "row_id", "part", F.concat(F.array(*names), F.col("embedding").cast("array<double>")).alias("f")
+        )
+        want = {r["row_id"]: (r["part"], [round(v, 9) for v in r["f"]]) for r in rows.collect()}
+        got = {r["row_id"]: (r["part"], [round(v, 9) for v in r["features"]]) for r in ready.collect()}
+        assert held == "test" and got == want
+        assert {(r["y"], r["weight"]) for r in ready.collect()} == {(0, 1.0), (1, weight)}
+
+
+def test_a_null_among_the_features_stops_the_job(spark):
+    df = spark.createDataFrame([(1.0, [0.5]), (None, [0.5])], "labels_count double, v array<float>")
+    assert training.in_one_array(df.where("labels_count = 1"), ["labels_count"], "v").first()["features"] == [1.0, 0.5]
+    with pytest.raises(Exception, match="null or NaN"):
+        training.in_one_array(df, ["labels_count"], "v").collect()
+
+
+def test_requests_with_lengths_score_as_with_texts(spark):
+    rows = [("a", "one", "two words"), ("b", "", None), ("c", None, "")]
+    base = spark.createDataFrame(rows, "row_id string, title string, body string").withColumns(
+        {c: F.lit(None).cast("string") for c in ("created_at", "first_comment_at", "comments", "num_assignees")}
+    ).withColumn("labels", F.array(F.lit("x")))
+    size = lambda c: F.char_length(F.coalesce(c, F.lit("")))
+    short = base.select("*", size("title").alias("title_len"), size("body").alias("body_len")).drop("title", "body")
+    wanted = ["row_id", "title_len", "body_len", "has_body"]
+    of = lambda df: sorted(map(tuple, features.serving_rows(df).select(*wanted).collect()))
+    assert of(short) == of(base) == [("a", 3, 9, 1), ("b", 0, 0, 0), ("c", 0, 0, 0)]
